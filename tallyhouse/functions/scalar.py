@@ -20,6 +20,11 @@ def money(column: str | Column) -> Column:
     return _col(column).cast(MONEY)
 
 
+def money_total(column: str | Column) -> Column:
+    """Sum to the cent, whatever the order in which rows are added."""
+    return F.sum(money(column))
+
+
 def number(column: str | Column) -> Column:
     return _col(column).cast("double")
 

@@ -7,7 +7,7 @@ whole groups), so that it does not share shortcuts with the DataFrame plans.
 from __future__ import annotations
 
 from tallyhouse.plans import registry
-from tallyhouse.sources.player_columns import COUNTING, RATES, RAW_COLUMNS, RENAMES
+from tallyhouse.sources.player_columns import COUNTING, RATES
 
 # The analytics schemas as common table expressions, in an order where each may use earlier ones.
 _VIEWS = {
@@ -56,25 +56,18 @@ _VIEWS = {
                CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 10 + 20000 AS DECIMAL(18,2)) AS salary
         FROM customer""",
     # Trips
-    "t_raw": """
-        SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-               CAST(value AS DECIMAL(18,2)) - CAST(1 AS DECIMAL(2,0)) AS fare
-        FROM events""",
     "t_trips": """
         SELECT ts AS pickup_datetime,
                CASE WHEN event_id % 67 <> 0 THEN ts + to_seconds((k * 97 + event_id * 31) % 5400) END
                    AS dropoff_datetime,
-               k % 9 AS passenger_count, k / 5.0::DOUBLE AS trip_distance,
-               CAST(fare AS DECIMAL(18,2)) AS fare_amount,
-               CAST(round(fare * CAST(k % 30 AS DECIMAL(3,0)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2))
-                   AS tip_amount,
-               event_type AS payment_type,
+               k % 9 AS passenger_count, k / 5.0::DOUBLE AS trip_distance, value AS fare_amount,
+               floor(value * (k % 30)) / 100.0::DOUBLE AS tip_amount, event_type AS payment_type,
                CASE WHEN user_id % 50 <> 0 THEN 40 + user_id % 20 / 100.0::DOUBLE END AS pickup_latitude,
                -74 + k % 10 / 100.0::DOUBLE AS pickup_longitude,
                40 + event_id % 15 / 100.0::DOUBLE AS dropoff_latitude,
                -74 + k % 7 / 100.0::DOUBLE AS dropoff_longitude,
-               CAST(fare_amount + tip_amount + 1 AS DECIMAL(18,2)) AS total_amount
-        FROM t_raw""",
+               fare_amount + tip_amount AS total_amount
+        FROM (SELECT *, event_id * 37 % 100 AS k FROM events)""",
     "t_clean": """
         SELECT * FROM t_trips
         WHERE fare_amount >= 0 AND fare_amount <= 500 AND trip_distance >= 0 AND trip_distance <= 100
@@ -91,7 +84,7 @@ _VIEWS = {
                CAST(total_amount AS DOUBLE) / nullif(trip_distance, 0) AS revenue_per_mile
         FROM t_clean""",
     "t_hourly": """
-        SELECT pickup_hour, count(*) AS numtrips, sum(total_amount) AS total_revenue,
+        SELECT pickup_hour, count(*) AS numtrips, {cents:total_amount} AS total_revenue,
                {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance
         FROM t_features GROUP BY pickup_hour""",
     "t_monthly": """
@@ -235,6 +228,10 @@ def _mean(column: str) -> str:
     return f"CAST(sum({value}) AS DOUBLE) / count({column})"
 
 
+def _cents(column: str) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
 def _round2(expression: str) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(38,6)), 2) AS DOUBLE)"
 
@@ -265,6 +262,7 @@ def _expand(text: str) -> str:
     """Fill the ``{name:argument}`` abbreviations used above."""
     helpers = {
         "mean": _mean,
+        "cents": _cents,
         "round2": _round2,
         "text": lambda c: f"CAST(s.{c} AS VARCHAR) AS {c}",
         "share": _share,
@@ -290,8 +288,6 @@ def _sql(body: str) -> str:
     return _expand(f"WITH {views}\n{body}" if views else body)
 
 
-_PLAYER_NAMES = [RENAMES.get(c, c) for c in RAW_COLUMNS]
-_DOUBLE_COLUMNS = "fare_amount tip_amount total_amount".split()
 
 _DATED = "* REPLACE ({})".format
 
@@ -300,9 +296,7 @@ def _as(columns: str, kind: str) -> str:
     return ", ".join(f"CAST({c} AS {kind}) AS {c}" for c in columns.split())
 
 
-_FEATURE_COLUMNS = _DATED(
-    _as("pickup_datetime dropoff_datetime pickup_date", "VARCHAR") + ", " + _as("fare_amount tip_amount total_amount", "DOUBLE")
-)
+_FEATURE_COLUMNS = _DATED(_as("pickup_datetime dropoff_datetime pickup_date", "VARCHAR"))
 _VERSION_COLUMNS = (
     "customer_key, customer_id, first_name, last_name, customer_tier, CAST(valid_from AS VARCHAR) AS valid_from, "
     "CAST(valid_to AS VARCHAR) AS valid_to, is_current"
@@ -546,17 +540,17 @@ _BODIES = {
         for c in ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
     ),
     "trip_cleaning": f"""
-        SELECT {_DATED(_as("pickup_datetime dropoff_datetime", "VARCHAR") + ", " + _as("fare_amount tip_amount total_amount", "DOUBLE"))}
+        SELECT {_DATED(_as("pickup_datetime dropoff_datetime", "VARCHAR"))}
         FROM t_clean""",
     "trip_cleaning_stats": """
         SELECT original_count, clean_count, original_count - clean_count AS removed,
                CAST(original_count - clean_count AS DOUBLE) / original_count * 100 AS removed_pct
         FROM (SELECT (SELECT count(*) FROM t_trips) AS original_count, (SELECT count(*) FROM t_clean) AS clean_count)""",
     "trip_features": f"SELECT {_FEATURE_COLUMNS} FROM t_features",
-    "trip_hourly": "SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM t_hourly",
+    "trip_hourly": "SELECT * FROM t_hourly",
     "peak_hour": "SELECT pickup_hour, numtrips FROM t_hourly ORDER BY numtrips DESC, pickup_hour LIMIT 1",
     "weekend_hourly": """
-        SELECT is_weekend, pickup_hour, count(*) AS numtrips, CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
+        SELECT is_weekend, pickup_hour, count(*) AS numtrips, {cents:total_amount} AS total_revenue,
                {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance
         FROM t_features GROUP BY ALL""",
     "weekend_pivot": """
@@ -564,13 +558,13 @@ _BODIES = {
                nullif(count(*) FILTER (WHERE is_weekend), 0) AS weekend_trips
         FROM t_features GROUP BY pickup_hour""",
     "weekend_summary": """
-        SELECT is_weekend, count(*) AS total_trips, CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
+        SELECT is_weekend, count(*) AS total_trips, {cents:total_amount} AS total_revenue,
                {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance,
                {mean:trip_duration_minutes} AS avg_duration, {mean:tip_percentage} AS avg_tip_pct
         FROM t_features GROUP BY is_weekend""",
     "trip_monthly": "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM t_monthly",
     "hour_rank": """
-        SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue), row_number() OVER w AS revenue_rank,
+        SELECT *, row_number() OVER w AS revenue_rank,
                percent_rank() OVER w AS revenue_percentile
         FROM t_hourly WINDOW w AS (ORDER BY total_revenue DESC, pickup_hour)""",
     "trip_mom_growth": """
@@ -587,13 +581,13 @@ _BODIES = {
         FROM t_monthly
         WINDOW w AS (ORDER BY pickup_year, pickup_month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "top_hours_per_day": """
-        SELECT day_name, pickup_day_of_week, pickup_hour, numtrips, CAST(total_revenue AS DOUBLE) AS total_revenue, place AS rank_within_day
-        FROM (SELECT day_name, pickup_day_of_week, pickup_hour, count(*) AS numtrips, sum(total_amount) AS total_revenue,
-                     row_number() OVER (PARTITION BY day_name ORDER BY sum(total_amount) DESC, pickup_hour) AS place
+        SELECT day_name, pickup_day_of_week, pickup_hour, numtrips, total_revenue, place AS rank_within_day
+        FROM (SELECT day_name, pickup_day_of_week, pickup_hour, count(*) AS numtrips, {cents:total_amount} AS total_revenue,
+                     row_number() OVER (PARTITION BY day_name ORDER BY {cents:total_amount} DESC, pickup_hour) AS place
               FROM t_features GROUP BY day_name, pickup_day_of_week, pickup_hour)
         WHERE place <= 3""",
     "tips_by_payment": """
-        SELECT payment_type, count(*) AS numtrips, CAST(sum(tip_amount) AS DOUBLE) AS total_tips,
+        SELECT payment_type, count(*) AS numtrips, {cents:tip_amount} AS total_tips,
                {mean:tip_amount} AS avg_tip, {mean:tip_percentage} AS avg_tip_pct
         FROM t_features GROUP BY payment_type""",
     "tips_pivot": "SELECT pickup_hour, "
@@ -604,7 +598,7 @@ _BODIES = {
     )
     + " FROM t_features GROUP BY pickup_hour",
     "by_passenger_count": """
-        SELECT passenger_count, count(*) AS num_trips, CAST(sum(total_amount) AS DOUBLE) AS revenue,
+        SELECT passenger_count, count(*) AS num_trips, {cents:total_amount} AS revenue,
                {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance, {mean:tip_percentage} AS avg_tip_pct
         FROM t_features GROUP BY passenger_count""",
     "distance_buckets": """
@@ -616,15 +610,15 @@ _BODIES = {
         FROM t_features GROUP BY distance_bucket""",
     "pickup_zones": f"""
         SELECT {_ZONE('pickup')} AS pickup_zone, count(*) AS pickups, {{mean:total_amount}} AS avg_fare,
-               CAST(sum(total_amount) AS DOUBLE) AS total_fare
+               {{cents:total_amount}} AS total_fare
         FROM t_features GROUP BY pickup_zone ORDER BY pickups DESC, pickup_zone NULLS FIRST LIMIT 10""",
     "dropoff_zones": f"""
-        SELECT {_ZONE('dropoff')} AS dropoff_zone, count(*) AS dropoffs, CAST(sum(total_amount) AS DOUBLE) AS revenue,
+        SELECT {_ZONE('dropoff')} AS dropoff_zone, count(*) AS dropoffs, {{cents:total_amount}} AS revenue,
                {{mean:total_amount}} AS avg_fare
         FROM t_features GROUP BY dropoff_zone ORDER BY dropoffs DESC, dropoff_zone NULLS FIRST LIMIT 10""",
     "popular_routes": f"""
         SELECT {_ZONE('pickup')} AS pickup_zone, {_ZONE('dropoff')} AS dropoff_zone, count(*) AS trips,
-               CAST(sum(total_amount) AS DOUBLE) AS total_revenue, {{mean:total_amount}} AS avg_fare,
+               {{cents:total_amount}} AS total_revenue, {{mean:total_amount}} AS avg_fare,
                {{mean:trip_distance}} AS avg_distance
         FROM t_features GROUP BY pickup_zone, dropoff_zone HAVING count(*) > 5
         ORDER BY trips DESC, pickup_zone NULLS FIRST, dropoff_zone NULLS FIRST LIMIT 20""",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.scalar import banded, exact_mean, number
+from tallyhouse.functions.scalar import banded, exact_mean, money_total, number
 from tallyhouse.operators.ranking import (
     top_k,
     top_per_group,
@@ -117,7 +117,7 @@ def weekend_pivot(features: DataFrame) -> DataFrame:
 def weekend_summary(features: DataFrame) -> DataFrame:
     return features.groupBy("is_weekend").agg(
         F.count("*").alias("total_trips"),
-        F.sum("total_amount").alias("total_revenue"),
+        money_total("total_amount").alias("total_revenue"),
         exact_mean("total_amount").alias("avg_fare"),
         exact_mean("trip_distance").alias("avg_distance"),
         exact_mean("trip_duration_minutes").alias("avg_duration"),
@@ -135,7 +135,7 @@ def hour_rank(features: DataFrame) -> DataFrame:
 
 def top_hours_per_day(features: DataFrame, k: int = 3) -> DataFrame:
     hours = features.groupBy("day_name", "pickup_day_of_week", "pickup_hour").agg(
-        F.count("*").alias("numtrips"), F.sum("total_amount").alias("total_revenue")
+        F.count("*").alias("numtrips"), money_total("total_amount").alias("total_revenue")
     )
     return top_per_group(hours, "day_name", "total_revenue", k, "rank_within_day", "pickup_hour")
 
@@ -147,7 +147,7 @@ def trip_monthly(trips: DataFrame) -> DataFrame:
     """``trips`` needs pickup_year, pickup_month and total_amount."""
     return trips.groupBy("pickup_year", "pickup_month").agg(
         F.count("*").alias("trips"),
-        F.sum("total_amount").alias("revenue"),
+        money_total("total_amount").alias("revenue"),
         exact_mean("total_amount").alias("avg_fare"),
     )
 
@@ -178,7 +178,7 @@ def cumulative_monthly(trips: DataFrame) -> DataFrame:
 def tips_by_payment(features: DataFrame) -> DataFrame:
     return features.groupBy("payment_type").agg(
         F.count("*").alias("numtrips"),
-        F.sum("tip_amount").alias("total_tips"),
+        money_total("tip_amount").alias("total_tips"),
         exact_mean("tip_amount").alias("avg_tip"),
         exact_mean("tip_percentage").alias("avg_tip_pct"),
     )
@@ -198,7 +198,7 @@ def tips_pivot(features: DataFrame, payment_types: list[str] | None = None) -> D
 def by_passenger_count(features: DataFrame) -> DataFrame:
     return features.groupBy("passenger_count").agg(
         F.count("*").alias("num_trips"),
-        F.sum("total_amount").alias("revenue"),
+        money_total("total_amount").alias("revenue"),
         exact_mean("total_amount").alias("avg_fare"),
         exact_mean("trip_distance").alias("avg_distance"),
         exact_mean("tip_percentage").alias("avg_tip_pct"),
@@ -236,7 +236,7 @@ def pickup_zones(features: DataFrame, k: int = 10) -> DataFrame:
     cells = features.groupBy(zone("pickup_latitude", "pickup_longitude").alias("pickup_zone")).agg(
         F.count("*").alias("pickups"),
         exact_mean("total_amount").alias("avg_fare"),
-        F.sum("total_amount").alias("total_fare"),
+        money_total("total_amount").alias("total_fare"),
     )
     return top_k(cells, "pickups", k, "pickup_zone")
 
@@ -244,7 +244,7 @@ def pickup_zones(features: DataFrame, k: int = 10) -> DataFrame:
 def dropoff_zones(features: DataFrame, k: int = 10) -> DataFrame:
     cells = features.groupBy(zone("dropoff_latitude", "dropoff_longitude").alias("dropoff_zone")).agg(
         F.count("*").alias("dropoffs"),
-        F.sum("total_amount").alias("revenue"),
+        money_total("total_amount").alias("revenue"),
         exact_mean("total_amount").alias("avg_fare"),
     )
     return top_k(cells, "dropoffs", k, "dropoff_zone")
@@ -257,7 +257,7 @@ def popular_routes(features: DataFrame, min_trips: int = 100, k: int = 20) -> Da
         zone("dropoff_latitude", "dropoff_longitude").alias("dropoff_zone"),
     ).agg(
         F.count("*").alias("trips"),
-        F.sum("total_amount").alias("total_revenue"),
+        money_total("total_amount").alias("total_revenue"),
         exact_mean("total_amount").alias("avg_fare"),
         exact_mean("trip_distance").alias("avg_distance"),
     )
@@ -267,7 +267,7 @@ def popular_routes(features: DataFrame, min_trips: int = 100, k: int = 20) -> Da
 def _volume() -> list[Column]:
     return [
         F.count("*").alias("numtrips"),
-        F.sum("total_amount").alias("total_revenue"),
+        money_total("total_amount").alias("total_revenue"),
         exact_mean("total_amount").alias("avg_fare"),
         exact_mean("trip_distance").alias("avg_distance"),
     ]

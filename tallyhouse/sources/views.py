@@ -183,31 +183,26 @@ def _line_id():
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Taxi trips out of the events table; each trip depends on its own event row only.
 
-    ``k`` is the number held in ``props``. Some drop-off times and pickup positions are NULL,
-    and some fares are negative, so that cleaning and NULL groups have work to do.
+    The fare is the stored value, so bounds on it reach the scan. Some drop-off times and
+    pickup positions are NULL, so that cleaning and NULL groups have work to do.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    fare = money("value") - F.lit(1).cast("decimal(2,0)")
-    tip = F.round(fare * (k % 30).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)"), 2)
-    seconds = ((k * 97 + F.col("event_id") * 31) % 5400).cast("int")
-    arrival = (F.col("ts") + F.make_dt_interval(secs=seconds)).cast("timestamp_ntz")
-    return (
-        table(spark, sf_dir, "events")
-        .withColumns({"k": k})
-        .select(
-            F.col("ts").alias("pickup_datetime"),
-            F.when(F.col("event_id") % 67 != 0, arrival).alias("dropoff_datetime"),
-            (k % 9).cast("bigint").alias("passenger_count"),
-            (k / F.lit(5.0)).alias("trip_distance"),
-            fare.cast(MONEY).alias("fare_amount"),
-            tip.cast(MONEY).alias("tip_amount"),
-            (fare + tip + F.lit(1).cast("decimal(2,0)")).cast(MONEY).alias("total_amount"),
-            F.col("event_type").alias("payment_type"),
-            F.when(F.col("user_id") % 50 != 0, 40 + F.col("user_id") % 20 / F.lit(100.0)).alias("pickup_latitude"),
-            (-74 + k % 10 / F.lit(100.0)).alias("pickup_longitude"),
-            (40 + F.col("event_id") % 15 / F.lit(100.0)).alias("dropoff_latitude"),
-            (-74 + k % 7 / F.lit(100.0)).alias("dropoff_longitude"),
-        )
+    k = F.col("event_id") * 37 % 100
+    fare = F.col("value")
+    tip = F.floor(fare * (k % 30)) / F.lit(100.0)
+    arrival = F.timestamp_add("SECOND", ((k * 97 + F.col("event_id") * 31) % 5400).cast("int"), "ts")
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").alias("pickup_datetime"),
+        F.when(F.col("event_id") % 67 != 0, arrival).alias("dropoff_datetime"),
+        (k % 9).alias("passenger_count"),
+        (k / F.lit(5.0)).alias("trip_distance"),
+        fare.alias("fare_amount"),
+        tip.alias("tip_amount"),
+        (fare + tip).alias("total_amount"),
+        F.col("event_type").alias("payment_type"),
+        F.when(F.col("user_id") % 50 != 0, 40 + F.col("user_id") % 20 / F.lit(100.0)).alias("pickup_latitude"),
+        (-74 + k % 10 / F.lit(100.0)).alias("pickup_longitude"),
+        (40 + F.col("event_id") % 15 / F.lit(100.0)).alias("dropoff_latitude"),
+        (-74 + k % 7 / F.lit(100.0)).alias("dropoff_longitude"),
     )
 
 
