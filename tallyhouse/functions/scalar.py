@@ -1,8 +1,9 @@
 """Column expressions shared by the query plans.
 
-Money is summed as decimal, because a sum of doubles depends on how rows are
-partitioned. Ratios are taken in double and rounded through a wide decimal, so
-that ties round half away from zero everywhere.
+Money is kept to the cent and summed as whole cents: a sum of doubles depends on
+how rows are partitioned, and decimals cost several times as much per row. A sum
+holds up to 9.2e16 units of money and fails loudly beyond. Ratios are taken in
+double and rounded through a wide decimal, so that ties round half away from zero.
 """
 
 from __future__ import annotations
@@ -12,17 +13,31 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
 _RATIO = "decimal(38,6)"
 
 
-def money(column: str | Column) -> Column:
-    return _col(column).cast(MONEY)
+def cents(column: str | Column) -> Column:
+    """An amount as whole cents."""
+    return F.rint(_col(column) * 100).cast("bigint")
+
+
+def scaled(units: str | Column, places: int = 2) -> Column:
+    """Whole hundredths (or smaller parts) as a decimal with that many places."""
+    step = f"decimal({places},{places})"
+    return _col(units).cast("decimal(20,0)") * F.lit("0." + "0" * (places - 1) + "1").cast(step)
+
+
+def cents_total(column: str | Column) -> Column:
+    """Sum of an amount in whole cents, whatever the order in which rows are added."""
+    return F.sum(cents(column))
 
 
 def money_total(column: str | Column) -> Column:
-    """Sum to the cent, whatever the order in which rows are added."""
-    return F.sum(money(column))
+    return scaled(cents_total(column))
+
+
+def money_mean(column: str | Column) -> Column:
+    return mean_of(money_total(column), F.count(_col(column)))
 
 
 def number(column: str | Column) -> Column:
@@ -39,10 +54,9 @@ def mean_of(total: str | Column, count: str | Column) -> Column:
     return F.try_divide(number(total), number(count))
 
 
-def exact_mean(column: str | Column) -> Column:
-    """Average whose result does not depend on row order: the values are added as decimals."""
-    value = _col(column).cast(_RATIO)
-    return F.try_divide(number(F.sum(value)), number(F.count(value)))
+def mean(column: str | Column) -> Column:
+    """Average of a measure, to six places: beyond those it varies with the order of rows."""
+    return number(F.avg(_col(column)).cast(_RATIO))
 
 
 def percent_change(current: str | Column, previous: str | Column) -> Column:

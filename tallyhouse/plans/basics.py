@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.scalar import at_least, exact_mean, mean_of, rounded
+from tallyhouse.functions.scalar import at_least, cents, cents_total, mean_of, money_mean, rounded, scaled
 from tallyhouse.sources.views import Retail
 
 # Salaries above which a level starts.
@@ -72,7 +72,7 @@ def filter_like(staff: DataFrame, pattern: str) -> DataFrame:
 
 
 def computed_columns(staff: DataFrame) -> DataFrame:
-    return staff.withColumn("bonus", F.col("salary") * F.lit("0.10").cast("decimal(3,2)"))
+    return staff.withColumn("bonus", F.col("salary") * 0.10)
 
 
 def salary_level(staff: DataFrame, older_than: int = 28) -> DataFrame:
@@ -84,15 +84,15 @@ def salary_level(staff: DataFrame, older_than: int = 28) -> DataFrame:
 def department_stats(staff: DataFrame) -> DataFrame:
     return staff.groupBy("department").agg(
         F.count("*").alias("employee_count"),
-        exact_mean("salary").alias("avg_salary"),
+        money_mean("salary").alias("avg_salary"),
         F.max("salary").alias("max_salary"),
     )
 
 
 def global_revenue(retail: Retail) -> DataFrame:
     """Sum of price times quantity over all lines."""
-    lines = retail.order_items.withColumn("revenue", F.col("unit_price") * F.col("quantity"))
-    return lines.agg({"revenue": "sum"}).withColumnRenamed("sum(revenue)", "total_revenue")
+    lines = retail.order_items.withColumn("revenue", cents("unit_price") * F.col("quantity"))
+    return lines.agg({"revenue": "sum"}).select(scaled("sum(revenue)").alias("total_revenue"))
 
 
 def group_basic(retail: Retail) -> DataFrame:
@@ -102,19 +102,19 @@ def group_basic(retail: Retail) -> DataFrame:
     """
     per_product = retail.order_items.groupBy("product_id").agg(
         F.count("*").alias("lines"),
-        F.sum(F.col("unit_price") * F.col("quantity")).alias("revenue"),
+        F.sum(cents("unit_price") * F.col("quantity")).alias("revenue"),
         F.min("unit_price").alias("lowest"),
         F.max("unit_price").alias("highest"),
-        F.sum("unit_price").alias("prices"),
+        cents_total("unit_price").alias("prices"),
     )
     return (
         per_product.join(retail.products.select("product_id", "category_name"), "product_id")
         .groupBy("category_name")
         .agg(
             F.sum("lines").alias("products"),
-            F.sum("revenue").alias("total_revenue"),
+            scaled(F.sum("revenue")).alias("total_revenue"),
             F.min("lowest").alias("min_price"),
             F.max("highest").alias("max_price"),
-            rounded(mean_of(F.sum("prices"), F.sum("lines"))).alias("avg_price"),
+            rounded(mean_of(scaled(F.sum("prices")), F.sum("lines"))).alias("avg_price"),
         )
     )

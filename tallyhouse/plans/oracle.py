@@ -19,12 +19,9 @@ _VIEWS = {
         FROM orders""",
     "r_items": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
-               CAST(round(CAST(l_extendedprice / l_quantity AS DECIMAL(38,6)), 2) AS DECIMAL(18,2)) AS unit_price,
+               CAST(floor(l_extendedprice / l_quantity * 100 + 0.5::DOUBLE) / 100 AS DECIMAL(18,2)) AS unit_price,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS line_total, CAST(l_shipdate AS DATE) AS ship_date,
-               md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS DECIMAL(18,2)),
-                   CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_discount AS DECIMAL(18,2)),
-                   CAST(l_tax AS DECIMAL(18,2)), l_returnflag, l_linestatus, CAST(l_shipdate AS DATE)))
-                   AS order_item_id
+               concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_item_id
         FROM lineitem""",
     "r_customers": """
         SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
@@ -53,7 +50,7 @@ _VIEWS = {
     "r_asof": "SELECT max(order_date) AS today FROM r_orders",
     "r_staff": """
         SELECT c_name AS name, c_custkey % 45 + 20 AS age, c_mktsegment AS department,
-               CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 10 + 20000 AS DECIMAL(18,2)) AS salary
+               CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 10 + 20000 AS DOUBLE) AS salary
         FROM customer""",
     # Trips
     "t_trips": """
@@ -85,12 +82,12 @@ _VIEWS = {
         FROM t_clean""",
     "t_hourly": """
         SELECT pickup_hour, count(*) AS numtrips, {cents:total_amount} AS total_revenue,
-               {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance
+               {money_mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance
         FROM t_features GROUP BY pickup_hour""",
     "t_monthly": """
         SELECT year(o_orderdate) AS pickup_year, month(o_orderdate) AS pickup_month, count(*) AS trips,
                sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue,
-               {mean:CAST(o_totalprice AS DECIMAL(18,2))} AS avg_fare
+               {money_mean:o_totalprice} AS avg_fare
         FROM orders GROUP BY ALL""",
     # Warehouse
     "d_date": """
@@ -224,8 +221,11 @@ _VIEWS = {
 
 
 def _mean(column: str) -> str:
-    value = f"CAST({column} AS DECIMAL(38,6))"
-    return f"CAST(sum({value}) AS DOUBLE) / count({column})"
+    return f"CAST(CAST(avg({column}) AS DECIMAL(38,6)) AS DOUBLE)"
+
+
+def _money_mean(column: str) -> str:
+    return f"{_cents(column)} / count({column})"
 
 
 def _cents(column: str) -> str:
@@ -261,6 +261,7 @@ def _filled() -> str:
 def _expand(text: str) -> str:
     """Fill the ``{name:argument}`` abbreviations used above."""
     helpers = {
+        "money_mean": _money_mean,
         "mean": _mean,
         "cents": _cents,
         "round2": _round2,
@@ -350,7 +351,7 @@ _BODIES = {
                CAST(total_amount AS DOUBLE) AS total_amount
         FROM r_orders WHERE order_status = 'Completed'""",
     "computed_columns": """
-        SELECT * REPLACE (CAST(salary AS DOUBLE) AS salary), CAST(salary * 0.10 AS DOUBLE) AS bonus FROM r_staff""",
+        SELECT * REPLACE (CAST(salary AS DOUBLE) AS salary), salary * 0.10::DOUBLE AS bonus FROM r_staff""",
     "filter_basic": "SELECT * REPLACE (CAST(salary AS DOUBLE) AS salary) FROM r_staff WHERE age > 30 AND salary > 80000",
     "filter_like": """
         SELECT * REPLACE (CAST(salary AS DOUBLE) AS salary) FROM r_staff WHERE name NOT LIKE 'Customer#_______1%'""",
@@ -359,7 +360,7 @@ _BODIES = {
                CASE WHEN salary > 90000 THEN 'Senior' WHEN salary > 75000 THEN 'Mid' ELSE 'Junior' END AS level
         FROM r_staff WHERE age > 28""",
     "department_stats": """
-        SELECT department, count(*) AS employee_count, {mean:salary} AS avg_salary,
+        SELECT department, count(*) AS employee_count, {money_mean:salary} AS avg_salary,
                CAST(max(salary) AS DOUBLE) AS max_salary
         FROM r_staff GROUP BY department""",
     "point_lookup": "SELECT * EXCLUDE (registration_date) FROM r_customers WHERE email = 'Customer#000000042@email.com'",
@@ -551,7 +552,7 @@ _BODIES = {
     "peak_hour": "SELECT pickup_hour, numtrips FROM t_hourly ORDER BY numtrips DESC, pickup_hour LIMIT 1",
     "weekend_hourly": """
         SELECT is_weekend, pickup_hour, count(*) AS numtrips, {cents:total_amount} AS total_revenue,
-               {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance
+               {money_mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance
         FROM t_features GROUP BY ALL""",
     "weekend_pivot": """
         SELECT pickup_hour, nullif(count(*) FILTER (WHERE NOT is_weekend), 0) AS weekday_trips,
@@ -559,7 +560,7 @@ _BODIES = {
         FROM t_features GROUP BY pickup_hour""",
     "weekend_summary": """
         SELECT is_weekend, count(*) AS total_trips, {cents:total_amount} AS total_revenue,
-               {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance,
+               {money_mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance,
                {mean:trip_duration_minutes} AS avg_duration, {mean:tip_percentage} AS avg_tip_pct
         FROM t_features GROUP BY is_weekend""",
     "trip_monthly": "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM t_monthly",
@@ -588,37 +589,36 @@ _BODIES = {
         WHERE place <= 3""",
     "tips_by_payment": """
         SELECT payment_type, count(*) AS numtrips, {cents:tip_amount} AS total_tips,
-               {mean:tip_amount} AS avg_tip, {mean:tip_percentage} AS avg_tip_pct
+               {money_mean:tip_amount} AS avg_tip, {mean:tip_percentage} AS avg_tip_pct
         FROM t_features GROUP BY payment_type""",
     "tips_pivot": "SELECT pickup_hour, "
     + ", ".join(
-        f"CAST(sum(CAST(tip_percentage AS DECIMAL(38,6))) FILTER (WHERE payment_type = '{p}') AS DOUBLE)"
-        f" / count(tip_percentage) FILTER (WHERE payment_type = '{p}') AS {p}"
+        f"CAST(CAST(avg(tip_percentage) FILTER (WHERE payment_type = '{p}') AS DECIMAL(38,6)) AS DOUBLE) AS {p}"
         for p in ("click", "error", "purchase", "signup", "view")
     )
     + " FROM t_features GROUP BY pickup_hour",
     "by_passenger_count": """
         SELECT passenger_count, count(*) AS num_trips, {cents:total_amount} AS revenue,
-               {mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance, {mean:tip_percentage} AS avg_tip_pct
+               {money_mean:total_amount} AS avg_fare, {mean:trip_distance} AS avg_distance, {mean:tip_percentage} AS avg_tip_pct
         FROM t_features GROUP BY passenger_count""",
     "distance_buckets": """
         SELECT CASE WHEN trip_distance < 1 THEN '< 1 mile' WHEN trip_distance < 3 THEN '1-3 miles'
                     WHEN trip_distance < 5 THEN '3-5 miles' WHEN trip_distance < 10 THEN '5-10 miles'
                     ELSE '10+ miles' END AS distance_bucket,
-               count(*) AS trips, {mean:total_amount} AS avg_fare, {mean:trip_duration_minutes} AS avg_duration,
+               count(*) AS trips, {money_mean:total_amount} AS avg_fare, {mean:trip_duration_minutes} AS avg_duration,
                {mean:speed_mph} AS avg_speed
         FROM t_features GROUP BY distance_bucket""",
     "pickup_zones": f"""
-        SELECT {_ZONE('pickup')} AS pickup_zone, count(*) AS pickups, {{mean:total_amount}} AS avg_fare,
+        SELECT {_ZONE('pickup')} AS pickup_zone, count(*) AS pickups, {{money_mean:total_amount}} AS avg_fare,
                {{cents:total_amount}} AS total_fare
         FROM t_features GROUP BY pickup_zone ORDER BY pickups DESC, pickup_zone NULLS FIRST LIMIT 10""",
     "dropoff_zones": f"""
         SELECT {_ZONE('dropoff')} AS dropoff_zone, count(*) AS dropoffs, {{cents:total_amount}} AS revenue,
-               {{mean:total_amount}} AS avg_fare
+               {{money_mean:total_amount}} AS avg_fare
         FROM t_features GROUP BY dropoff_zone ORDER BY dropoffs DESC, dropoff_zone NULLS FIRST LIMIT 10""",
     "popular_routes": f"""
         SELECT {_ZONE('pickup')} AS pickup_zone, {_ZONE('dropoff')} AS dropoff_zone, count(*) AS trips,
-               {{cents:total_amount}} AS total_revenue, {{mean:total_amount}} AS avg_fare,
+               {{cents:total_amount}} AS total_revenue, {{money_mean:total_amount}} AS avg_fare,
                {{mean:trip_distance}} AS avg_distance
         FROM t_features GROUP BY pickup_zone, dropoff_zone HAVING count(*) > 5
         ORDER BY trips DESC, pickup_zone NULLS FIRST, dropoff_zone NULLS FIRST LIMIT 20""",

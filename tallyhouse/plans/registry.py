@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.functions.scalar import money_total
 from tallyhouse.operators import history, quality
 from tallyhouse.plans import basics, players, retail, trips, warehouse
 from tallyhouse.plans.warehouse import Warehouse
@@ -39,17 +40,18 @@ def plain(df: DataFrame) -> DataFrame:
     Dates and times become ISO text. This is done here, at the edge, and not in the library.
     """
 
-    def cast(field: T.StructField):
-        kind, column = field.dataType, F.col(f"`{field.name}`")
-        if isinstance(kind, T.IntegralType):
-            return column.cast("bigint")
-        if isinstance(kind, T.NumericType):
-            return column.cast("double")
-        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return column.cast("string")
-        return column
+    def cast(field: T.StructField) -> str:
+        if isinstance(field.dataType, T.IntegralType):
+            kind = "bigint"
+        elif isinstance(field.dataType, T.NumericType):
+            kind = "double"
+        elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            kind = "string"
+        else:
+            return f"`{field.name}`"
+        return f"cast(`{field.name}` as {kind}) as `{field.name}`"
 
-    return df.select(*[cast(f).alias(f.name) for f in df.schema])
+    return df.selectExpr(*[cast(f) for f in df.schema])
 
 
 def _retail(query, *args) -> Query:
@@ -132,7 +134,7 @@ def dim_payment_method(spark, sf):
     method = F.col("order_id") % 4
     paid = Retail(spark, sf).completed.groupBy(
         warehouse.relabel(method, warehouse.PAYMENT_BY_REMAINDER).alias("payment_method_name")
-    ).agg(F.count("*").alias("orders"), F.sum("total_amount").alias("paid"))
+    ).agg(F.count("*").alias("orders"), money_total("total_amount").alias("paid"))
     return warehouse.dim_payment_method(spark).join(paid, "payment_method_name", "left").fillna(0, ["orders"])
 
 
@@ -219,7 +221,7 @@ def timing_compare(spark, sf):
     runs = table(spark, sf, "events").select(
         F.col("event_type").alias("query"),
         phase.alias("phase"),
-        F.col("value").cast("decimal(18,2)").alias("seconds"),
+        F.col("value").alias("seconds"),
     )
     return retail.timing_compare(runs)
 

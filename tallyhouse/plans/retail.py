@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalar import (
     at_least,
+    cents_total,
     days_between,
     full_name,
     mean_of,
+    money_mean,
+    money_total,
     month_label,
     number,
     percent_change,
     rounded,
+    scaled,
 )
 from tallyhouse.operators.ranking import (
     ranked_top_k,
@@ -40,24 +44,24 @@ VALUE_FLOOR = "Low Value"
 
 
 def customer_spend(orders: DataFrame) -> DataFrame:
-    """Per customer: number of orders, their sum, first and last date."""
+    """Per customer: number of orders, their sum in cents, first and last date."""
     return orders.groupBy("customer_id").agg(
         F.count("*").alias("order_count"),
-        F.sum("total_amount").alias("spent"),
+        cents_total("total_amount").alias("spent"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
     )
 
 
 def product_sales(items: DataFrame) -> DataFrame:
-    """Per product: units and revenue."""
+    """Per product: units, and revenue in cents."""
     return items.groupBy("product_id").agg(
-        F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("revenue")
+        F.sum("quantity").alias("units_sold"), cents_total("line_total").alias("revenue")
     )
 
 
 def order_category_sales(retail: Retail) -> DataFrame:
-    """Per order and category: lines, units, revenue, sum of unit prices.
+    """Per order and category: lines, units, revenue and sum of unit prices in cents.
 
     At most one row per order and category is left, so counting these rows counts
     distinct orders, and the join with orders meets no heavy order.
@@ -68,14 +72,14 @@ def order_category_sales(retail: Retail) -> DataFrame:
         .agg(
             F.count("*").alias("lines"),
             F.sum("quantity").alias("units"),
-            F.sum("line_total").alias("revenue"),
-            F.sum("unit_price").alias("prices"),
+            cents_total("line_total").alias("revenue"),
+            cents_total("unit_price").alias("prices"),
         )
     )
 
 
 def completed_product_revenue(retail: Retail) -> DataFrame:
-    """Per product: units and revenue in completed orders."""
+    """Per product: units, and revenue in cents, in completed orders."""
     lines = retail.order_items.select("order_id", "product_id", "quantity", "line_total")
     return product_sales(lines.join(retail.completed.select("order_id"), "order_id"))
 
@@ -84,7 +88,7 @@ def completed_product_revenue(retail: Retail) -> DataFrame:
 
 
 def top_customers(retail: Retail, k: int = 10) -> DataFrame:
-    spend = customer_spend(retail.completed).select("customer_id", F.col("spent").alias("total_spent"))
+    spend = customer_spend(retail.completed).select("customer_id", scaled("spent").alias("total_spent"))
     named = retail.customers.join(spend, "customer_id").select(
         "customer_id", full_name().alias("customer_name"), "customer_tier", "total_spent"
     )
@@ -94,7 +98,7 @@ def top_customers(retail: Retail, k: int = 10) -> DataFrame:
 def running_total(retail: Retail) -> DataFrame:
     """Daily revenue with its running total: one row per calendar day enters the window."""
     daily = retail.completed.groupBy("order_date").agg(
-        F.count("*").alias("orders_count"), F.sum("total_amount").alias("daily_revenue")
+        F.count("*").alias("orders_count"), money_total("total_amount").alias("daily_revenue")
     )
     return with_running_totals(daily, ["order_date"], {"daily_revenue": "running_total"})
 
@@ -119,7 +123,7 @@ def product_vs_category(retail: Retail) -> DataFrame:
 
 def monthly_growth(retail: Retail) -> DataFrame:
     monthly = retail.completed.groupBy(month_label("order_date").alias("month")).agg(
-        F.count("*").alias("order_count"), F.sum("total_amount").alias("monthly_revenue")
+        F.count("*").alias("order_count"), money_total("total_amount").alias("monthly_revenue")
     )
     grown = with_growth(
         monthly, ["month"], {"monthly_revenue": ("prev_month_revenue", None, "growth_percentage")}
@@ -131,15 +135,15 @@ def pct_of_category(retail: Retail) -> DataFrame:
     sales = product_sales(retail.order_items).join(
         retail.products.select("product_id", "product_name", "category_name"), "product_id"
     )
-    compared = with_group_totals(sales, "category_name", {"category_revenue": F.sum("revenue")})
+    compared = with_group_totals(sales, "category_name", {"_category": F.sum("revenue")})
     return compared.select(
         "product_id",
         "product_name",
         "category_name",
         "units_sold",
-        F.col("revenue").alias("product_revenue"),
-        "category_revenue",
-        rounded(F.try_divide(number("revenue"), number("category_revenue")) * 100).alias("pct_of_category"),
+        scaled("revenue").alias("product_revenue"),
+        scaled("_category").alias("category_revenue"),
+        rounded(F.try_divide(number("revenue"), number("_category")) * 100).alias("pct_of_category"),
     )
 
 
@@ -148,14 +152,16 @@ def top3_per_category(retail: Retail, k: int = 3) -> DataFrame:
         retail.products.select("product_id", "product_name", "category_name"), "product_id"
     )
     best = top_per_group(sales, "category_name", "revenue", k, "rank_in_category", "product_id")
-    return best.select("category_name", "product_id", "product_name", "revenue", "rank_in_category")
+    return best.select(
+        "category_name", "product_id", "product_name", scaled("revenue").alias("revenue"), "rank_in_category"
+    )
 
 
 # Customer value
 
 
 def customer_ltv(retail: Retail, k: int = 20) -> DataFrame:
-    value = customer_spend(retail.completed)
+    value = customer_spend(retail.completed).withColumn("spent", scaled("spent"))
     named = retail.customers.join(value, "customer_id").select(
         "customer_id",
         full_name().alias("customer_name"),
@@ -170,7 +176,7 @@ def customer_ltv(retail: Retail, k: int = 20) -> DataFrame:
 
 
 def customer_ltv_min3(retail: Retail, least: int = 3, k: int = 15) -> DataFrame:
-    value = customer_spend(retail.completed).filter(F.col("order_count") >= least)
+    value = customer_spend(retail.completed).filter(F.col("order_count") >= least).withColumn("spent", scaled("spent"))
     named = retail.customers.join(value, "customer_id").select(
         "customer_id",
         full_name().alias("customer_name"),
@@ -184,7 +190,7 @@ def customer_ltv_min3(retail: Retail, least: int = 3, k: int = 15) -> DataFrame:
 
 
 def frequent_customers(retail: Retail, least: int = 5, k: int = 20) -> DataFrame:
-    value = customer_spend(retail.completed).filter(F.col("order_count") >= least)
+    value = customer_spend(retail.completed).filter(F.col("order_count") >= least).withColumn("spent", scaled("spent"))
     named = retail.customers.join(value, "customer_id").select(
         "customer_id",
         full_name().alias("customer_name"),
@@ -201,13 +207,13 @@ def gold_customers(retail: Retail, tier: str = "Gold") -> DataFrame:
         "customer_id",
         full_name().alias("customer_name"),
         "order_count",
-        F.col("spent").alias("total_spent"),
+        scaled("spent").alias("total_spent"),
     )
 
 
 def above_average(retail: Retail) -> DataFrame:
     """Customers who spent more than the average spending customer."""
-    spend = customer_spend(retail.completed).select("customer_id", "spent")
+    spend = customer_spend(retail.completed).select("customer_id", scaled("spent").alias("spent"))
     average = spend.agg(mean_of(F.sum("spent"), F.count("*")).alias("average")).scalar()
     rich = spend.filter(number("spent") > average)
     return rich.join(retail.customers, "customer_id").select(
@@ -228,8 +234,8 @@ def cohort_analysis(retail: Retail) -> DataFrame:
         .agg(
             F.count("*").alias("customers_in_cohort"),
             F.coalesce(F.sum("order_count"), F.lit(0)).alias("total_orders"),
-            rounded(mean_of(F.sum("spent"), F.sum("order_count"))).alias("avg_order_value"),
-            F.sum("spent").alias("cohort_revenue"),
+            rounded(mean_of(scaled(F.sum("spent")), F.sum("order_count"))).alias("avg_order_value"),
+            scaled(F.sum("spent")).alias("cohort_revenue"),
         )
     )
 
@@ -269,8 +275,8 @@ def category_performance(retail: Retail) -> DataFrame:
         .agg(
             F.count("*").alias("orders"),
             F.sum("units").alias("units_sold"),
-            F.sum("revenue").alias("revenue"),
-            rounded(mean_of(F.sum("prices"), F.sum("lines"))).alias("avg_price"),
+            scaled(F.sum("revenue")).alias("revenue"),
+            rounded(mean_of(scaled(F.sum("prices")), F.sum("lines"))).alias("avg_price"),
         )
     )
 
@@ -285,8 +291,8 @@ def tier_category_sales(retail: Retail) -> DataFrame:
         .agg(
             F.count("*").alias("order_count"),
             F.sum("units").alias("units_sold"),
-            F.sum("revenue").alias("total_revenue"),
-            rounded(mean_of(F.sum("revenue"), F.sum("lines"))).alias("avg_line_value"),
+            scaled(F.sum("revenue")).alias("total_revenue"),
+            rounded(mean_of(scaled(F.sum("revenue")), F.sum("lines"))).alias("avg_line_value"),
         )
     )
 
@@ -303,12 +309,12 @@ def product_sales_since(retail: Retail, months: int | None, k: int) -> DataFrame
         lines.join(orders.select("order_id", "customer_id"), "order_id")
         .join(names, "product_id")
         .groupBy("category_name", "product_name", "customer_id")
-        .agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("spent"))
+        .agg(F.sum("quantity").alias("units"), cents_total("line_total").alias("spent"))
     )
     sales = per_customer.groupBy("category_name", "product_name").agg(
         F.count("customer_id").alias("unique_customers"),
         F.sum("units").alias("units_sold"),
-        F.sum("spent").alias("revenue"),
+        scaled(F.sum("spent")).alias("revenue"),
     )
     return top_k(sales, "revenue", k, "category_name", "product_name")
 
@@ -364,8 +370,8 @@ def day_of_week_sales(retail: Retail) -> DataFrame:
     daily = retail.completed.groupBy(F.date_format("order_date", "EEEE").alias("day_of_week"))
     return daily.agg(
         F.count("*").alias("order_count"),
-        F.sum("total_amount").alias("total_revenue"),
-        rounded(mean_of(F.sum("total_amount"), F.count("*"))).alias("avg_order_value"),
+        money_total("total_amount").alias("total_revenue"),
+        rounded(money_mean("total_amount")).alias("avg_order_value"),
         F.min(F.dayofweek("order_date")).alias("_sunday_first"),
     ).orderBy("_sunday_first").drop("_sunday_first")
 
@@ -388,14 +394,14 @@ def last_order_date(retail: Retail):
 def recent_monthly(retail: Retail, months: int = 6) -> DataFrame:
     recent = retail.completed.filter(F.col("order_date") >= F.add_months(last_order_date(retail), -months))
     return recent.groupBy(month_label("order_date").alias("month")).agg(
-        F.count("*").alias("order_count"), F.sum("total_amount").alias("monthly_revenue")
+        F.count("*").alias("order_count"), money_total("total_amount").alias("monthly_revenue")
     )
 
 
 def date_range_daily(retail: Retail, start: str = "1997-01-01", end: str = "1997-12-31") -> DataFrame:
     days = F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     return retail.completed.filter(days).groupBy("order_date").agg(
-        F.count("*").alias("orders"), F.sum("total_amount").alias("revenue")
+        F.count("*").alias("orders"), money_total("total_amount").alias("revenue")
     )
 
 
@@ -424,18 +430,18 @@ def project(retail: Retail) -> DataFrame:
 
 def order_totals(retail: Retail) -> DataFrame:
     """Every order with its total recomputed from its lines, 0 without lines."""
-    sums = retail.order_items.groupBy("order_id").agg(F.sum("line_total").alias("lines_total"))
+    sums = retail.order_items.groupBy("order_id").agg(cents_total("line_total").alias("lines_total"))
     return retail.orders.join(sums, "order_id", "left").select(
-        "order_id", F.coalesce("lines_total", F.lit(0)).cast("decimal(28,2)").alias("total_amount")
+        "order_id", scaled(F.coalesce("lines_total", F.lit(0))).alias("total_amount")
     )
 
 
 def timing_compare(runs: DataFrame) -> DataFrame:
-    """Before/after comparison of run times: ``runs(query, phase, seconds)``."""
+    """Before/after comparison of run times: ``runs(query, phase, seconds)``, to a hundredth."""
     averages = runs.groupBy("query").agg(
         *[
             mean_of(
-                F.sum(F.when(F.col("phase") == phase, F.col("seconds"))),
+                money_total(F.when(F.col("phase") == phase, F.col("seconds"))),
                 F.count_if(F.col("phase") == phase),
             ).alias(f"{phase}_avg")
             for phase in ("before", "after")

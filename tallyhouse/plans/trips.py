@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.scalar import banded, exact_mean, money_total, number
+from tallyhouse.functions.scalar import banded, mean, money_mean, money_total, number
 from tallyhouse.operators.ranking import (
     top_k,
     top_per_group,
@@ -118,10 +118,10 @@ def weekend_summary(features: DataFrame) -> DataFrame:
     return features.groupBy("is_weekend").agg(
         F.count("*").alias("total_trips"),
         money_total("total_amount").alias("total_revenue"),
-        exact_mean("total_amount").alias("avg_fare"),
-        exact_mean("trip_distance").alias("avg_distance"),
-        exact_mean("trip_duration_minutes").alias("avg_duration"),
-        exact_mean("tip_percentage").alias("avg_tip_pct"),
+        money_mean("total_amount").alias("avg_fare"),
+        mean("trip_distance").alias("avg_distance"),
+        mean("trip_duration_minutes").alias("avg_duration"),
+        mean("tip_percentage").alias("avg_tip_pct"),
     )
 
 
@@ -148,7 +148,7 @@ def trip_monthly(trips: DataFrame) -> DataFrame:
     return trips.groupBy("pickup_year", "pickup_month").agg(
         F.count("*").alias("trips"),
         money_total("total_amount").alias("revenue"),
-        exact_mean("total_amount").alias("avg_fare"),
+        money_mean("total_amount").alias("avg_fare"),
     )
 
 
@@ -179,8 +179,8 @@ def tips_by_payment(features: DataFrame) -> DataFrame:
     return features.groupBy("payment_type").agg(
         F.count("*").alias("numtrips"),
         money_total("tip_amount").alias("total_tips"),
-        exact_mean("tip_amount").alias("avg_tip"),
-        exact_mean("tip_percentage").alias("avg_tip_pct"),
+        money_mean("tip_amount").alias("avg_tip"),
+        mean("tip_percentage").alias("avg_tip_pct"),
     )
 
 
@@ -191,7 +191,7 @@ def tips_pivot(features: DataFrame, payment_types: list[str] | None = None) -> D
     ``features`` (and refuses more than ``spark.sql.pivotMaxValues`` of them). Means are taken
     per hour and type first, so the pivot meets one row per cell.
     """
-    cells = features.groupBy("pickup_hour", "payment_type").agg(exact_mean("tip_percentage").alias("avg_tip_pct"))
+    cells = features.groupBy("pickup_hour", "payment_type").agg(mean("tip_percentage").alias("avg_tip_pct"))
     return cells.groupBy("pickup_hour").pivot("payment_type", payment_types).agg(F.first("avg_tip_pct"))
 
 
@@ -199,9 +199,9 @@ def by_passenger_count(features: DataFrame) -> DataFrame:
     return features.groupBy("passenger_count").agg(
         F.count("*").alias("num_trips"),
         money_total("total_amount").alias("revenue"),
-        exact_mean("total_amount").alias("avg_fare"),
-        exact_mean("trip_distance").alias("avg_distance"),
-        exact_mean("tip_percentage").alias("avg_tip_pct"),
+        money_mean("total_amount").alias("avg_fare"),
+        mean("trip_distance").alias("avg_distance"),
+        mean("tip_percentage").alias("avg_tip_pct"),
     )
 
 
@@ -212,9 +212,9 @@ def distance_buckets(features: DataFrame) -> DataFrame:
         features.groupBy(band.alias("distance_bucket"))
         .agg(
             F.count("*").alias("trips"),
-            exact_mean("total_amount").alias("avg_fare"),
-            exact_mean("trip_duration_minutes").alias("avg_duration"),
-            exact_mean("speed_mph").alias("avg_speed"),
+            money_mean("total_amount").alias("avg_fare"),
+            mean("trip_duration_minutes").alias("avg_duration"),
+            mean("speed_mph").alias("avg_speed"),
             F.min("trip_distance").alias("sort_order"),
         )
         .orderBy("sort_order")
@@ -235,7 +235,7 @@ def zone(latitude: str, longitude: str) -> Column:
 def pickup_zones(features: DataFrame, k: int = 10) -> DataFrame:
     cells = features.groupBy(zone("pickup_latitude", "pickup_longitude").alias("pickup_zone")).agg(
         F.count("*").alias("pickups"),
-        exact_mean("total_amount").alias("avg_fare"),
+        money_mean("total_amount").alias("avg_fare"),
         money_total("total_amount").alias("total_fare"),
     )
     return top_k(cells, "pickups", k, "pickup_zone")
@@ -245,7 +245,7 @@ def dropoff_zones(features: DataFrame, k: int = 10) -> DataFrame:
     cells = features.groupBy(zone("dropoff_latitude", "dropoff_longitude").alias("dropoff_zone")).agg(
         F.count("*").alias("dropoffs"),
         money_total("total_amount").alias("revenue"),
-        exact_mean("total_amount").alias("avg_fare"),
+        money_mean("total_amount").alias("avg_fare"),
     )
     return top_k(cells, "dropoffs", k, "dropoff_zone")
 
@@ -258,8 +258,8 @@ def popular_routes(features: DataFrame, min_trips: int = 100, k: int = 20) -> Da
     ).agg(
         F.count("*").alias("trips"),
         money_total("total_amount").alias("total_revenue"),
-        exact_mean("total_amount").alias("avg_fare"),
-        exact_mean("trip_distance").alias("avg_distance"),
+        money_mean("total_amount").alias("avg_fare"),
+        mean("trip_distance").alias("avg_distance"),
     )
     return top_k(routes.filter(F.col("trips") > min_trips), "trips", k, "pickup_zone", "dropoff_zone")
 
@@ -268,6 +268,6 @@ def _volume() -> list[Column]:
     return [
         F.count("*").alias("numtrips"),
         money_total("total_amount").alias("total_revenue"),
-        exact_mean("total_amount").alias("avg_fare"),
-        exact_mean("trip_distance").alias("avg_distance"),
+        money_mean("total_amount").alias("avg_fare"),
+        mean("trip_distance").alias("avg_distance"),
     ]

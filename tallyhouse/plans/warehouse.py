@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import OPEN_END, calendar_of, date_dimension
-from tallyhouse.functions.scalar import date_key, full_name, mean_of, relabel, rounded
+from tallyhouse.functions.scalar import cents, cents_total, date_key, full_name, mean_of, relabel, rounded, scaled
 from tallyhouse.operators.keys import with_sequence_key
 from tallyhouse.operators.ranking import top_k
 from tallyhouse.sources.files import load_once
@@ -30,9 +30,9 @@ PAYMENT_METHODS = [
     (4, "AP", "Apple Pay", 2.5),
 ]
 
-# Payment method by order id modulo 4, and the tax rate.
+# Payment method by order id modulo 4, and the tax in percent.
 PAYMENT_BY_REMAINDER = {0: "Credit Card", 1: "Debit Card", 2: "PayPal", 3: "Apple Pay"}
-TAX_RATE = "0.08"
+TAX_PERCENT = 8
 
 TABLES = ["dim_date", "dim_customer", "dim_product", "dim_order_status", "dim_payment_method", "fact_sales"]
 
@@ -150,17 +150,17 @@ def dim_payment_method(spark: SparkSession) -> DataFrame:
 
 def completed_lines(retail: Retail) -> DataFrame:
     """Lines of completed orders with payment method, tax and net revenue."""
-    line_total = F.col("line_total")
-    tax = (line_total * F.lit(TAX_RATE).cast("decimal(3,2)")).cast("decimal(20,4)")
-    discount = F.lit(0).cast("decimal(18,2)")
+    amount, discount = cents("line_total"), F.lit(0)
+    # Whole cents times percent: ten-thousandths, exact.
+    net = (amount - discount) * 100 + amount * TAX_PERCENT
     orders = retail.completed.select("order_id", "customer_id", "order_date", "order_status")
     items = retail.order_items.drop("ship_date")
     return items.join(orders, "order_id").withColumns(
         {
             "payment_method": relabel(F.col("order_id") % 4, PAYMENT_BY_REMAINDER),
-            "discount_amount": discount,
-            "tax_amount": tax,
-            "net_revenue": (line_total - discount + tax).cast("decimal(22,4)"),
+            "discount_amount": scaled(discount),
+            "tax_amount": scaled(amount * TAX_PERCENT, 4),
+            "net_revenue": scaled(net, 4),
         }
     )
 
@@ -279,7 +279,7 @@ def dw_weekend(house: Warehouse) -> DataFrame:
 
 def dw_top_products(house: Warehouse, k: int = 10) -> DataFrame:
     per_product = house.fact_sales.groupBy("product_key").agg(
-        *_fact_sums(), F.sum("unit_price").alias("prices")
+        *_fact_sums(), cents_total("unit_price").alias("prices")
     )
     named = per_product.join(
         house.dim_product.select("product_key", "product_name", "category_name"), "product_key"
@@ -289,7 +289,7 @@ def dw_top_products(house: Warehouse, k: int = 10) -> DataFrame:
         "category_name",
         F.col("units").alias("units_sold"),
         F.round("net", 2).alias("total_revenue"),
-        rounded(mean_of("prices", "lines")).alias("avg_price"),
+        rounded(mean_of(scaled("prices"), "lines")).alias("avg_price"),
     )
     return top_k(named, "total_revenue", k, "product_key")
 

@@ -6,11 +6,12 @@ each task parses its own pages; a page is one row, so nothing is gathered.
 
 from __future__ import annotations
 
+import html as entities
+import re
 import sys
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,83 +25,87 @@ HEADER_CLASS = "thead"
 CELL_NAME = "data-stat"
 PLAYER_CELLS = ("player", "name_display")
 
+# A comment, a script or style block, or one tag with its quoted attributes.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
-class _StatsTable(HTMLParser):
-    """Collects the body rows of the first marked table as dictionaries."""
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self._depth = 0  # nested tables below the marked one; 0 outside it
-        self._seen = self._in_body = False
-        self._row = self._cell = self._text = self._link = None
+def _attributes(text: str) -> dict[str, str]:
+    return {
+        name.lower(): entities.unescape(double or single or bare)
+        for name, double, single, bare in _ATTRIBUTE.findall(text)
+    }
 
-    def handle_starttag(self, tag, attrs):
-        attrs = dict(attrs)
+
+class _Row(dict):
+    """One table row; cells are filled in as they close."""
+
+    cell = link = None
+    text: list[str]
+
+    def open_cell(self, attributes: dict[str, str]) -> None:
+        self.close_cell()
+        self.cell, self.link, self.text = attributes.get(CELL_NAME), None, []
+
+    def close_cell(self) -> None:
+        if self.cell:
+            value = entities.unescape("".join(self.text)).strip()
+            if self.cell in PLAYER_CELLS:
+                self["player"] = value
+                if self.link is not None:
+                    self["player_url"] = self.link
+            self[self.cell] = value
+        self.cell = None
+
+
+def page_rows(page: str) -> list[dict]:
+    """Records of the first marked table of a page; none if it has no such table.
+
+    Rows and cells may lack their closing tags. Header rows repeated in the body, rows
+    without a player, and tables inside a cell are passed over.
+    """
+    rows: list[_Row] = []
+    depth, in_body, row, end = 0, False, None, 0
+
+    def finish(row: _Row | None) -> None:
+        if row is not None:
+            row.close_cell()
+            if row.get("player"):
+                rows.append(row)
+
+    for token in _TOKEN.finditer(page):
+        if row is not None and row.cell and depth == 1:
+            row.text.append(page[end : token.start()])
+        end = token.end()
+        closing, tag = token.group(2), (token.group(3) or "").lower()
         if tag == "table":
-            if self._depth:
-                self._depth += 1
-            elif not self._seen and attrs.get("id") == TABLE_ID:
-                self._seen, self._depth = True, 1
-        elif self._depth != 1:
-            return
+            if closing:
+                depth -= depth > 0
+                if depth == 0 and in_body:
+                    break
+            elif depth or _attributes(token.group(4)).get("id") == TABLE_ID:
+                depth += 1
+        elif depth != 1:
+            continue
         elif tag == "tbody":
-            self._in_body = True
-        elif tag == "tr" and self._in_body:
-            self._end_row()
-            if HEADER_CLASS not in (attrs.get("class") or "").split():
-                self._row = {}
-        elif tag in ("td", "th") and self._row is not None:
-            self._end_cell()
-            self._cell, self._text, self._link = attrs.get(CELL_NAME), [], None
-        elif tag == "a" and self._cell and self._link is None:
-            self._link = attrs.get("href") or ""
-
-    def handle_endtag(self, tag):
-        if tag == "table" and self._depth:
-            self._depth -= 1
-            if not self._depth:
-                self._end_row()
-                self._in_body = False
-        elif self._depth != 1:
-            return
+            if closing and in_body:
+                break
+            in_body = True
+        elif tag == "tr" and in_body:
+            finish(row)
+            header = closing or HEADER_CLASS in _attributes(token.group(4)).get("class", "").split()
+            row = None if header else _Row()
+        elif row is None:
+            continue
         elif tag in ("td", "th"):
-            self._end_cell()
-        elif tag in ("tr", "tbody"):
-            self._end_row()
-            self._in_body = self._in_body and tag != "tbody"
-
-    def handle_data(self, data):
-        if self._cell and self._text is not None:
-            self._text.append(data)
-
-    def close(self):
-        super().close()
-        self._end_row()
-
-    def _end_cell(self):
-        if self._cell and self._row is not None:
-            value = "".join(self._text).strip()
-            if self._cell in PLAYER_CELLS:
-                self._row["player"] = value
-                if self._link is not None:
-                    self._row["player_url"] = self._link
-            self._row[self._cell] = value
-        self._cell = self._text = self._link = None
-
-    def _end_row(self):
-        self._end_cell()
-        if self._row and self._row.get("player"):
-            self.rows.append(self._row)
-        self._row = None
-
-
-def page_rows(html: str) -> list[dict]:
-    """Records of one page; none if it holds no such table."""
-    parser = _StatsTable()
-    parser.feed(html)
-    parser.close()
-    return parser.rows
+            row.close_cell() if closing else row.open_cell(_attributes(token.group(4)))
+        elif tag == "a" and not closing and row.cell and row.link is None:
+            row.link = _attributes(token.group(4)).get("href", "")
+    finish(row)
+    return rows
 
 
 def stats_records(pages: DataFrame, stats: list[str], base_url: str, season_year: int) -> DataFrame:
@@ -110,32 +115,30 @@ def stats_records(pages: DataFrame, stats: list[str], base_url: str, season_year
     read gives one row with its ``error``, and the job goes on.
     """
     cells = [s for s in stats if s not in ("season_year", "player_url")]
-    schema = ", ".join(
-        ["page_id bigint", "row_no int", *[f"`{c}` string" for c in cells], "player_link string", "error string"]
-    )
-    names = ["page_id", "row_no", *cells, "player_link", "error"]
+    texts = [*cells, "player_url", "error"]
+    schema = pa.schema([("page_id", pa.int64()), ("row_no", pa.int32()), *[(c, pa.string()) for c in texts]])
+    ddl = ", ".join(["page_id bigint", "row_no int", *[f"`{c}` string" for c in texts]])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for page_id, html in zip(batch["page_id"], batch["html"]):
+            for page_id, page in zip(batch["page_id"].to_pylist(), batch["html"].to_pylist()):
                 try:
-                    rows = page_rows(html or "")
+                    found = page_rows(page or "")
                 except Exception as problem:
-                    out.append((page_id, 0, *[None] * len(cells), None, str(problem)))
+                    out.append({"page_id": page_id, "row_no": 0, "error": str(problem)})
                     continue
-                for number, row in enumerate(rows, 1):
-                    out.append((page_id, number, *[row.get(c) for c in cells], row.get("player_url"), None))
-            yield pd.DataFrame(out, columns=names)
+                out += [{**row, "page_id": page_id, "row_no": place} for place, row in enumerate(found, 1)]
+            yield pa.RecordBatch.from_pydict({c: [row.get(c) for row in out] for c in schema.names}, schema)
 
     # Only pages that can hold the table are handed to Python; the test runs inside the scan stage.
     likely = pages.filter(F.col("html").contains(TABLE_ID)).select("page_id", "html")
-    return likely.mapInPandas(parse, schema).select(
+    return likely.mapInArrow(parse, ddl).select(
         "page_id",
         "row_no",
         F.lit(season_year).alias("season_year"),
         *cells,
-        F.concat(F.lit(base_url), F.col("player_link")).alias("player_url"),
+        F.concat(F.lit(base_url), F.col("player_url")).alias("player_url"),
         F.current_timestamp().alias("scraped_at"),
         "error",
     )

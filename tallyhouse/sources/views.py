@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.scalar import MONEY, at_least, money, number, relabel, rounded
+from tallyhouse.functions.scalar import at_least, relabel
 from tallyhouse.sources.player_columns import RAW_COLUMNS, TOTAL_TEAM
 from tallyhouse.sources.tables import table
 
@@ -93,7 +93,7 @@ class Retail:
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category_name"),
-            money("p_retailprice").alias("unit_price"),
+            F.col("p_retailprice").alias("unit_price"),
             F.col("p_size").cast("bigint").alias("stock_quantity"),
             (F.col("p_size") % 10 != 0).alias("is_active"),
         )
@@ -142,7 +142,7 @@ def _order_columns(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("order_date"),
         relabel("o_orderstatus", STATUS_BY_CODE).alias("order_status"),
-        money("o_totalprice").alias("total_amount"),
+        F.col("o_totalprice").alias("total_amount"),
     )
 
 
@@ -151,8 +151,9 @@ def _item_columns(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        rounded(F.col("l_extendedprice") / F.col("l_quantity")).cast(MONEY).alias("unit_price"),
-        money("l_extendedprice").alias("line_total"),
+        # To the cent, in plain double arithmetic.
+        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / 100).alias("unit_price"),
+        F.col("l_extendedprice").alias("line_total"),
         F.to_date("l_shipdate").alias("ship_date"),
         _line_id().alias("order_item_id"),
         # Assigned at the scan, like a load-time sequence: unique, and no shuffle.
@@ -161,23 +162,9 @@ def _item_columns(lineitem: DataFrame) -> DataFrame:
 
 
 def _line_id():
-    """Identity of an order line: line numbers repeat within an order, so digest every column."""
-    return F.md5(
-        F.concat_ws(
-            "|",
-            "l_orderkey",
-            "l_partkey",
-            "l_suppkey",
-            "l_linenumber",
-            money("l_quantity"),
-            money("l_extendedprice"),
-            money("l_discount"),
-            money("l_tax"),
-            "l_returnflag",
-            "l_linestatus",
-            F.to_date("l_shipdate"),
-        )
-    )
+    """Line numbers repeat within an order, so product and supplier are added. Lines alike in all
+    four share an id; ``load_position`` tells them apart."""
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +196,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips spread over many months, out of the orders table (events span one month)."""
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").alias("pickup_datetime"), money("o_totalprice").alias("total_amount")
+        F.col("o_orderdate").alias("pickup_datetime"), F.col("o_totalprice").alias("total_amount")
     )
 
 
@@ -219,7 +206,7 @@ def staff(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("name"),
         (F.col("c_custkey") % 45 + 20).alias("age"),
         F.col("c_mktsegment").alias("department"),
-        (money("c_acctbal") * 10 + 20000).cast(MONEY).alias("salary"),
+        (F.rint(F.col("c_acctbal") * 1000) / 100 + 20000).alias("salary"),
     )
 
 
@@ -227,91 +214,77 @@ def raw_player_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped-looking player season rows, all text, out of the line items.
 
     A part is a player and a return flag is a team; one player in four stays with team A. One
-    player in three has a ``TOT`` row summing the teams; some pairs of players share a name; a few values are damaged on
-    purpose. ``source_pos`` carries the input order.
+    player in three has a ``TOT`` row summing the teams; some pairs of players share a name; a
+    few values are damaged on purpose. ``source_pos`` carries the input order.
     """
-    q = F.col("l_quantity").cast("bigint")
-    n = F.col("l_linenumber").cast("bigint")
-    team = F.when(F.col("l_partkey") % 4 == 1, "A").otherwise(F.col("l_returnflag"))
-    parts = {
-        "games": F.lit(1),
-        "games_started": (q > 25).cast("bigint"),
-        "mp": q,
-        "fg2": q % 7,
-        "fg2_miss": q % 5,
-        "fg3": n % 3,
-        "fg3_miss": n % 2,
-        "ft": q % 4,
-        "ft_miss": q % 2,
-        "orb": n,
-        "drb": q % 9,
-        "ast": q % 11,
-        "stl": q % 3,
-        "blk": (F.col("l_linestatus") == "F").cast("bigint"),
-        "tov": n % 4,
-        "pf": q % 6,
+    quantity, line = "cast(l_quantity as bigint)", "l_linenumber"
+    sums = {
+        "games": "1",
+        "games_started": f"int({quantity} > 25)",
+        "mp": quantity,
+        "fg2": f"{quantity} % 7",
+        "fg2_miss": f"{quantity} % 5",
+        "fg3": f"{line} % 3",
+        "fg3_miss": f"{line} % 2",
+        "ft": f"{quantity} % 4",
+        "ft_miss": f"{quantity} % 2",
+        "orb": line,
+        "drb": f"{quantity} % 9",
+        "ast": f"{quantity} % 11",
+        "stl": f"{quantity} % 3",
+        "blk": "int(l_linestatus = 'F')",
+        "tov": f"{line} % 4",
+        "pf": f"{quantity} % 6",
     }
     stints = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("id"), team.alias("team"))
-        .agg(*[F.sum(expr).alias(name) for name, expr in parts.items()])
+        .groupBy(F.expr("l_partkey as id"), F.expr("if(l_partkey % 4 = 1, 'A', l_returnflag) as team"))
+        .agg(*[F.expr(f"sum({expr}) as {name}") for name, expr in sums.items()])
     )
     seasons = (
-        stints.filter(F.col("id") % 3 == 0)
+        stints.filter("id % 3 = 0")
         .groupBy("id")
-        .agg(*[F.sum(name).alias(name) for name in parts], F.count("*").alias("teams"))
+        .agg(F.expr("count(*) as teams"), *[F.expr(f"sum({name}) as {name}") for name in sums])
         .filter("teams > 1")
-        .select("id", F.lit(TOTAL_TEAM).alias("team"), *parts)
+        .selectExpr("id", f"'{TOTAL_TEAM}' as team", *sums)
     )
     return _player_text(stints.unionByName(seasons))
 
 
 def _player_text(rows: DataFrame) -> DataFrame:
-    person = F.col("id")
-
-    def every(step):
-        return person % step == 0
-
-    def share(made, tried):
-        ratio = number(made) / F.nullif(number(tried), F.lit(0.0))
-        return F.coalesce(rounded(ratio, 3).cast("decimal(9,3)").cast("string"), F.lit(""))
-
-    sums = rows.withColumns(
-        {
-            "games": F.col("games") - 1,
-            "fg2a": F.col("fg2") + F.col("fg2_miss"),
-            "fg3a": F.col("fg3") + F.col("fg3_miss"),
-            "fta": F.col("ft") + F.col("ft_miss"),
-            "trb": F.col("orb") + F.col("drb"),
-        }
-    ).withColumns(
-        {
-            "fg": F.col("fg2") + F.col("fg3"),
-            "fga": F.col("fg2a") + F.col("fg3a"),
-            "pts": (F.col("fg2") * 2 + F.col("fg3") * 3 + F.col("ft")) * F.when(every(67), 10).otherwise(1),
-        }
+    def share(made: str, tried: str) -> str:
+        ratio = f"cast({made} as double) / nullif(cast({tried} as double), 0)"
+        return f"coalesce(cast(cast(round(cast({ratio} as decimal(38,6)), 3) as decimal(9,3)) as string), '')"
+
+    totals = rows.selectExpr(
+        "*",
+        "fg2 + fg2_miss as fg2a",
+        "fg3 + fg3_miss as fg3a",
+        "ft + ft_miss as fta",
+        "orb + drb as trb",
+        "fg2 + fg3 as fg",
+        "fg2 + fg2_miss + fg3 + fg3_miss as fga",
+        "(fg2 * 2 + fg3 * 3 + ft) * if(id % 67 = 0, 10, 1) as pts",
     )
     text = {
-        "season_year": F.lit(2025),
-        "player": F.concat(F.lit("Player "), (person - every(97).cast("int")).cast("string")),
-        "player_url": F.concat(F.lit("/players/"), person.cast("string"), F.lit(".html")),
-        "games": F.col("games").cast("string"),
-        "games_started": F.col("games_started").cast("string"),
-        "team_name_abbr": F.col("team"),
-        "pos": F.element_at(F.array(*map(F.lit, ("PG", "SG", "SF", "PF", "C"))), (person % 5 + 1).cast("int")),
-        "age": F.when(every(41), "n/a").otherwise((person % 37 + 16).cast("string")),
-        "mp": F.when(every(53), "").otherwise(F.col("mp").cast("string")),
+        "season_year": "2025",
+        "player": "concat('Player ', id - if(id % 97 = 0, 1, 0))",
+        "player_url": "concat('/players/', id, '.html')",
+        "games": "cast(games - 1 as string)",
+        "team_name_abbr": "team",
+        "pos": "element_at(array('PG', 'SG', 'SF', 'PF', 'C'), cast(id % 5 + 1 as int))",
+        "age": "if(id % 41 = 0, 'n/a', cast(id % 37 + 16 as string))",
+        "mp": "if(id % 53 = 0, '', cast(mp as string))",
         "fg_pct": share("fg", "fga"),
         "fg3_pct": share("fg3", "fg3a"),
         "fg2_pct": share("fg2", "fg2a"),
-        "efg_pct": share(number("fg") + number("fg3") * 0.5, "fga"),
-        "ft_pct": F.when(every(61), "120").otherwise(share("ft", "fta")),
-        "stl": F.when(every(59), "-3").otherwise(F.col("stl").cast("string")),
-        "source_pos": person * 10
-        + F.coalesce(F.array_position(F.array(*map(F.lit, ("A", "N", "R"))), F.col("team")), F.lit(0)),
+        "efg_pct": share("(cast(fg as double) + cast(fg3 as double) * 0.5D)", "fga"),
+        "ft_pct": f"if(id % 61 = 0, '120', {share('ft', 'fta')})",
+        "stl": "if(id % 59 = 0, '-3', cast(stl as string))",
     }
-    text |= {name: F.col(name).cast("string") for name in RAW_COLUMNS if name not in text}
-    return sums.select(*[text[name].alias(name) for name in RAW_COLUMNS], text["source_pos"].alias("source_pos"))
+    columns = [f"{text.get(c, f'cast({c} as string)')} as {c}" for c in RAW_COLUMNS]
+    position = "id * 10 + case team when 'A' then 1 when 'N' then 2 when 'R' then 3 else 0 end as source_pos"
+    return totals.selectExpr(*columns, position)
 
 
 def tier_changes(retail: Retail) -> DataFrame:
