@@ -16,11 +16,6 @@ from tallyhouse.operators.keys import with_sequence_key
 _CHANGE = ("customer_id", "new_tier", "effective_date")
 
 
-def _by_date():
-    """Changes of one customer in time order: at most one row per day."""
-    return Window.partitionBy("customer_id").orderBy("effective_date")
-
-
 def _dated(changes: DataFrame) -> DataFrame:
     """One row per customer and day, with the number of changes asked for on that day."""
     return changes.groupBy("customer_id", "effective_date").agg(
@@ -34,19 +29,6 @@ def _current(dim: DataFrame) -> DataFrame:
     )
 
 
-def accepted_changes(dim: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changes to known customers, one per day, later than the current version's start,
-    and different from the tier they follow."""
-    usable = (
-        _dated(changes)
-        .filter("_asked = 1")
-        .join(_current(dim), "customer_id")
-        .filter("effective_date > _since")
-    )
-    before = F.coalesce(F.lag("new_tier").over(_by_date()), F.col("_tier"))
-    return usable.withColumn("_before", before).filter("new_tier <> _before").select(*_CHANGE)
-
-
 def rejected_changes(dim: DataFrame, changes: DataFrame) -> DataFrame:
     """Changes that cannot be dated: two on one day, or not later than the current version."""
     known = changes.join(_current(dim), "customer_id")
@@ -65,38 +47,40 @@ def rejected_changes(dim: DataFrame, changes: DataFrame) -> DataFrame:
 def scd2_apply(dim: DataFrame, changes: DataFrame) -> DataFrame:
     """The dimension after a batch of tier changes: closed versions, new versions, the rest.
 
-    A change to an unknown customer, or to the tier already held, does nothing.
+    Current versions and changes are laid in one line per customer, the current version first,
+    and every step below reads that line: one shuffle by customer serves them all. A change to
+    an unknown customer, or to the tier already held, does nothing; see ``rejected_changes``.
     """
-    accepted = accepted_changes(dim, changes)
-    following = F.lead("effective_date").over(_by_date())
-    versions = accepted.withColumn("_next", following)
-
-    first = accepted.groupBy("customer_id").agg(F.min("effective_date").alias("_first"))
-    closing = F.col("is_current") & F.col("_first").isNotNull()
-    kept = (
-        dim.join(first, "customer_id", "left")
-        .withColumns(
-            {
-                "valid_to": F.when(closing, F.date_sub("_first", 1)).otherwise(F.col("valid_to")),
-                "is_current": F.col("is_current") & F.col("_first").isNull(),
-            }
+    own = [c for c in dim.columns if c not in ("customer_id", "customer_tier", "valid_from")]
+    base = dim.filter("is_current").withColumn("_base", F.lit(True))
+    asked = (
+        _dated(changes)
+        .filter("_asked = 1")
+        .select(
+            "customer_id",
+            F.col("new_tier").alias("customer_tier"),
+            F.col("effective_date").alias("valid_from"),
+            F.lit(False).alias("_base"),
         )
-        .select(*dim.columns)
     )
-
-    added = (
-        dim.filter("is_current")
-        .join(versions, "customer_id")
+    line = Window.partitionBy("customer_id").orderBy(F.desc("_base"), "valid_from")
+    dated = (
+        base.unionByName(asked, allowMissingColumns=True)
+        .withColumns({"_known": F.first("_base").over(line), "_since": F.first("valid_from").over(line)})
+        .filter("_base or (_known and valid_from > _since)")
+        .withColumn("_before", F.lag("customer_tier").over(line))
+        .filter("_base or customer_tier <> _before")
+        .withColumn("_next", F.lead("valid_from").over(line))
+        .withColumns({c: F.first(c).over(line) for c in own})
         .withColumns(
             {
-                "customer_tier": F.col("new_tier"),
-                "valid_from": F.col("effective_date"),
                 "valid_to": F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END)),
                 "is_current": F.col("_next").isNull(),
             }
         )
-        .select(*[c for c in dim.columns if c != "customer_key"])
     )
+    kept = dim.filter("not is_current").unionByName(dated.filter("_base").select(*dim.columns))
+    added = dated.filter("not _base").select(*[c for c in dim.columns if c != "customer_key"])
     last_key = dim.agg(F.max("customer_key")).scalar()
     added = with_sequence_key(added, "customer_key", "customer_id", "valid_from", after=last_key)
     return kept.unionByName(added)

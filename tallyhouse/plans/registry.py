@@ -101,12 +101,15 @@ def _stored(fmt: str, name: str) -> Query:
 
 
 def _history(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The customer dimension and a batch of changes to it."""
     source = Retail(spark, sf)
     return Warehouse(source).dim_customer, views.tier_changes(source)
 
 
 def _after_changes(spark, sf) -> DataFrame:
-    return history.scd2_apply(*_history(spark, sf))
+    """The dimension is read several times by the apply step, so it is stored first."""
+    dim, changes = _history(spark, sf)
+    return history.scd2_apply(files.staged(dim, "dim-customer"), changes)
 
 
 _VERSION = ("customer_key", "customer_id", "first_name", "last_name", "customer_tier", "valid_from", "valid_to", "is_current")

@@ -87,6 +87,13 @@ def load_once(spark: SparkSession, build: Callable[[], DataFrame], path: str, *p
     return True
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Store a frame in the shared folder and read it back, so that several uses of it cost one
+    computation and a lost executor does not bring it back."""
+    path = write(df, fresh_path(df.sparkSession, label), "parquet")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def content_bytes(spark: SparkSession, path: str) -> int:
     """Size of the files under ``path``; the file listing is read, not the files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -25,19 +25,24 @@ HEADER_CLASS = "thead"
 CELL_NAME = "data-stat"
 PLAYER_CELLS = ("player", "name_display")
 
-# A comment, a script or style block, or one tag with its quoted attributes.
+# One tag with its quoted attributes, or a comment.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    r"""<(?:(/?)([a-z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|!--.*?(?:-->|\Z))""",
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
-def _attributes(text: str) -> dict[str, str]:
-    return {
-        name.lower(): entities.unescape(double or single or bare)
-        for name, double, single, bare in _ATTRIBUTE.findall(text)
-    }
+def _attribute(text: str, wanted: str) -> str | None:
+    """Value of one attribute of a tag."""
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        if name.lower() == wanted:
+            return _plain(double or single or bare)
+    return None
+
+
+def _plain(text: str) -> str:
+    return entities.unescape(text) if "&" in text else text
 
 
 class _Row(dict):
@@ -46,13 +51,13 @@ class _Row(dict):
     cell = link = None
     text: list[str]
 
-    def open_cell(self, attributes: dict[str, str]) -> None:
+    def open_cell(self, name: str | None) -> None:
         self.close_cell()
-        self.cell, self.link, self.text = attributes.get(CELL_NAME), None, []
+        self.cell, self.link, self.text = name, None, []
 
     def close_cell(self) -> None:
         if self.cell:
-            value = entities.unescape("".join(self.text)).strip()
+            value = _plain("".join(self.text)).strip()
             if self.cell in PLAYER_CELLS:
                 self["player"] = value
                 if self.link is not None:
@@ -68,7 +73,7 @@ def page_rows(page: str) -> list[dict]:
     without a player, and tables inside a cell are passed over.
     """
     rows: list[_Row] = []
-    depth, in_body, row, end = 0, False, None, 0
+    depth, in_body, row, end, skipping = 0, False, None, 0, None
 
     def finish(row: _Row | None) -> None:
         if row is not None:
@@ -77,16 +82,23 @@ def page_rows(page: str) -> list[dict]:
                 rows.append(row)
 
     for token in _TOKEN.finditer(page):
+        closing, tag, inside = token.groups()
+        tag = tag.lower() if tag else ""
+        if skipping:  # the text of a script or style block may look like tags
+            if closing and tag == skipping:
+                skipping, end = None, token.end()
+            continue
         if row is not None and row.cell and depth == 1:
             row.text.append(page[end : token.start()])
         end = token.end()
-        closing, tag = token.group(2), (token.group(3) or "").lower()
-        if tag == "table":
+        if tag in ("script", "style") and not closing:
+            skipping = tag
+        elif tag == "table":
             if closing:
                 depth -= depth > 0
                 if depth == 0 and in_body:
                     break
-            elif depth or _attributes(token.group(4)).get("id") == TABLE_ID:
+            elif depth or _attribute(inside, "id") == TABLE_ID:
                 depth += 1
         elif depth != 1:
             continue
@@ -96,14 +108,14 @@ def page_rows(page: str) -> list[dict]:
             in_body = True
         elif tag == "tr" and in_body:
             finish(row)
-            header = closing or HEADER_CLASS in _attributes(token.group(4)).get("class", "").split()
+            header = closing or HEADER_CLASS in (_attribute(inside, "class") or "").split()
             row = None if header else _Row()
         elif row is None:
             continue
         elif tag in ("td", "th"):
-            row.close_cell() if closing else row.open_cell(_attributes(token.group(4)))
+            row.close_cell() if closing else row.open_cell(_attribute(inside, CELL_NAME))
         elif tag == "a" and not closing and row.cell and row.link is None:
-            row.link = _attributes(token.group(4)).get("href", "")
+            row.link = _attribute(inside, "href") or ""
     finish(row)
     return rows
 
