@@ -40,16 +40,16 @@ def department_sizes(staff: DataFrame, offices: DataFrame, budgets: DataFrame) -
 
 def explicit_schema(rows: DataFrame, schema: T.StructType = STAFF_SCHEMA) -> DataFrame:
     """Rows in the columns, order and types of ``schema``; a NULL where none is allowed is an error."""
-    required = [
-        F.coalesce(
-            F.col(f.name).cast(f.dataType),
-            F.raise_error(F.lit(f"NULL in {f.name}")).cast(f.dataType),
-        ).alias(f.name)
-        if not f.nullable
-        else F.col(f.name).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ]
-    return rows.select(*required)
+
+    def conform(field: T.StructField):
+        value = F.col(field.name).cast(field.dataType)
+        if not field.nullable:
+            refusal = F.raise_error(F.lit(f"NULL in {field.name}")).cast(field.dataType)
+            # The last value is never reached; it marks the column as never NULL.
+            value = F.coalesce(value, refusal, F.lit(0).cast(field.dataType))
+        return value.alias(field.name)
+
+    return rows.select(*[conform(f) for f in schema.fields])
 
 
 def range_source(spark: SparkSession, last: int) -> DataFrame:
