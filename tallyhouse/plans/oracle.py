@@ -659,7 +659,7 @@ _BODIES = {
         FROM (SELECT year, month, month_name, category_name, sum(net_revenue) AS revenue,
                      CAST(sum(quantity) AS BIGINT) AS units_sold, count(DISTINCT customer_key) AS unique_customers
               FROM d_fact JOIN d_date USING (date_key) JOIN d_product USING (product_key)
-              WHERE full_date >= (SELECT max(full_date) FROM d_fact JOIN d_date USING (date_key)) - INTERVAL 6 MONTH
+              WHERE full_date >= (SELECT today FROM r_asof) - INTERVAL 6 MONTH
               GROUP BY ALL)
         ORDER BY year, month, revenue DESC, category_name LIMIT 15""",
     "dw_tier_revenue": """

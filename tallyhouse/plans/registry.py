@@ -79,10 +79,16 @@ def _staff(query, *args) -> Query:
 
 
 def _players(*steps) -> Query:
-    """The raw player rows put through the given steps in turn."""
+    """The raw player rows put through the given steps in turn.
+
+    Removing duplicates reads the records twice, so they are landed first, as captured
+    records are.
+    """
 
     def run(spark, sf):
         df = views.raw_player_totals(spark, sf)
+        if len(steps) > 1 or players.clean_players in steps:
+            df = files.staged(df, "player-records")
         for step in steps:
             df = df.transform(step)
         return df
@@ -141,6 +147,11 @@ def dim_payment_method(spark, sf):
     return warehouse.dim_payment_method(spark).join(paid, "payment_method_name", "left").fillna(0, ["orders"])
 
 
+def dw_monthly_category(spark, sf):
+    source = Retail(spark, sf)
+    return warehouse.dw_monthly_category(Warehouse(source), retail.last_order_date(source))
+
+
 def fact_asof_customer(spark, sf):
     """Sales facts with the tier the customer held on the day of the order."""
     source = Retail(spark, sf)
@@ -320,7 +331,7 @@ _REGISTERED: dict[str, Query] = {
     "fact_sales": _house(lambda house: house.fact_sales.drop("sales_key")),
     "vw_sales_complete": _house(lambda house: warehouse.vw_sales_complete(house).drop("sales_key")),
     "table_counts": _house(warehouse.table_counts),
-    "dw_monthly_category": _house(warehouse.dw_monthly_category),
+    "dw_monthly_category": dw_monthly_category,
     "dw_tier_revenue": _house(warehouse.dw_tier_revenue),
     "dw_weekend": _house(warehouse.dw_weekend),
     "dw_top_products": _house(warehouse.dw_top_products),

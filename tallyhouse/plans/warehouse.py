@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import OPEN_END, calendar_of, date_dimension
@@ -36,7 +36,11 @@ TAX_PERCENT = 8
 
 TABLES = ["dim_date", "dim_customer", "dim_product", "dim_order_status", "dim_payment_method", "fact_sales"]
 
-_FACT_KEYS = ("date_key", "customer_key", "product_key", "status_key", "payment_method_key")
+# The fact columns, in order.
+FACT_COLUMNS = [
+    "sales_key", "date_key", "customer_key", "product_key", "status_key", "payment_method_key", "order_id",
+    "order_item_id", "quantity", "unit_price", "line_total", "discount_amount", "tax_amount", "net_revenue",
+]
 
 
 class Warehouse:
@@ -88,7 +92,18 @@ class Warehouse:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return fact_sales(self.retail, self)
+        return fact_sales(self, FACT_COLUMNS)
+
+    def frames(self) -> dict[str, DataFrame]:
+        """The tables and the sales view by the names that SQL text uses."""
+        return {name: getattr(self, name) for name in TABLES} | {"vw_sales_complete": vw_sales_complete(self)}
+
+    def facts(self, *columns: str) -> DataFrame:
+        """Some columns of the facts. While the facts are not stored, only the keys asked for are
+        looked up: Catalyst cannot know that an unused look-up adds no rows."""
+        if "fact_sales" in self.__dict__:
+            return self.fact_sales.select(*columns)
+        return fact_sales(self, list(columns))
 
 
 # Dimensions
@@ -149,12 +164,16 @@ def dim_payment_method(spark: SparkSession) -> DataFrame:
 
 
 def completed_lines(retail: Retail) -> DataFrame:
-    """Lines of completed orders with payment method, tax and net revenue."""
+    """Lines of completed orders with payment method, tax, net revenue and a sales key.
+
+    The key is assigned where the lines are read, like a load-time sequence: unique within the
+    load, the same when a task is run again, and without a shuffle.
+    """
     amount, discount = cents("line_total"), F.lit(0)
     # Whole cents times percent: ten-thousandths, exact.
     net = (amount - discount) * 100 + amount * TAX_PERCENT
     orders = retail.completed.select("order_id", "customer_id", "order_date", "order_status")
-    items = retail.order_items.drop("ship_date")
+    items = retail.order_items.drop("ship_date").withColumn("sales_key", F.monotonically_increasing_id())
     return items.join(orders, "order_id").withColumns(
         {
             "payment_method": relabel(F.col("order_id") % 4, PAYMENT_BY_REMAINDER),
@@ -165,32 +184,22 @@ def completed_lines(retail: Retail) -> DataFrame:
     )
 
 
-def fact_sales(retail: Retail, house: Warehouse) -> DataFrame:
+def fact_sales(house: Warehouse, columns: list[str]) -> DataFrame:
     """One row per line of a completed order. Keys that are not found stay NULL."""
-    status = house.dim_order_status.select("status_key", F.col("status_name").alias("order_status"))
-    payment = house.dim_payment_method.select(
-        "payment_method_key", F.col("payment_method_name").alias("payment_method")
-    )
-    return (
-        completed_lines(retail)
-        .join(house.customer_keys, "customer_id", "left")
-        .join(house.product_keys, "product_id", "left")
-        .join(status, "order_status", "left")
-        .join(payment, "payment_method", "left")
-        .select(
-            F.col("load_position").alias("sales_key"),
-            date_key("order_date").alias("date_key"),
-            *_FACT_KEYS[1:],
-            "order_id",
-            "order_item_id",
-            "quantity",
-            "unit_price",
-            "line_total",
-            "discount_amount",
-            "tax_amount",
-            "net_revenue",
+    facts = completed_lines(house.retail).withColumn("date_key", date_key("order_date"))
+    if "customer_key" in columns:
+        facts = facts.join(house.customer_keys, "customer_id", "left")
+    if "product_key" in columns:
+        facts = facts.join(house.product_keys, "product_id", "left")
+    if "status_key" in columns:
+        status = house.dim_order_status.select("status_key", F.col("status_name").alias("order_status"))
+        facts = facts.join(status, "order_status", "left")
+    if "payment_method_key" in columns:
+        payment = house.dim_payment_method.select(
+            "payment_method_key", F.col("payment_method_name").alias("payment_method")
         )
-    )
+        facts = facts.join(payment, "payment_method", "left")
+    return facts.select(*columns)
 
 
 def vw_sales_complete(house: Warehouse) -> DataFrame:
@@ -210,24 +219,30 @@ def vw_sales_complete(house: Warehouse) -> DataFrame:
         .join(products, "product_key")
         .join(status, "status_key")
         .join(payment, "payment_method_key", "left")
-        .drop(*_FACT_KEYS, "tax_amount")
+        .drop("date_key", "customer_key", "product_key", "status_key", "payment_method_key", "tax_amount")
     )
 
 
 # Questions
 
 
-def dw_monthly_category(house: Warehouse, months: int = 6, k: int = 15) -> DataFrame:
-    """Revenue by month and category for the months up to the last day sold, 15 rows.
+def dw_monthly_category(house: Warehouse, today: Column | None = None, months: int = 6, k: int = 15) -> DataFrame:
+    """Revenue by month and category for the months up to ``today`` (else the last day sold), 15 rows.
 
-    Facts are reduced per day, product and customer before the dimensions are met.
+    The first day wanted is also put as a bound on the facts' own date key (and on the month
+    they are stored by), so that older facts are left out before any join.
     """
-    last_day = F.to_date(house.fact_sales.agg(F.max("date_key")).scalar().cast("string"), "yyyyMMdd")
+    if today is None:
+        last = house.facts("date_key").agg(F.max("date_key")).scalar()
+        today = F.to_date(last.cast("string"), "yyyyMMdd")
+    first_day = F.add_months(today, -months)
+    facts = house.facts("date_key", "product_key", "customer_key", "net_revenue", "quantity")
+    if "month_key" in house.fact_sales.columns:
+        facts = house.fact_sales.filter(F.col("month_key") >= F.floor(date_key(first_day) / 100))
     days = house.dim_date.select("date_key", "full_date", "year", "month", "month_name")
-    recent = days.filter(F.col("full_date") >= F.add_months(last_day, -months))
     per_customer = (
-        house.fact_sales.select("date_key", "product_key", "customer_key", "net_revenue", "quantity")
-        .join(recent, "date_key")
+        facts.filter(F.col("date_key") >= date_key(first_day))
+        .join(days.filter(F.col("full_date") >= first_day), "date_key")
         .join(house.dim_product.select("product_key", "category_name"), "product_key")
         .groupBy("year", "month", "month_name", "category_name", "customer_key")
         .agg(F.sum("net_revenue").alias("net"), F.sum("quantity").alias("units"))
@@ -243,7 +258,8 @@ def dw_monthly_category(house: Warehouse, months: int = 6, k: int = 15) -> DataF
 def dw_tier_revenue(house: Warehouse) -> DataFrame:
     """By tier of the current version. Facts go to one row per order, then per customer, so
     both distinct counts become plain counts of rows."""
-    per_order = house.fact_sales.groupBy("customer_key", "order_id").agg(*_fact_sums())
+    facts = house.facts("customer_key", "order_id", "net_revenue", "quantity")
+    per_order = facts.groupBy("customer_key", "order_id").agg(*_fact_sums())
     per_customer = per_order.groupBy("customer_key").agg(
         F.count("*").alias("orders"), *[F.sum(c).alias(c) for c in ("net", "lines", "units")]
     )
@@ -263,7 +279,7 @@ def dw_tier_revenue(house: Warehouse) -> DataFrame:
 
 def dw_weekend(house: Warehouse) -> DataFrame:
     """Facts are summed per day first: the date dimension then meets one row per day."""
-    per_day = house.fact_sales.groupBy("date_key").agg(*_fact_sums())
+    per_day = house.facts("date_key", "net_revenue", "quantity").groupBy("date_key").agg(*_fact_sums())
     day_type = F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday")
     return (
         per_day.join(house.dim_date.select("date_key", "is_weekend"), "date_key")
@@ -278,9 +294,8 @@ def dw_weekend(house: Warehouse) -> DataFrame:
 
 
 def dw_top_products(house: Warehouse, k: int = 10) -> DataFrame:
-    per_product = house.fact_sales.groupBy("product_key").agg(
-        *_fact_sums(), cents_total("unit_price").alias("prices")
-    )
+    facts = house.facts("product_key", "net_revenue", "quantity", "unit_price")
+    per_product = facts.groupBy("product_key").agg(*_fact_sums(), cents_total("unit_price").alias("prices"))
     named = per_product.join(
         house.dim_product.select("product_key", "product_name", "category_name"), "product_key"
     ).select(

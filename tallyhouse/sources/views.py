@@ -37,6 +37,21 @@ class Retail:
     def _read(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    def frames(self) -> dict[str, DataFrame]:
+        """The tables by the names that SQL text uses; customers with place and registration date."""
+        customers = self.customers if self.spark is None else self.customers_registered.drop("place_id")
+        products = self.products
+        if "category_id" not in products.columns:
+            ids = self.categories.select("category_id", "category_name")
+            products = products.join(ids, "category_name").drop("category_name")
+        return {
+            "customers": customers,
+            "orders": self.orders if self.spark is None else self.orders_shipped,
+            "order_items": self.order_items,
+            "products": products,
+            "categories": self.categories,
+        }
+
     @cached_property
     def customers(self) -> DataFrame:
         return _customer_columns(self._read("customer"))
@@ -124,6 +139,12 @@ class Retail:
         )
 
 
+    @property
+    def orders_shipped(self) -> DataFrame:
+        """Orders with their shipping date, NULL where there is none."""
+        return self.orders.join(self.ship_dates.drop("order_date"), "order_id", "left")
+
+
 def _customer_columns(customer: DataFrame) -> DataFrame:
     return customer.select(
         F.col("c_custkey").alias("customer_id"),
@@ -156,14 +177,12 @@ def _item_columns(lineitem: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("line_total"),
         F.to_date("l_shipdate").alias("ship_date"),
         _line_id().alias("order_item_id"),
-        # Assigned at the scan, like a load-time sequence: unique, and no shuffle.
-        F.monotonically_increasing_id().alias("load_position"),
     )
 
 
 def _line_id():
     """Line numbers repeat within an order, so product and supplier are added. Lines alike in all
-    four share an id; ``load_position`` tells them apart."""
+    four share an id; the sales key of the facts tells them apart."""
     return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
 

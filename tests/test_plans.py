@@ -107,7 +107,7 @@ def heavy(spark, tmp_path_factory):
         "order_items": spark.range(0, 120000, 1, 8).selectExpr(
             "if(id % 3 = 0, 0, id % 3000) as order_id", "if(id % 3 = 1, 5, id % 400) as product_id", "id % 7 + 1 as quantity",
             "(id % 1000) / 4.0D as unit_price", "(id % 1000) / 2.0D as line_total",
-            "date_add(date'2024-01-03', int(id % 50)) as ship_date", "cast(id as string) as order_item_id", "id as load_position",
+            "date_add(date'2024-01-03', int(id % 50)) as ship_date", "cast(id as string) as order_item_id",
         ),
         "products": spark.range(400).selectExpr(
             "id as product_id", "concat('p', id) as product_name", "if(id % 3 = 0, 'big', concat('c', id % 5)) as category_name",

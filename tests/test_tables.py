@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import calendar, date_dimension
@@ -19,7 +20,7 @@ from tallyhouse.operators.quality import (
 from tallyhouse.plans import warehouse
 from tallyhouse.plans.warehouse import Warehouse, build_warehouse
 from tallyhouse.session import fresh_path, shared_folder
-from tallyhouse.sources import files
+from tallyhouse.sources import files, sql
 from tallyhouse.sources.tables import table
 from tallyhouse.sources.views import Retail
 
@@ -109,6 +110,30 @@ def test_unknown_keys_stay_null(spark, small):
     assert facts.count() == Warehouse(source).fact_sales.count()
 
 
+def test_sql_over_registered_names(spark, small):
+    source = Retail(spark, small)
+    names = sql.register(source.frames()) + sql.register(Warehouse(source).frames())
+    assert {"customers", "order_items", "dim_date", "vw_sales_complete"} <= set(names)
+    by_month = sql.run(
+        spark,
+        "SELECT date_format(order_date, 'yyyy-MM') AS month, avg(datediff(ship_date, order_date)) AS days FROM orders"
+        " WHERE ship_date IS NOT NULL GROUP BY 1",
+    )
+    assert by_month.count() == 79
+    unsold = sql.run(
+        spark,
+        "SELECT product_name, c.category_name FROM products AS p JOIN categories AS c USING (category_id)"
+        " WHERE product_id NOT IN (SELECT product_id FROM {sold})",
+        sold=source.order_items.filter("product_id < 150"),
+    )
+    assert unsold.count() == 50
+    view = sql.run(spark, "SELECT sum(quantity) AS units, count(DISTINCT sales_key) AS n, count(*) AS m FROM vw_sales_complete").first()
+    facts = Warehouse(source).fact_sales.agg(F.sum("quantity"), F.count("*")).first()
+    assert (view.units, view.n, view.m) == (facts[0], facts[1], facts[1])
+    with pytest.raises(AnalysisException):
+        sql.run(spark, "SELECT nothing FROM orders")
+
+
 def test_default_calendar(spark):
     dim = date_dimension(calendar(spark, "2023-01-01", "2025-12-31"))
     assert dim.count() == 1096 and len(dim.columns) == 15
