@@ -49,6 +49,12 @@ def rounded(column: str | Column, places: int = 2) -> Column:
     return F.round(_col(column).cast(_RATIO), places)
 
 
+def rounded_even(column: str | Column, places: int) -> Column:
+    """Round a double, ties to the even neighbour."""
+    step = 10**places
+    return F.rint(_col(column) * step) / step
+
+
 def mean_of(total: str | Column, count: str | Column) -> Column:
     """total / count as double, NULL for a zero count."""
     return F.try_divide(number(total), number(count))

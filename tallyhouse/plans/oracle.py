@@ -214,8 +214,8 @@ _VIEWS = {
     "p_final": """
         SELECT *, {per_game:pts,2} AS pts_per_game, {per_game:trb,2} AS trb_per_game, {per_game:ast,2} AS ast_per_game,
                {per_game:mp,1} AS mp_per_game,
-               CAST(round(CAST(pts / CASE WHEN (fga + fta * 0.44::DOUBLE) * 2 = 0 THEN 1
-                   ELSE (fga + fta * 0.44::DOUBLE) * 2 END * 100 AS DECIMAL(38,6)), 1) AS DOUBLE) AS ts_pct
+               {even:pts / CASE WHEN (fga + fta * 0.44::DOUBLE) * 2 = 0 THEN 1
+                         ELSE (fga + fta * 0.44::DOUBLE) * 2 END * 100} AS ts_pct
         FROM p_clean""",
 }
 
@@ -243,10 +243,15 @@ def _share(ratio: str) -> str:
     return f"coalesce(CAST(CAST(round(CAST({quotient} AS DECIMAL(38,6)), 3) AS DECIMAL(9,3)) AS VARCHAR), '')"
 
 
+def _even(expression: str, places: int = 1) -> str:
+    step = f"{10**places}::DOUBLE"
+    return f"round_even(({expression}) * {step}, 0) / {step}"
+
+
 def _per_game(argument: str) -> str:
     column, places = argument.split(",")
     quotient = f"{column} / CASE WHEN g = 0 THEN 1 ELSE g END"
-    return f"CAST(round(CAST({quotient} AS DECIMAL(38,6)), {places}) AS DOUBLE)"
+    return _even(quotient, int(places))
 
 
 def _typed() -> str:
@@ -268,6 +273,7 @@ def _expand(text: str) -> str:
         "text": lambda c: f"CAST(s.{c} AS VARCHAR) AS {c}",
         "share": _share,
         "per_game": _per_game,
+        "even": _even,
         "typed": lambda _: _typed(),
         "filled": lambda _: _filled(),
     }

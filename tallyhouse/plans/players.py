@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.scalar import number, per_unit, rounded
+from tallyhouse.functions.scalar import per_unit, rounded_even
 from tallyhouse.operators.ranking import top_k
 from tallyhouse.session import fresh_path
 from tallyhouse.sources.files import write
@@ -71,16 +71,19 @@ def player_fill(players: DataFrame) -> DataFrame:
 
 
 def player_derived(players: DataFrame) -> DataFrame:
-    """Per-game figures and true shooting; zero games or attempts divide by one."""
+    """Per-game figures and true shooting; zero games or attempts divide by one.
+
+    Ties round to even here, as in the records' usual tooling.
+    """
     have = set(players.columns)
     figures = {
-        name: number(rounded(per_unit(source, "g"), places))
+        name: rounded_even(per_unit(source, "g"), places)
         for name, (source, places) in PER_GAME.items()
         if {source, "g"} <= have
     }
     if {"pts", "fga", "fta"} <= have:
         attempts = (F.col("fga") + F.col("fta") * 0.44) * 2
-        figures["ts_pct"] = number(rounded(per_unit("pts", attempts) * 100, 1))
+        figures["ts_pct"] = rounded_even(per_unit("pts", attempts) * 100, 1)
     return players.withColumns(figures)
 
 

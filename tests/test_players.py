@@ -63,6 +63,12 @@ def test_types_fill_and_derived(raw):
     assert "trb_per_game" not in clean["A", 1].asDict()
 
 
+def test_ties_round_to_even(spark):
+    rows = spark.createDataFrame([(1.0, 8.0), (3.0, 8.0), (161.0, 8.0)], "pts double, g double")
+    figures = {r.pts: r.pts_per_game for r in players.player_derived(rows).collect()}
+    assert figures == {1.0: 0.12, 3.0: 0.38, 161.0: 20.12}
+
+
 def test_quality_report(raw):
     found = {(r.check_name, r.column_name): r.hits for r in players.quality_report(players.clean_players(raw)).collect()}
     assert found == {
