@@ -174,7 +174,7 @@ def completed_lines(retail: Retail) -> DataFrame:
     net = (amount - discount) * 100 + amount * TAX_PERCENT
     orders = retail.completed.select("order_id", "customer_id", "order_date", "order_status")
     items = retail.order_items.drop("ship_date").withColumn("sales_key", F.monotonically_increasing_id())
-    return items.join(orders, "order_id").withColumns(
+    return retail.with_item_id(items.join(orders, "order_id")).withColumns(
         {
             "payment_method": relabel(F.col("order_id") % 4, PAYMENT_BY_REMAINDER),
             "discount_amount": scaled(discount),

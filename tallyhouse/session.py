@@ -34,10 +34,10 @@ def build_session(app: str = "tallyhouse", master: str | None = None, **extra: s
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the settings above on a session made elsewhere, keeping what its owner chose."""
+    """Set the AQE settings above on a session made elsewhere, keeping what its owner chose."""
     chosen = spark.sparkContext.getConf()
     for key, value in SETTINGS.items():
-        if not chosen.contains(key):
+        if key.startswith("spark.sql.adaptive.") and not chosen.contains(key):
             spark.conf.set(key, value)
     return spark
 

@@ -47,7 +47,7 @@ class Retail:
         return {
             "customers": customers,
             "orders": self.orders if self.spark is None else self.orders_shipped,
-            "order_items": self.order_items,
+            "order_items": self.with_item_id(self.order_items),
             "products": products,
             "categories": self.categories,
         }
@@ -102,6 +102,15 @@ class Retail:
     def order_items(self) -> DataFrame:
         return _item_columns(self._read("lineitem"))
 
+    def with_item_id(self, items: DataFrame) -> DataFrame:
+        """Add ``order_item_id`` where the source has none. Line numbers repeat within an order, so
+        product and supplier are added; lines alike in all four share an id, and the sales key of
+        the facts tells them apart. Adding it late keeps the text out of shuffles."""
+        if "order_item_id" in items.columns:
+            return items
+        parts = ("order_id", "line_number", "product_id", "supplier_id")
+        return items.withColumn("order_item_id", F.concat_ws("-", *[F.col(c).cast("string") for c in parts]))
+
     @cached_property
     def products(self) -> DataFrame:
         return self._read("part").select(
@@ -176,16 +185,11 @@ def _item_columns(lineitem: DataFrame) -> DataFrame:
         (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / 100).alias("unit_price"),
         F.col("l_extendedprice").alias("line_total"),
         F.to_date("l_shipdate").alias("ship_date"),
-        _line_id().alias("order_item_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_suppkey").alias("supplier_id"),
     )
 
 
-def _line_id():
-    """Line numbers repeat within an order, so product and supplier are added. Lines alike in all
-    four share an id; the sales key of the facts tells them apart."""
-    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-
-
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Taxi trips out of the events table; each trip depends on its own event row only.
 
@@ -260,14 +264,16 @@ def raw_player_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.expr("l_partkey as id"), F.expr("if(l_partkey % 4 = 1, 'A', l_returnflag) as team"))
         .agg(*[F.expr(f"sum({expr}) as {name}") for name, expr in sums.items()])
     )
-    seasons = (
-        stints.filter("id % 3 = 0")
-        .groupBy("id")
+    # Every team row also counts towards its player's total, where there is one.
+    teams = f"explode(if(id % 3 = 0, array(team, '{TOTAL_TEAM}'), array(team))) as team"
+    rows = (
+        stints.selectExpr("id", teams, *sums)
+        .groupBy("id", "team")
         .agg(F.expr("count(*) as teams"), *[F.expr(f"sum({name}) as {name}") for name in sums])
-        .filter("teams > 1")
-        .selectExpr("id", f"'{TOTAL_TEAM}' as team", *sums)
+        .filter(f"team <> '{TOTAL_TEAM}' or teams > 1")
+        .drop("teams")
     )
-    return _player_text(stints.unionByName(seasons))
+    return _player_text(rows)
 
 
 def _player_text(rows: DataFrame) -> DataFrame:
