@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, mixing, quality, urls
+from tallyhouse.llm import decontaminate, mixing, quality, simhash, urls
 from tallyhouse.session import apply_settings
 from tallyhouse.sources.tables import table
 
@@ -26,6 +26,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.linked_within(_documents(spark, sf_dir))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the compression verdict of every document."""
     judged = quality.judge(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -51,6 +56,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REGISTERED: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op5_decontaminate": op5_decontaminate,
     "op9_mix_sources": op9_mix_sources,
