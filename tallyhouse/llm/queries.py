@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, mixing, quality, simhash, urls
+from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, urls
 from tallyhouse.session import apply_settings
 from tallyhouse.sources.tables import table
 
@@ -37,6 +37,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "quality.*")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated chunks of lines."""
+    made = lines.remove_repeated_chunks(_documents(spark, sf_dir).select("doc_id", "text"))
+    return made.select(
+        "row.doc_id",
+        "n_lines",
+        "n_removed_lines",
+        "n_removed_chunks",
+        F.coalesce(F.length("kept_text"), F.lit(0)).cast("bigint").alias("kept_chars"),
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie inside benchmark windows."""
     found = decontaminate.scan(_documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -58,6 +71,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REGISTERED: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
