@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import packed, small_side, stored, word_count
 
-BINS = 65_536
+BINS = 4096
 
 
 def water_fill(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, urls
+from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, toxicity, urls
 from tallyhouse.session import apply_settings
 from tallyhouse.sources.tables import table
 
@@ -56,6 +56,19 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "hits.n_words", "hits.n_hit", "hits.n_items", "hits.items_sha256", "hits.contaminated")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    net = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, net).select(
+        "row.doc_id",
+        toxicity.held_out("row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "flagged",
+    )
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "text", "source"))
@@ -73,6 +86,7 @@ _REGISTERED: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
 }
