@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, toxicity, urls
+from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, suffixes, toxicity, urls
 from tallyhouse.session import apply_settings
 from tallyhouse.sources.tables import table
 
@@ -56,6 +56,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "hits.n_words", "hits.n_hit", "hits.n_items", "hits.items_sha256", "hits.contaminated")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 400-byte strings."""
+    made = suffixes.without_repeats(_documents(spark, sf_dir).select("doc_id", "text"), with_text=False)
+    return made.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -86,6 +92,7 @@ _REGISTERED: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
