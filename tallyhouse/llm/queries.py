@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, suffixes, toxicity, urls
-from tallyhouse.session import apply_settings
+from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc
+from tallyhouse.session import apply_settings, fresh_path
 from tallyhouse.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "quality.*")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page, then read all records back by the index."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = warc.archive_folder(spark)
+    index = warc.write(pages, folder)
+    return warc.read(index, folder).select(
+        F.col("id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated chunks of lines."""
     made = lines.remove_repeated_chunks(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -75,6 +89,30 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOKENIZERS = (
+    token_rollup.Tokenizer("words-1"),
+    token_rollup.Tokenizer("byte_bpe_50k-1", f"{token_rollup.TOKENIZER_FOLDER}/byte_bpe_50k.tiktoken"),
+)
+
+
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents loaded, texts with runs of blanks revised to
+    single ones, and documents labelled toxic deleted. The last batch arrives twice."""
+    docs = _documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "source", "lang", "text")
+    loaded = docs.select(F.lit("insert").alias("op"), "*")
+    single = F.regexp_replace("text", "[ \\t]{2,}", " ")
+    revised = docs.where(single != F.col("text")).select(F.lit("revise").alias("op"), "id", "source", "lang", single.alias("text"))
+    nothing = F.lit(None).cast("string")
+    deleted = (
+        table(spark, sf_dir, "labels").where("toxic = 1")
+        .select(F.lit("delete").alias("op"), F.col("doc_id").alias("id"), *[nothing.alias(c) for c in ("source", "lang", "text")])
+    )
+    rollup = token_rollup.Rollup(spark, fresh_path(spark, "token-rollup"), TOKENIZERS)
+    for batch, changes in (("1-load", loaded), ("2-blanks", revised), ("3-toxic", deleted), ("3-toxic", deleted)):
+        rollup.commit(batch, changes)
+    return rollup.totals()
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "text", "source"))
@@ -90,10 +128,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REGISTERED: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
+    "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_token_rollup": op8_token_rollup,
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
 }
