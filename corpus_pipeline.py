@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, mixing, quality
+from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash
 from tallyhouse.llm.common import stored
 from tallyhouse.session import apply_settings
 from tallyhouse.sources.tables import table
@@ -16,6 +16,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.passing(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that stand in an earlier one; ``n_chars`` follows."""
+    return lines.deduplicated(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles are alike to 0.8 or more."""
+    return simhash.one_of_each(docs, words=5, similarity=0.8)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark windows."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -26,12 +36,14 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     mixed = mixing.mix(docs)
     return mixed.where("copies > 0").select(
         *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "text", "lang", "source", "n_chars")],
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).cast("bigint").alias("copy"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"),
     )
 
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("mix_to_weights", mix_to_weights),
 ]
