@@ -1,8 +1,9 @@
 """Remove multi-line chunks that repeat across a corpus.
 
 A text is cut into chunks of lines where a rolling hash over the hashes of the last ``WINDOW``
-lines is divisible by ``DIVISOR``. A cut depends on these lines alone, so a passage that moved
-inside a text, or stands between other lines, is cut at the same places. A chunk of two or more
+lines is divisible by ``DIVISOR`` and that of the line before is not, so that no two cuts follow
+each other. A cut depends on a few lines alone, so a passage that moved inside a text, or stands
+between other lines, is cut at the same places. A chunk of two or more
 lines with words that occurs a second time, in any document, is removed; its first occurrence by
 (id, place in the text) stays.
 
@@ -23,7 +24,7 @@ from tallyhouse.llm.common import packed, stored
 
 WINDOW = 3
 BASE = 31
-DIVISOR = 4
+DIVISOR = 3
 LEAST_LINES = 2
 
 
@@ -45,11 +46,14 @@ def _cut(rows: DataFrame, text: Column) -> DataFrame:
     rows = _fixed(rows, hashes=F.transform("lines", line_hash))
     n = F.size("lines")
 
-    def ends_here(i: Column) -> Column:
+    def divides(i: Column) -> Column:
         rolling = F.lit(0).cast("bigint")
         for back in range(WINDOW):
             rolling = rolling + F.coalesce(F.get("hashes", i - 1 - back), F.lit(0)) * BASE**back
-        return (i == n) | (F.pmod(rolling, F.lit(DIVISOR)) == 0)
+        return F.pmod(rolling, F.lit(DIVISOR)) == 0
+
+    def ends_here(i: Column) -> Column:
+        return (i == n) | (divides(i) & ((i == 1) | ~divides(i - 1)))
 
     return _fixed(rows, ends=F.filter(F.sequence(F.lit(1), n), ends_here)).drop("hashes")
 

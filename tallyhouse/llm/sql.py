@@ -53,8 +53,10 @@ WITH split AS (
 ), hashed AS (
     SELECT doc_id, n, i, lines[i] AS line, CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h FROM numbered
 ), cut AS (
-    SELECT doc_id, i, line, CASE WHEN i = n OR ({_ROLLED}) % {lines.DIVISOR} = 0 THEN 1 ELSE 0 END AS ends
-    FROM hashed WINDOW by_line AS (PARTITION BY doc_id ORDER BY i)
+    SELECT doc_id, i, line,
+           CASE WHEN i = n OR rolled % {lines.DIVISOR} = 0 AND coalesce(lag(rolled) OVER (PARTITION BY doc_id ORDER BY i), 1) % {lines.DIVISOR} <> 0
+                THEN 1 ELSE 0 END AS ends
+    FROM (SELECT doc_id, n, i, line, {_ROLLED} AS rolled FROM hashed WINDOW by_line AS (PARTITION BY doc_id ORDER BY i)) r
 ), placed AS (
     SELECT doc_id, i, line,
            coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
