@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import packed, stored
+from tallyhouse.llm.common import checkpointed, packed, stored
 
 WINDOW = 3
 BASE = 31
@@ -98,7 +98,9 @@ def remove_repeated_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         "id", "text_hash", F.col("first").cast("int"), F.col("n").cast("int"), F.xxhash64("text").alias("chunk")
     )
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "first")
-    repeated = (
+    # Behind a checkpoint both sides of the join are plain exchanges, which Spark splits where a
+    # chunk has very many rows.
+    repeated = checkpointed(
         places.groupBy("chunk").agg(F.count(F.lit(1)).alias("times"), F.min(order).alias("keeper"))
         .where("times > 1").drop("times")
     )
