@@ -227,7 +227,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     found = docs.where(F.octet_length("text") >= LENGTH).select("doc", spans("text")["spans"].alias("spans"))
     found = found.select("doc", F.inline("spans"))
 
-    buckets = (
+    # Behind a checkpoint both sides of the join are plain exchanges, which Spark splits where a
+    # bucket has very many suffixes.
+    buckets = checkpointed(
         found.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("n"), (F.min("context") == F.max("context")).alias("alike"))
         .where("n > 1").select("bucket", "alike")
