@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import checkpointed, stored
 from tallyhouse.session import fresh_path
 
 FILE_BYTES = 256_000_000
@@ -199,7 +199,10 @@ def write(
     key = F.sha1(payload)
     size = F.octet_length(payload)
     light = pages.select(F.col(id_col).alias("id"), key.alias("key"), size.alias("size")).where(size >= revisit_from)
-    several = light.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
+    # Behind a checkpoint both sides of the join are plain exchanges, which Spark can split.
+    several = checkpointed(
+        light.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
+    )
     revisits = (
         light.join(several, "key").where(~F.col("id").eqNullSafe(F.col("first")))
         .select(F.col("id").alias("rid"), F.col("key").alias("rkey"), F.col("first").cast("string").alias("refers_to"))
