@@ -276,7 +276,8 @@ def _star_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bit
     """Links between members of posting lists (key, node), each list meeting at stars."""
     found = []
     while True:
-        stars = (
+        # Behind a checkpoint both sides of the join are plain exchanges, which Spark can split.
+        stars = checkpointed(
             index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("star"))
             .where("n > 1").select("key", "star")
         )

@@ -136,17 +136,18 @@ def _level(depth: int) -> str:
     SELECT host, node, child, sum(urls) AS urls, sum(blocked) AS blocked, sum(labelled) AS labelled
     FROM at{depth} WHERE child IS NOT NULL GROUP BY host, node, child
 ), parents{depth} AS (
-    SELECT host, node, sum(urls) AS all_urls, count(*) AS different, sum(blocked) AS all_blocked, sum(labelled) AS all_labelled
+    SELECT host, node, sum(urls) AS all_urls, count(*) AS different,
+           sum(CASE WHEN labelled > 0 THEN 1 ELSE 0 END) AS with_labels, sum(blocked) AS all_blocked, sum(labelled) AS all_labelled
     FROM children{depth} GROUP BY host, node
 ), rates{depth} AS (
-    SELECT c.*, p.all_urls, p.different,
+    SELECT c.*, p.all_urls, p.different, p.with_labels,
            CASE WHEN c.labelled > 0 THEN c.blocked::DOUBLE / c.labelled END AS rate,
            CASE WHEN p.all_labelled > 0 THEN p.all_blocked::DOUBLE / p.all_labelled END AS pooled
     FROM children{depth} c JOIN parents{depth} p ON c.host = p.host AND c.node = p.node
 ), decided{depth} AS (
     SELECT host, node, child,
            CASE WHEN all_urls >= {urls.VARIABLE_LEAST} AND different >= {urls.VARIABLE_SHARE} * all_urls
-                  OR coalesce(labelled > 0 AND abs(rate - pooled) <= {urls.Z} * sqrt(pooled * (1 - pooled) / labelled), FALSE)
+                  OR coalesce(labelled > 0 AND with_labels > 1 AND abs(rate - pooled) <= {urls.Z} * sqrt(pooled * (1 - pooled) / labelled), FALSE)
                 THEN '{urls.WILD}' ELSE child END AS becomes
     FROM rates{depth}
 ), shapes{depth + 1} AS (

@@ -98,13 +98,15 @@ def _level(shapes: DataFrame, depth: int) -> DataFrame:
     parents = children.groupBy(*node).agg(
         F.sum("urls").alias("all_urls"),
         F.count(F.lit(1)).alias("different"),
+        F.sum(F.when(F.col("labelled") > 0, 1).otherwise(0)).alias("with_labels"),
         F.sum("blocked").alias("all_blocked"),
         F.sum("labelled").alias("all_labelled"),
     )
     variable = (F.col("all_urls") >= VARIABLE_LEAST) & (F.col("different") >= VARIABLE_SHARE * F.col("all_urls"))
     pooled = F.try_divide("all_blocked", "all_labelled")
     error = F.sqrt(F.try_divide(pooled * (1 - pooled), F.col("labelled")))
-    similar = F.abs(F.try_divide("blocked", "labelled") - pooled) <= Z * error  # NULL without labels
+    rate = F.try_divide("blocked", "labelled")  # NULL without labels
+    similar = (F.col("with_labels") > 1) & (F.abs(rate - pooled) <= Z * error)
     decided = children.join(parents, node).select(
         *node, "child", F.when(variable | similar, F.lit(WILD)).otherwise(F.col("child")).alias("becomes")
     )

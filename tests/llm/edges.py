@@ -1,5 +1,7 @@
 """Small tables with the awkward rows that every corpus operator must take."""
 
+import random
+
 import pytest
 
 # Extra columns carry the names that the operators use inside.
@@ -9,8 +11,15 @@ DOC_SCHEMA = (
 )
 CLASH = ("own", 7, "own", 8, 0.5, 9, 10, "own", 11, 12, "own", 13, 14)
 
-LONG = " ".join(f"word{i % 997}x{i}" for i in range(60_000))
-PROSE = " ".join(f"plain{i}" for i in range(80))
+_dice = random.Random(6)
+
+
+def _word():
+    return "".join(_dice.choice(["an", "er", "in", "th", "o", "re", "st", "la", "u", "mi"]) for _ in range(_dice.randrange(1, 5)))
+
+
+PROSE = " ".join(_word() for _ in range(120))
+LONG = " ".join(_word() for _ in range(60_000))
 
 
 def rows():

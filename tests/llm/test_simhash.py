@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tallyhouse.llm import simhash
 from tallyhouse.llm.components import connected_components
 from tallyhouse.llm.queries import queries
-from tests.llm.edges import PROSE
+from tests.llm.edges import LONG
 
 
 def brute_print(text, size=3):
@@ -117,7 +117,7 @@ def test_groups_at_a_similarity(spark):
 
 def test_one_of_a_large_group(spark):
     """Four hundred near copies of one text, each with changes of its own, leave one."""
-    words = PROSE.split() * 5
+    words = LONG.split()[:400]
     texts = [edited(words, {i % 390, (7 * i) % 390}) for i in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert [r.doc_id for r in simhash.one_of_each(docs).collect()] == [0]
