@@ -3,7 +3,7 @@
 Money is kept to the cent and summed as whole cents: a sum of doubles depends on
 how rows are partitioned, and decimals cost several times as much per row. A sum
 holds up to 9.2e16 units of money and fails loudly beyond. Ratios are taken in
-double and rounded through a wide decimal, so that ties round half away from zero.
+double and rounded once, ties away from zero.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_RATIO = "decimal(38,6)"
-
 
 def cents(column: str | Column) -> Column:
     """An amount as whole cents."""
@@ -45,8 +43,9 @@ def number(column: str | Column) -> Column:
 
 
 def rounded(column: str | Column, places: int = 2) -> Column:
-    """Round half away from zero; ``column`` may be a double."""
-    return F.round(_col(column).cast(_RATIO), places)
+    """Round a double to some places: the whole number nearest to the shifted value, half away from zero."""
+    step = 10**places
+    return F.round(number(column) * step, 0) / step
 
 
 def rounded_even(column: str | Column, places: int) -> Column:
@@ -61,8 +60,11 @@ def mean_of(total: str | Column, count: str | Column) -> Column:
 
 
 def mean(column: str | Column) -> Column:
-    """Average of a measure, to six places: beyond those it varies with the order of rows."""
-    return number(F.avg(_col(column)).cast(_RATIO))
+    """Average of a measure, to six places: beyond those it varies with the order of rows.
+
+    An average that its type cannot hold is NULL.
+    """
+    return rounded(F.try_avg(_col(column)), 6)
 
 
 def percent_change(current: str | Column, previous: str | Column) -> Column:

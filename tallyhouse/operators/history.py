@@ -1,102 +1,107 @@
 """Slowly changing dimensions of types 1, 2 and 3, in batches.
 
 A change is ``(customer_id, new_tier, effective_date)``. A batch may hold many
-changes per customer; after conflicting dates are set aside there is at most one
-per customer and day, which bounds the windows below.
+changes per customer, also the same one several times; there is at most one per
+customer and day to apply, which bounds the lists below by the calendar.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import OPEN_END
 from tallyhouse.operators.keys import with_sequence_key
+from tallyhouse.sources.files import staged
 
 _CHANGE = ("customer_id", "new_tier", "effective_date")
 
 
-def _dated(changes: DataFrame) -> DataFrame:
-    """One row per customer and day, with the number of changes asked for on that day."""
-    return changes.groupBy("customer_id", "effective_date").agg(
-        F.min("new_tier").alias("new_tier"), F.count("*").alias("_asked")
+def _asked(dim: DataFrame, changes: DataFrame) -> DataFrame:
+    """One row per known customer and day: the tier asked for, the version it meets, and why the
+    day's changes cannot be applied (NULL if they can). The same change given twice is one."""
+    days = changes.groupBy("customer_id", "effective_date").agg(
+        F.min("new_tier").alias("new_tier"), (F.min("new_tier") != F.max("new_tier")).alias("_differ")
     )
-
-
-def _current(dim: DataFrame) -> DataFrame:
-    return dim.filter("is_current").select(
-        "customer_id", F.col("customer_tier").alias("_tier"), F.col("valid_from").alias("_since")
+    held = dim.filter("is_current").select("customer_id", F.col("valid_from").alias("_since"))
+    reason = F.when(F.col("_differ"), "several tiers on one date").when(
+        F.col("effective_date") <= F.col("_since"), "not after the current version"
     )
+    return days.join(held, "customer_id").withColumn("reason", reason)
 
 
 def rejected_changes(dim: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changes that cannot be dated: two on one day, or not later than the current version."""
-    known = changes.join(_current(dim), "customer_id")
-    days = _dated(changes).select("customer_id", "effective_date", "_asked")
-    reason = F.when(F.col("_asked") > 1, "several changes on one date").when(
-        F.col("effective_date") <= F.col("_since"), "not after the current version"
+    """Changes that no type applies: two tiers on one day, or not later than the current version."""
+    refused = _asked(dim, changes).filter("reason is not null").select("customer_id", "effective_date", "reason")
+    return changes.join(refused, ["customer_id", "effective_date"]).select(*_CHANGE, "reason")
+
+
+def _lists(changes: DataFrame) -> DataFrame:
+    """The changes of each customer in a list by date, at most one element per day; ``tiers`` is the
+    one tier asked for on that day, or NULL."""
+    days = changes.groupBy("customer_id", "effective_date").agg(
+        F.when(F.min("new_tier") == F.max("new_tier"), F.min("new_tier")).alias("tier")
     )
-    return (
-        known.join(days, ["customer_id", "effective_date"])
-        .withColumn("reason", reason)
-        .filter("reason is not null")
-        .select(*_CHANGE, "reason")
+    return days.groupBy("customer_id").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("effective_date").alias("day"), "tier"))).alias("_asked")
+    )
+
+
+def _applied(dim: DataFrame, changes: DataFrame) -> DataFrame:
+    """The dimension with ``_steps``: the changes that take effect on a current version, by date.
+
+    The changes are grouped by customer and met once by the dimension. What is not later than the
+    version or ambiguous is left out, and so is a step to the tier already held.
+    """
+    met = dim.join(_lists(changes), "customer_id", "left")
+    usable = F.filter(
+        F.coalesce("_asked", F.array().cast("array<struct<day: date, tier: string>>")),
+        lambda c: F.col("is_current") & (c["day"] > F.col("valid_from")) & c["tier"].isNotNull(),
     )
+    met = met.withColumn("_usable", usable)
+    held = lambda i: F.when(i == 0, F.col("customer_tier")).otherwise(F.get("_usable", i - 1)["tier"])
+    return met.withColumn("_steps", F.filter("_usable", lambda c, i: ~c["tier"].eqNullSafe(held(i)))).drop("_asked", "_usable")
 
 
 def scd2_apply(dim: DataFrame, changes: DataFrame) -> DataFrame:
     """The dimension after a batch of tier changes: closed versions, new versions, the rest.
 
-    Current versions and changes are laid in one line per customer, the current version first,
-    and every step below reads that line: one shuffle by customer serves them all. A change to
-    an unknown customer, or to the tier already held, does nothing; see ``rejected_changes``.
+    One join by customer and no window: a current version and its steps make the list of its
+    versions, which is unfolded. The outcome is stored, and only the added versions are numbered.
+    A change to an unknown customer, or to the tier already held, does nothing; see
+    ``rejected_changes``.
     """
-    own = [c for c in dim.columns if c not in ("customer_id", "customer_tier", "valid_from")]
-    base = dim.filter("is_current").withColumn("_base", F.lit(True))
-    asked = (
-        _dated(changes)
-        .filter("_asked = 1")
-        .select(
-            "customer_id",
-            F.col("new_tier").alias("customer_tier"),
-            F.col("effective_date").alias("valid_from"),
-            F.lit(False).alias("_base"),
-        )
-    )
-    line = Window.partitionBy("customer_id").orderBy(F.desc("_base"), "valid_from")
-    dated = (
-        base.unionByName(asked, allowMissingColumns=True)
-        .withColumns({"_known": F.first("_base").over(line), "_since": F.first("valid_from").over(line)})
-        .filter("_base or (_known and valid_from > _since)")
-        .withColumn("_before", F.lag("customer_tier").over(line))
-        .filter("_base or customer_tier <> _before")
-        .withColumn("_next", F.lead("valid_from").over(line))
-        .withColumns({c: F.first(c).over(line) for c in own})
-        .withColumns(
-            {
-                "valid_to": F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END)),
-                "is_current": F.col("_next").isNull(),
-            }
-        )
-    )
-    kept = dim.filter("not is_current").unionByName(dated.filter("_base").select(*dim.columns))
-    added = dated.filter("not _base").select(*[c for c in dim.columns if c != "customer_key"])
-    last_key = dim.agg(F.max("customer_key")).scalar()
+
+    def version(place, tier, since, key):
+        following = F.get("_steps", place)["day"]
+        return F.struct(
+            key.alias("_key"), tier.alias("_tier"), since.alias("_since"),
+            F.when(following.isNull() & (place == 0), F.col("valid_to"))
+            .otherwise(F.coalesce(F.date_sub(following, 1), F.lit(OPEN_END))).alias("_until"),
+            (F.col("is_current") & following.isNull()).alias("_open"),
+        )
+
+    base = version(F.lit(0), F.col("customer_tier"), F.col("valid_from"), F.col("customer_key"))
+    steps = F.transform("_steps", lambda c, i: version(i + 1, c["tier"], c["day"], F.lit(None).cast("bigint")))
+    kind = "array<struct<_key: bigint, _tier: string, _since: date, _until: date, _open: boolean>>"
+    unfolded = _applied(dim, changes).select("*", F.inline(F.concat(F.array(base).cast(kind), steps.cast(kind))))
+    renamed = {
+        "customer_key": "_key", "customer_tier": "_tier", "valid_from": "_since", "valid_to": "_until", "is_current": "_open",
+    }
+    versions = staged(unfolded.select(*[F.col(renamed.get(c, c)).alias(c) for c in dim.columns]), "versions")
+    last_key = versions.agg(F.max("customer_key")).scalar()
+    added = versions.filter("customer_key is null").drop("customer_key")
     added = with_sequence_key(added, "customer_key", "customer_id", "valid_from", after=last_key)
-    return kept.unionByName(added)
+    return versions.filter("customer_key is not null").unionByName(added)
 
 
 def scd1_apply(dim: DataFrame, changes: DataFrame) -> DataFrame:
-    """Current customers with the tier overwritten by the latest change; no history."""
-    latest = (
-        _dated(changes).filter("_asked = 1").groupBy("customer_id").agg(F.max_by("new_tier", "effective_date").alias("_new"))
-    )
-    return (
-        dim.filter("is_current")
-        .join(latest, "customer_id", "left")
-        .withColumn("customer_tier", F.coalesce("_new", "customer_tier"))
-        .drop("_new")
-    )
+    """Current customers with the tier overwritten by the latest change; no history. The changes
+    that type 2 refuses are refused here, too."""
+    last = F.element_at("_steps", -1)["tier"]
+    current_rows = _applied(dim.filter("is_current"), changes)
+    latest = F.when(F.size("_steps") > 0, last).otherwise(F.col("customer_tier"))
+    return current_rows.withColumn("customer_tier", latest).select(*dim.columns)
 
 
 def scd3_apply(dim: DataFrame, changes: DataFrame) -> DataFrame:

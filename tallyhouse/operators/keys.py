@@ -5,32 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET_WIDTH = 1_000_000
+from tallyhouse.sources.files import staged
 
+_PLACES = 1 << 33  # the lower part of a generated id counts the rows of a partition
 
-def with_sequence_key(
-    df: DataFrame, key: str, order: str, *more_order: str, after=0, width: int = _BUCKET_WIDTH
-) -> DataFrame:
-    """Number rows 1, 2, 3 ... in the order of the integer column ``order``.
 
-    The same numbers as ``row_number()`` over one global window, but spread out: rows fall
-    into buckets of ``width`` neighbouring ``order`` values, are numbered inside their
-    bucket, and are moved up by the rows of all earlier buckets. Only one row per bucket
-    takes part in the un-partitioned window. Buckets depend on values alone, so a retried
-    task gives the same keys. ``order`` with ``more_order`` must be unique per row;
+def with_sequence_key(df: DataFrame, key: str, order: str, *more_order: str, after=0) -> DataFrame:
+    """Number rows 1, 2, 3 ... in the order of ``order`` and ``more_order``.
+
+    The same numbers as ``row_number()`` over one global window, but spread out: rows are ranged
+    over partitions by their order, sorted there, and stored with their place. The un-partitioned
+    window sees one row per partition, however the values are spread, and what a lost executor
+    held is read again from the store. ``order`` with ``more_order`` must be unique per row;
     ``after`` (a number or a scalar column) is the last key already in use.
     """
-    bucket = F.floor(F.col(order) / width).alias("_bucket")
-    sizes = df.groupBy(bucket).agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_bucket").orderBy(order, *more_order)
+    ranged = df.repartitionByRange(order, *more_order).sortWithinPartitions(order, *more_order)
+    placed = staged(ranged.withColumn("_at", F.monotonically_increasing_id()), "sequence")
+    part = F.floor(F.col("_at") / _PLACES)
+    placed = placed.withColumns({"_part": part, "_place": F.pmod("_at", F.lit(_PLACES))})
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     after = after if not isinstance(after, int) else F.lit(after)
-    return (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_place", F.row_number().over(within))
-        .join(offsets, "_bucket")
-        .withColumn(key, (F.col("_offset") + F.col("_place") + after).cast("bigint"))
-        .drop("_bucket", "_place", "_offset")
-        .select(key, *df.columns)
-    )
+    number = F.col("_offset") + F.col("_place") + 1 + after
+    return placed.join(offsets, "_part").select(number.cast("bigint").alias(key), *df.columns)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.scalar import number
+from tallyhouse.functions.scalar import number, rounded
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -19,37 +21,19 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def basic_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of the numeric columns, in one pass.
 
-    Sums are decimal, so neither mean nor deviation depends on row order.
+    Mean and deviation are given to four places.
     """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    # One decimal type for all columns keeps sums and squares exact.
-    values = df.select(*[F.col(c).cast("decimal(18,4)").alias(c) for c in columns])
-    totals = values.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.sum(c).alias("total"),
-                F.sum(F.col(c) * F.col(c)).alias("squares"),
-                F.min(c).alias("low"),
-                F.max(c).alias("high"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    parts = ("n", "total", "squares", "low", "high")
-    rows = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), *[F.col(c)[p].alias(p) for p in parts]) for c in columns]
-    )
-    n, total, squares = number("n"), number("total"), number("squares")
-    variance = F.try_divide(squares - F.try_divide(total * total, n), n - 1)
-    return totals.select(F.inline(rows)).select(
-        "column_name",
-        F.col("n").alias("value_count"),
-        F.round(F.try_divide(total, n).cast("decimal(38,6)"), 4).alias("mean"),
-        F.round(F.sqrt(F.greatest(variance, F.lit(0.0))).cast("decimal(38,6)"), 4).alias("stddev"),
-        F.col("low").alias("min"),
-        F.col("high").alias("max"),
-    )
+    measures = {
+        "value_count": F.count,
+        "mean": lambda c: rounded(F.avg(c), 4),
+        "stddev": lambda c: rounded(F.stddev_samp(c), 4),
+        "min": lambda c: number(F.min(c)),
+        "max": lambda c: number(F.max(c)),
+    }
+    totals = df.agg(*[F.struct(*[made(c).alias(name) for name, made in measures.items()]).alias(c) for c in columns])
+    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(c)[name].alias(name) for name in measures]) for c in columns]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def audit_unique(df: DataFrame, *key: str) -> DataFrame:
@@ -68,6 +52,35 @@ def audit_not_null(df: DataFrame, required: list[str]) -> DataFrame:
     return null_counts(df, required).filter("null_count > 0")
 
 
+def repeated_keys(df: DataFrame, table: str, key: str) -> DataFrame:
+    """One row: how many values of a key that should be unique occur more than once."""
+    return audit_unique(df, key).agg(
+        F.lit(table).alias("table_name"), F.lit(key).alias("key_name"), F.count("*").alias("repeated")
+    )
+
+
+def orphan_count(child: DataFrame, name: str, parent: DataFrame, parent_name: str, key: str) -> DataFrame:
+    """One row: how many rows of a child table refer to no row of the parent table. Rows are
+    counted by key before they meet the parent."""
+    used = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    return audit_orphans(used, parent, key).agg(
+        F.lit(name).alias("table_name"),
+        F.lit(key).alias("key_name"),
+        F.lit(parent_name).alias("parent_name"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("orphans"),
+    )
+
+
+def required_nulls(df: DataFrame, table: str, required: list[str]) -> DataFrame:
+    """One row per required column: how many NULLs it holds."""
+    return null_counts(df, required).select(F.lit(table).alias("table_name"), "column_name", "null_count")
+
+
+def stacked(frames: list[DataFrame]) -> DataFrame:
+    """All frames below each other."""
+    return reduce(DataFrame.unionByName, frames)
+
+
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Fill columns that the frame does not have; a NULL that was given stays NULL."""
     missing: dict[str, Column] = {c: F.lit(v) for c, v in defaults.items() if c not in df.columns}

@@ -52,16 +52,6 @@ def explicit_schema(rows: DataFrame, schema: T.StructType = STAFF_SCHEMA) -> Dat
     return rows.select(*[conform(f) for f in schema.fields])
 
 
-def range_source(spark: SparkSession, last: int) -> DataFrame:
-    """Ids 1 to ``last`` with two derived values, generated on the executors."""
-    return spark.range(1, last + 1).select("id", (F.col("id") * 2).alias("value1"), (F.col("id") * 3).alias("value2"))
-
-
-def doubled_values(numbers: DataFrame, above: int = 100) -> DataFrame:
-    """Filter, select, derive: the three collapse into one projection."""
-    return numbers.filter(F.col("value1") > above).select("id", "value1").withColumn("doubled", F.col("value1") * 2)
-
-
 def filter_basic(staff: DataFrame) -> DataFrame:
     return staff.filter((F.col("age") > 30) & (F.col("salary") > 80000))
 

@@ -6,8 +6,15 @@ whole groups), so that it does not share shortcuts with the DataFrame plans.
 
 from __future__ import annotations
 
-from tallyhouse.plans import registry
+from tallyhouse.plans import registry, warehouse
 from tallyhouse.sources.player_columns import COUNTING, RATES
+from tallyhouse.sources.views import SUCCESSOR
+
+
+def _values(rows: list[tuple]) -> str:
+    """Rows of fixed values as SQL."""
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
 
 # The analytics schemas as common table expressions, in an order where each may use earlier ones.
 _VIEWS = {
@@ -43,6 +50,10 @@ _VIEWS = {
                CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price, CAST(p_size AS BIGINT) AS stock_quantity,
                p_size % 10 <> 0 AS is_active, category_description
         FROM part JOIN r_categories ON p_type = category_name""",
+    "r_listed": f"""
+        SELECT product_id, product_name, category_name, unit_price, stock_quantity FROM r_products
+        UNION ALL
+        SELECT product_id + {SUCCESSOR}, product_name, category_name, unit_price, 0 FROM r_products WHERE NOT is_active""",
     "r_spend": """
         SELECT customer_id, count(*) AS order_count, sum(total_amount) AS spent,
                min(order_date) AS first_order, max(order_date) AS last_order
@@ -111,17 +122,13 @@ _VIEWS = {
         SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, product_name, category_id,
                category_name, category_description, unit_price, is_active
         FROM r_products""",
-    "d_status": """
-        SELECT * REPLACE (CAST(status_key AS BIGINT) AS status_key) FROM (VALUES (1, 'PENDING', 'Pending', 'Order placed, awaiting processing', false),
-                              (2, 'SHIPPED', 'Shipped', 'Order shipped to customer', false),
-                              (3, 'COMPLETED', 'Completed', 'Order delivered and completed', true),
-                              (4, 'CANCELLED', 'Cancelled', 'Order cancelled', true))
+    "d_status": f"""
+        SELECT * REPLACE (CAST(status_key AS BIGINT) AS status_key) FROM (VALUES {_values(warehouse.ORDER_STATUS)})
             AS s(status_key, status_code, status_name, status_description, is_final_state)""",
-    "d_payment": """
+    "d_payment": f"""
         SELECT CAST(payment_method_key AS BIGINT) AS payment_method_key, payment_method_code, payment_method_name,
                CAST(processing_fee_pct AS DOUBLE) AS processing_fee_pct
-        FROM (VALUES (1, 'CC', 'Credit Card', 2.9), (2, 'DC', 'Debit Card', 1.5), (3, 'PP', 'PayPal', 3.5),
-                     (4, 'AP', 'Apple Pay', 2.5))
+        FROM (VALUES {_values(warehouse.PAYMENT_METHODS)})
             AS m(payment_method_key, payment_method_code, payment_method_name, processing_fee_pct)""",
     "d_lines": """
         SELECT o.*, i.* EXCLUDE (order_id), 0.00 AS discount_amount,
@@ -143,14 +150,16 @@ _VIEWS = {
                CASE WHEN total_amount >= 475000 THEN 'Platinum' WHEN total_amount >= 425000 THEN 'Gold'
                     WHEN total_amount >= 350000 THEN 'Silver' ELSE 'Bronze' END AS new_tier,
                order_date AS effective_date
-        FROM r_orders WHERE total_amount >= 300000""",
-    "h_counted": """
-        SELECT *, count(*) OVER (PARTITION BY customer_id, effective_date) AS asked FROM h_changes""",
+        FROM r_orders""",
+    "h_judged": """
+        SELECT *, min(new_tier) OVER w <> max(new_tier) OVER w AS differ
+        FROM h_changes WINDOW w AS (PARTITION BY customer_id, effective_date)""",
     "h_usable": """
         SELECT h.customer_id, new_tier, effective_date, customer_tier,
                lag(new_tier, 1, customer_tier) OVER (PARTITION BY h.customer_id ORDER BY effective_date) AS before
-        FROM h_counted AS h JOIN d_customer AS d ON d.customer_id = h.customer_id
-        WHERE asked = 1 AND effective_date > valid_from""",
+        FROM (SELECT DISTINCT customer_id, new_tier, effective_date FROM h_judged WHERE NOT differ) AS h
+        JOIN d_customer AS d ON d.customer_id = h.customer_id
+        WHERE effective_date > valid_from""",
     "h_accepted": """
         SELECT customer_id, new_tier, effective_date,
                lead(effective_date) OVER (PARTITION BY customer_id ORDER BY effective_date) AS next_date,
@@ -169,7 +178,7 @@ _VIEWS = {
     "h_latest": """
         SELECT d.customer_id, customer_tier AS old_tier, coalesce(new_tier, customer_tier) AS new_tier
         FROM d_customer AS d
-        LEFT JOIN (SELECT customer_id, new_tier FROM h_counted WHERE asked = 1
+        LEFT JOIN (SELECT customer_id, new_tier FROM h_usable
                    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY effective_date DESC) = 1) AS l
                ON l.customer_id = d.customer_id""",
     # Players
@@ -221,7 +230,7 @@ _VIEWS = {
 
 
 def _mean(column: str) -> str:
-    return f"CAST(CAST(avg({column}) AS DECIMAL(38,6)) AS DOUBLE)"
+    return f"round(avg(CAST({column} AS DOUBLE)), 6)"
 
 
 def _money_mean(column: str) -> str:
@@ -233,7 +242,7 @@ def _cents(column: str) -> str:
 
 
 def _round2(expression: str) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    return f"round(CAST({expression} AS DOUBLE), 2)"
 
 
 def _share(ratio: str) -> str:
@@ -315,6 +324,7 @@ _AS_OF_COLUMNS = (
 _FACT_MONEY = _as("unit_price line_total discount_amount tax_amount net_revenue", "DOUBLE")
 _SOLD = """SELECT product_id FROM r_items JOIN r_orders USING (order_id)
            WHERE order_status = 'Completed' AND order_date BETWEEN DATE '{}' AND DATE '{}'""".format(*registry.SOLD_PERIOD)
+_FIRST = "SELECT * FROM ({}) ORDER BY {} LIMIT {}".format
 _LISTING = "product_id, product_name, category_name, CAST(unit_price AS DOUBLE) AS unit_price, stock_quantity"
 _SALES = """SELECT product_id, product_name, category_name, sum(quantity) AS units, sum(line_total) AS revenue
             FROM r_items JOIN r_products USING (product_id) GROUP BY ALL"""
@@ -328,14 +338,11 @@ _BODIES = {
     "scan_parquet": "SELECT * REPLACE (CAST(ts AS VARCHAR) AS ts) FROM events",
     "inline_rows": """
         SELECT department, CAST(floor AS BIGINT) AS floor, CAST(budget AS DOUBLE) AS budget, count(*) AS employee_count
-        FROM r_staff JOIN (VALUES ('AUTOMOBILE', 1, 999.5), ('BUILDING', 2, 29.25), ('FURNITURE', 3, 79.75),
-                                  ('HOUSEHOLD', 4, 150.0), ('MACHINERY', 5, 320.5)) AS d(department, floor, budget)
+        FROM r_staff JOIN (VALUES ('AUTOMOBILE', 1, 100.0), ('BUILDING', 2, 200.0), ('FURNITURE', 3, 300.0),
+                                  ('HOUSEHOLD', 4, 400.0), ('MACHINERY', 5, 500.0)) AS d(department, floor, budget)
              USING (department)
         GROUP BY ALL""",
     "explicit_schema": "SELECT name, age, CAST(CAST(salary AS FLOAT) AS DOUBLE) AS salary FROM r_staff",
-    "range_source": """
-        SELECT i AS id, i * 2 AS value1, i * 4 AS doubled
-        FROM (SELECT unnest(generate_series(1, max(o_orderkey))) AS i FROM orders) WHERE i * 2 > 100""",
     "html_stats": """
         SELECT source_pos // 500 AS page_id, row_number() OVER (PARTITION BY source_pos // 500 ORDER BY source_pos) AS row_no,
                * EXCLUDE (source_pos) REPLACE ('https://stats.example.com' || player_url AS player_url),
@@ -387,12 +394,14 @@ _BODIES = {
         SELECT CAST(order_date AS VARCHAR) AS order_date, count(*) AS orders_count,
                CAST(sum(total_amount) AS DOUBLE) AS daily_revenue,
                CAST(sum(sum(total_amount)) OVER (ORDER BY order_date) AS DOUBLE) AS running_total
-        FROM r_orders WHERE order_status = 'Completed' GROUP BY order_date""",
+        FROM r_orders WHERE order_status = 'Completed' GROUP BY order_date
+        ORDER BY order_date""",
     "product_vs_category": f"""
         SELECT product_id, product_name, category_name, CAST(units AS BIGINT) AS units_sold,
                {{round2:category_avg}} AS category_avg_sales, {{round2:units - category_avg}} AS vs_category_avg
         FROM (SELECT *, CAST(sum(units) OVER w AS DOUBLE) / count(*) OVER w AS category_avg
-              FROM ({_SALES}) WINDOW w AS (PARTITION BY category_name))""",
+              FROM ({_SALES}) WINDOW w AS (PARTITION BY category_name))
+        ORDER BY category_name, units_sold DESC, product_id""",
     "monthly_growth": """
         SELECT month, order_count, CAST(revenue AS DOUBLE) AS monthly_revenue,
                CAST(previous AS DOUBLE) AS prev_month_revenue,
@@ -400,7 +409,8 @@ _BODIES = {
                    AS growth_percentage
         FROM (SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS order_count, sum(total_amount) AS revenue,
                      lag(sum(total_amount)) OVER (ORDER BY strftime(order_date, '%Y-%m')) AS previous
-              FROM r_orders WHERE order_status = 'Completed' GROUP BY month)""",
+              FROM r_orders WHERE order_status = 'Completed' GROUP BY month)
+        ORDER BY month""",
     "customer_ltv": """
         SELECT customer_id, first_name || ' ' || last_name AS customer_name, customer_tier,
                CASE WHEN spent >= 1000 THEN 'High Value' WHEN spent >= 500 THEN 'Medium Value' ELSE 'Low Value' END
@@ -422,14 +432,16 @@ _BODIES = {
                {{round2:CAST(revenue AS DOUBLE) / CAST(category_total AS DOUBLE) * 100}} AS pct_of_category
         FROM ({_SALES}) AS s
         JOIN (SELECT category_name, sum(line_total) AS category_total
-              FROM r_items JOIN r_products USING (product_id) GROUP BY category_name) USING (category_name)""",
+              FROM r_items JOIN r_products USING (product_id) GROUP BY category_name) USING (category_name)
+        ORDER BY category_name, product_revenue DESC, product_id""",
     "tier_category_sales": """
         SELECT customer_tier, category_name, count(DISTINCT order_id) AS order_count,
                CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(line_total) AS DOUBLE) AS total_revenue,
                {round2:CAST(sum(line_total) AS DOUBLE) / count(*)} AS avg_line_value
         FROM r_customers JOIN r_orders USING (customer_id) JOIN r_items USING (order_id)
              JOIN r_products USING (product_id)
-        WHERE order_status = 'Completed' GROUP BY ALL""",
+        WHERE order_status = 'Completed' GROUP BY ALL
+        ORDER BY customer_tier, total_revenue DESC, category_name""",
     "cohort_analysis": """
         SELECT strftime(registration_date, '%Y-%m') AS cohort_month,
                count(DISTINCT c.customer_id) AS customers_in_cohort, count(DISTINCT order_id) AS total_orders,
@@ -437,22 +449,31 @@ _BODIES = {
                CAST(sum(total_amount) AS DOUBLE) AS cohort_revenue
         FROM r_customers AS c
         LEFT JOIN r_orders AS o ON o.customer_id = c.customer_id AND order_status = 'Completed'
-        GROUP BY cohort_month""",
+        GROUP BY cohort_month
+        ORDER BY cohort_month""",
     "above_average": """
         SELECT customer_id, first_name || ' ' || last_name AS customer_name, CAST(spent AS DOUBLE) AS total_spent,
                {round2:average} AS avg_customer_spend
         FROM r_spend JOIN r_customers USING (customer_id),
              (SELECT CAST(sum(spent) AS DOUBLE) / count(*) AS average FROM r_spend)
-        WHERE CAST(spent AS DOUBLE) > average""",
-    "never_ordered": f"SELECT {_LISTING} FROM r_products WHERE product_id NOT IN ({_SOLD})",
+        WHERE CAST(spent AS DOUBLE) > average
+        ORDER BY total_spent DESC, customer_id""",
+    "never_ordered": f"""
+        SELECT {_LISTING} FROM r_listed WHERE product_id NOT IN (SELECT product_id FROM r_items)
+        ORDER BY category_name, product_name, product_id""",
     "never_ordered_anti": f"""
-        SELECT {_LISTING} FROM r_products AS p
-        WHERE NOT EXISTS (SELECT 1 FROM ({_SOLD}) AS s WHERE s.product_id = p.product_id)""",
+        SELECT {_LISTING} FROM r_listed AS p
+        WHERE NOT EXISTS (SELECT 1 FROM r_items AS s WHERE s.product_id = p.product_id)
+        ORDER BY category_name, product_name, product_id""",
+    "unsold_in_period": f"""
+        SELECT {_LISTING} FROM r_products WHERE product_id NOT IN ({_SOLD})
+        ORDER BY category_name, product_name, product_id""",
     "day_of_week_sales": """
         SELECT dayname(order_date) AS day_of_week, count(*) AS order_count,
                CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
                {round2:CAST(sum(total_amount) AS DOUBLE) / count(*)} AS avg_order_value
-        FROM r_orders WHERE order_status = 'Completed' GROUP BY day_of_week""",
+        FROM r_orders WHERE order_status = 'Completed' GROUP BY day_of_week
+        ORDER BY CASE day_of_week WHEN 'Sunday' THEN 0 WHEN 'Monday' THEN 1 WHEN 'Tuesday' THEN 2 WHEN 'Wednesday' THEN 3 WHEN 'Thursday' THEN 4 WHEN 'Friday' THEN 5 ELSE 6 END""",
     "shipping_performance": """
         SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS orders_shipped,
                {round2:CAST(sum(wait) AS DOUBLE) / count(*)} AS avg_days_to_ship,
@@ -460,12 +481,14 @@ _BODIES = {
         FROM (SELECT order_date, date_diff('day', order_date, min(ship_date)) AS wait
               FROM r_orders JOIN r_items USING (order_id) WHERE ship_date >= order_date
               GROUP BY order_id, order_date)
-        GROUP BY month""",
+        GROUP BY month
+        ORDER BY month""",
     "category_performance": f"""
         SELECT c.category_name, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold,
                CAST(sum(line_total) AS DOUBLE) AS revenue,
                {{round2:CAST(sum(i.unit_price) AS DOUBLE) / count(*)}} AS avg_price
-        FROM {_PRODUCT_ROWS} GROUP BY c.category_name""",
+        FROM {_PRODUCT_ROWS} GROUP BY c.category_name
+        ORDER BY revenue DESC, category_name""",
     "gold_customers": """
         SELECT customer_id, first_name || ' ' || last_name AS customer_name, count(order_id) AS order_count,
                CAST(sum(total_amount) AS DOUBLE) AS total_spent
@@ -474,7 +497,8 @@ _BODIES = {
     "date_range_daily": """
         SELECT CAST(order_date AS VARCHAR) AS order_date, count(*) AS orders, CAST(sum(total_amount) AS DOUBLE) AS revenue
         FROM r_orders WHERE order_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' AND order_status = 'Completed'
-        GROUP BY order_date""",
+        GROUP BY order_date
+        ORDER BY order_date""",
     "orders_per_customer": """
         SELECT c.customer_id, first_name, count(order_id) AS order_count
         FROM r_customers AS c LEFT JOIN r_orders AS o ON o.customer_id = c.customer_id GROUP BY ALL""",
@@ -497,7 +521,8 @@ _BODIES = {
         SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS order_count,
                CAST(sum(total_amount) AS DOUBLE) AS monthly_revenue
         FROM r_orders, r_asof WHERE order_status = 'Completed' AND order_date >= today - INTERVAL 6 MONTH
-        GROUP BY month""",
+        GROUP BY month
+        ORDER BY month""",
     "recent_product_sales": """
         SELECT category_name, product_name, count(DISTINCT customer_id) AS unique_customers,
                CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(line_total) AS DOUBLE) AS revenue
@@ -537,13 +562,10 @@ _BODIES = {
         for c in registry.NULLABLE_TRIP_COLUMNS
     ),
     "basic_stats": " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, n AS value_count,
-                   CAST(round(CAST(total / n AS DECIMAL(38,6)), 4) AS DOUBLE) AS mean,
-                   CAST(round(CAST(sqrt((squares - total * total / n) / (n - 1)) AS DECIMAL(38,6)), 4) AS DOUBLE)
-                       AS stddev, CAST(low AS DOUBLE) AS min, CAST(high AS DOUBLE) AS max
-            FROM (SELECT count(x) AS n, CAST(sum(x) AS DOUBLE) AS total, CAST(sum(x * x) AS DOUBLE) AS squares,
-                         min(x) AS low, max(x) AS high
-                  FROM (SELECT CAST({c} AS DECIMAL(18,4)) AS x FROM t_trips))"""
+        f"""SELECT '{c}' AS column_name, count({c}) AS value_count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
+                   round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min,
+                   CAST(max({c}) AS DOUBLE) AS max
+            FROM t_trips"""
         for c in ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
     ),
     "trip_cleaning": f"""
@@ -599,7 +621,7 @@ _BODIES = {
         FROM t_features GROUP BY payment_type""",
     "tips_pivot": "SELECT pickup_hour, "
     + ", ".join(
-        f"CAST(CAST(avg(tip_percentage) FILTER (WHERE payment_type = '{p}') AS DECIMAL(38,6)) AS DOUBLE) AS {p}"
+        f"round(avg(tip_percentage) FILTER (WHERE payment_type = '{p}'), 6) AS {p}"
         for p in ("click", "error", "purchase", "signup", "view")
     )
     + " FROM t_features GROUP BY pickup_hour",
@@ -639,7 +661,7 @@ _BODIES = {
         FROM d_payment
         LEFT JOIN (SELECT order_id % 4 + 1 AS k, count(*) AS orders, sum(total_amount) AS paid
                    FROM r_orders WHERE order_status = 'Completed' GROUP BY k) ON k = payment_method_key""",
-    "fact_sales": f"SELECT {_DATED(_FACT_MONEY)} FROM d_fact",
+    "fact_sales": f"SELECT {_DATED(_FACT_MONEY)}, CAST(NULL AS DOUBLE) AS gross_profit FROM d_fact",
     "vw_sales_complete": """
         SELECT quantity, CAST(f.unit_price AS DOUBLE) AS unit_price, CAST(line_total AS DOUBLE) AS line_total,
                CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(net_revenue AS DOUBLE) AS net_revenue,
@@ -691,9 +713,9 @@ _BODIES = {
     "scd2_apply": f"SELECT {_VERSION_COLUMNS} FROM h_versions",
     "scd2_rejects": """
         SELECT h.customer_id, new_tier, CAST(effective_date AS VARCHAR) AS effective_date,
-               CASE WHEN asked > 1 THEN 'several changes on one date' ELSE 'not after the current version' END AS reason
-        FROM h_counted AS h JOIN d_customer AS d ON d.customer_id = h.customer_id
-        WHERE asked > 1 OR effective_date <= valid_from""",
+               CASE WHEN differ THEN 'several tiers on one date' ELSE 'not after the current version' END AS reason
+        FROM h_judged AS h JOIN d_customer AS d ON d.customer_id = h.customer_id
+        WHERE differ OR effective_date <= valid_from""",
     "scd1_apply": "SELECT customer_id, new_tier AS customer_tier FROM h_latest",
     "scd3_apply": """
         SELECT customer_id, new_tier AS current_tier, CASE WHEN old_tier <> new_tier THEN old_tier END AS previous_tier
@@ -733,6 +755,22 @@ _BODIES = {
     "top_scorers": """
         SELECT player, team_id, pts_per_game, trb_per_game, ast_per_game, g FROM p_final
         WHERE pts_per_game > 25 ORDER BY pts_per_game DESC, source_pos LIMIT 10""",
+    "top_scorers_5": """
+        SELECT player, team_id, pts_per_game, trb_per_game, ast_per_game, g FROM p_final
+        ORDER BY pts_per_game DESC NULLS LAST, source_pos LIMIT 5""",
+    "sql_stored_scorers": """
+        SELECT player, team_id, pts_per_game FROM p_final
+        WHERE pts_per_game > 25 ORDER BY pts_per_game DESC, source_pos LIMIT 10""",
+    "season_runs": """
+        SELECT CAST(2025 AS BIGINT) AS season, run, count(*) AS row_count
+        FROM p_raw, (VALUES ('20250101_000000'), ('20250102_000000')) AS r(run) GROUP BY run""",
+    "sql_monthly_orders": """
+        SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS order_count, CAST(sum(total_amount) AS DOUBLE) AS revenue
+        FROM r_orders WHERE order_status = 'Completed' GROUP BY month ORDER BY month""",
+    "sql_tier_orders": """
+        SELECT customer_tier, count(DISTINCT c.customer_id) AS customers, count(o.order_id) AS orders
+        FROM r_customers AS c LEFT JOIN r_orders AS o ON o.customer_id = c.customer_id
+        GROUP BY customer_tier ORDER BY customer_tier""",
     "player_run_summary": """
         SELECT CAST(2025 AS BIGINT) AS season_year, 'success' AS status, (SELECT count(*) FROM p_raw) AS extracted, count(*) AS transformed,
                CAST(37 AS BIGINT) AS column_count, count(*) AS loaded
@@ -747,6 +785,42 @@ _BODIES = {
 }
 
 
+def _more() -> dict[str, str]:
+    """First rows of ordered answers, and the audits of the whole schema."""
+    lists = {
+        "monthly_growth_first12": ("monthly_growth", "month", 12),
+        "running_total_first30": ("running_total", "order_date", 30),
+        "product_vs_category_first20": ("product_vs_category", "category_name, units_sold DESC, product_id", 20),
+        "pct_of_category_first20": ("pct_of_category", "category_name, product_revenue DESC, product_id", 20),
+        "above_average_first15": ("above_average", "total_spent DESC, customer_id", 15),
+    }
+    firsts = {name: _FIRST(_BODIES[whole], by, k) for name, (whole, by, k) in lists.items()}
+    views = {
+        "customers": "r_customers", "orders": "r_orders", "order_items": "r_items", "products": "r_products",
+        "categories": "r_categories", "dim_date": "d_date", "dim_customer": "d_customer", "dim_product": "d_product",
+        "dim_order_status": "d_status", "dim_payment_method": "d_payment", "fact_sales": "d_fact",
+    }
+    # The facts' own key is a hash that SQL cannot repeat; it is unique.
+    keys = " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{key}' AS key_name, count(*) AS repeated
+            FROM (SELECT {key} FROM {views[name]} GROUP BY {key} HAVING count(*) > 1)"""
+        if key != "sales_key"
+        else f"SELECT '{name}', '{key}', 0"
+        for name, key in registry.KEYS.items()
+    )
+    references = " UNION ALL ".join(
+        f"""SELECT '{child}' AS table_name, '{key}' AS key_name, '{parent}' AS parent_name, count(*) AS orphans
+            FROM {views[child]} WHERE {key} NOT IN (SELECT {key} FROM {views[parent]})"""
+        for child, key, parent in registry.REFERENCES
+    )
+    required = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_count FROM {views[name]}"
+        for name, columns in registry.REQUIRED.items()
+        for c in columns
+    )
+    return firsts | {"audit_keys": keys, "audit_references": references, "audit_required": required}
+
+
 def oracle_sql() -> dict[str, str]:
-    """Name → SQL. ``format_report`` holds measured times and has none."""
-    return {name: _sql(body) for name, body in _BODIES.items()}
+    """Name → SQL."""
+    return {name: _sql(body) for name, body in (_BODIES | _more()).items()}

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tallyhouse.functions.scalar import per_unit, rounded_even
 from tallyhouse.operators.ranking import top_k
 from tallyhouse.session import fresh_path
-from tallyhouse.sources.files import write
+from tallyhouse.sources.files import staged, write
 from tallyhouse.sources.player_columns import COUNTING, RATES, RENAMES, TOTAL_TEAM
 
 # Plausible ages, points per game, and percentage range.
@@ -129,16 +129,24 @@ def top_scorers(players: DataFrame, above: float | None = 25, k: int = 10) -> Da
 def player_run_summary(spark: SparkSession, raw: DataFrame, season: int, target: str | None = None) -> DataFrame:
     """Run extract, clean and load; one row saying how far it got and how many rows passed.
 
-    A stage without rows ends the run. Rows are counted while they are written.
+    The extracted records are landed once and the clean ones written; the counts are read from
+    these two tables. A stage without rows ends the run.
     """
-    columns = "season_year int, status string, extracted bigint, transformed bigint, column_count int, loaded bigint"
-    extracted = raw.count()
-    if extracted == 0:
-        return spark.createDataFrame([(season, "nothing extracted", 0, 0, 0, 0)], columns)
-    clean = clean_players(raw)
+    landed = staged(raw, "player-records")
     path = target or fresh_path(spark, "player-totals")
+    clean = clean_players(landed)
     write(clean, path, "parquet", "overwrite")
-    stored = spark.read.parquet(path)
-    loaded = stored.count()
-    status = "success" if loaded else "nothing transformed"
-    return spark.createDataFrame([(season, status, extracted, loaded, len(stored.columns), loaded)], columns)
+    stored = spark.read.schema(clean.schema).parquet(path)
+    extracted = landed.agg(F.count("*")).scalar()
+    loaded = F.col("loaded")
+    status = (
+        F.when(extracted == 0, "nothing extracted").when(loaded == 0, "nothing transformed").otherwise("success")
+    )
+    return stored.agg(F.count("*").alias("loaded")).select(
+        F.lit(season).alias("season_year"),
+        status.alias("status"),
+        extracted.alias("extracted"),
+        loaded.alias("transformed"),
+        F.when(extracted == 0, 0).otherwise(len(clean.columns)).alias("column_count"),
+        "loaded",
+    )

@@ -14,7 +14,7 @@ from tallyhouse.operators import history, quality
 from tallyhouse.plans import basics, players, retail, trips, warehouse
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import apply_settings, fresh_path
-from tallyhouse.sources import files, views
+from tallyhouse.sources import files, sql, views
 from tallyhouse.sources.html_tables import stats_records
 from tallyhouse.sources.player_columns import RAW_COLUMNS
 from tallyhouse.sources.tables import SCHEMAS, table
@@ -58,10 +58,34 @@ def _retail(query, *args) -> Query:
     return lambda spark, sf: query(Retail(spark, sf), *args)
 
 
+def _first(query, k: int) -> Query:
+    """The first rows of an ordered answer."""
+    return lambda spark, sf: query(Retail(spark, sf)).limit(k)
+
+
 def _house(query, *args) -> Query:
+    """A table of the warehouse as it is loaded."""
     return lambda spark, sf: query(Warehouse(Retail(spark, sf)), *args)
 
 
+_built: dict[tuple[str, str], str] = {}
+
+
+def stored_house(spark: SparkSession, sf: str) -> Warehouse:
+    """The warehouse over the supplied tables, built on first use in an application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _built:
+        path = fresh_path(spark, "warehouse")
+        warehouse.build_warehouse(Retail(spark, sf), path)
+        _built[key] = path
+    return Warehouse.saved(spark, _built[key])
+
+
+def _asked(query, *args) -> Query:
+    """A question to the stored warehouse."""
+    return lambda spark, sf: query(stored_house(spark, sf), *args)
+
+
 def _features(query, *args) -> Query:
     return lambda spark, sf: query(trips.trip_features(views.trips(spark, sf)), *args)
 
@@ -107,15 +131,12 @@ def _stored(fmt: str, name: str) -> Query:
 
 
 def _history(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """The customer dimension and a batch of changes to it."""
-    source = Retail(spark, sf)
-    return Warehouse(source).dim_customer, views.tier_changes(source)
+    """The stored customer dimension and a batch of changes to it."""
+    return stored_house(spark, sf).dim_customer, views.tier_changes(Retail(spark, sf))
 
 
 def _after_changes(spark, sf) -> DataFrame:
-    """The dimension is read several times by the apply step, so it is stored first."""
-    dim, changes = _history(spark, sf)
-    return history.scd2_apply(files.staged(dim, "dim-customer"), changes)
+    return history.scd2_apply(*_history(spark, sf))
 
 
 _VERSION = ("customer_key", "customer_id", "first_name", "last_name", "customer_tier", "valid_from", "valid_to", "is_current")
@@ -124,12 +145,17 @@ _AS_OF = ("customer_id", "first_name", "last_name", "customer_tier", "valid_from
 
 def never_ordered(spark, sf):
     source = Retail(spark, sf)
-    return retail.never_ordered(source.products, retail.sold_in(source, *SOLD_PERIOD))
+    return retail.never_ordered(source.listed_products, retail.sold(source))
 
 
 def never_ordered_anti(spark, sf):
     source = Retail(spark, sf)
-    return retail.never_ordered_anti(source.products, retail.sold_in(source, *SOLD_PERIOD))
+    return retail.never_ordered_anti(source.listed_products, retail.sold(source))
+
+
+def unsold_in_period(spark, sf):
+    source = Retail(spark, sf)
+    return retail.never_ordered(source.products, retail.sold_in(source, *SOLD_PERIOD))
 
 
 def dim_order_status(spark, sf):
@@ -148,14 +174,18 @@ def dim_payment_method(spark, sf):
 
 
 def dw_monthly_category(spark, sf):
-    source = Retail(spark, sf)
-    return warehouse.dw_monthly_category(Warehouse(source), retail.last_order_date(source))
+    return warehouse.dw_monthly_category(stored_house(spark, sf), retail.last_order_date(Retail(spark, sf)))
 
 
 def fact_asof_customer(spark, sf):
-    """Sales facts with the tier the customer held on the day of the order."""
-    source = Retail(spark, sf)
-    lines = warehouse.completed_lines(source).select(
+    """Stored sales facts with the tier the customer held on the day of the order."""
+    house = stored_house(spark, sf)
+    ids = house.dim_customer.select(F.col("customer_key").alias("_first_key"), "customer_id")
+    facts = house.fact_sales.select(
+        "order_id", "order_item_id", "net_revenue", F.col("customer_key").alias("_first_key"),
+        F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("order_date"),
+    )
+    lines = facts.join(ids, "_first_key").select(
         "order_id", "order_item_id", "customer_id", "order_date", "net_revenue"
     )
     versions = _after_changes(spark, sf).select("customer_id", "customer_key", "customer_tier", "valid_from", "valid_to")
@@ -175,7 +205,7 @@ def player_run_summary(spark, sf):
 
 
 def inline_rows(spark, sf):
-    # A floor and a budget per department.
+    # A floor and a budget per department.
     offices = basics.inline_rows(
         spark,
         [("AUTOMOBILE", 1), ("BUILDING", 2), ("FURNITURE", 3), ("HOUSEHOLD", 4), ("MACHINERY", 5)],
@@ -186,18 +216,13 @@ def inline_rows(spark, sf):
         pd.DataFrame(
             {
                 "department": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
-                "budget": [999.5, 29.25, 79.75, 150.0, 320.5],
+                "budget": [100.0, 200.0, 300.0, 400.0, 500.0],
             }
         ),
     )
     return basics.department_sizes(views.staff(spark, sf), offices, budgets)
 
 
-def range_source(spark, sf):
-    last = table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
-    return basics.doubled_values(basics.range_source(spark, last))
-
-
 def null_counts(spark, sf):
     return quality.null_counts(views.trips(spark, sf), NULLABLE_TRIP_COLUMNS)
 
@@ -217,6 +242,94 @@ def audit_orphans(spark, sf):
     return quality.audit_orphans(views.tier_changes(source), source.customers, "customer_id")
 
 
+# Unique keys, references and required columns of the retail and warehouse tables.
+KEYS = {
+    "customers": "customer_id", "orders": "order_id", "products": "product_id", "categories": "category_id",
+    "dim_date": "date_key", "dim_customer": "customer_key", "dim_product": "product_key", "fact_sales": "sales_key",
+}
+REFERENCES = [
+    ("products", "category_id", "categories"), ("orders", "customer_id", "customers"),
+    ("order_items", "order_id", "orders"), ("order_items", "product_id", "products"),
+    ("fact_sales", "date_key", "dim_date"), ("fact_sales", "customer_key", "dim_customer"),
+    ("fact_sales", "product_key", "dim_product"), ("fact_sales", "status_key", "dim_order_status"),
+    ("fact_sales", "payment_method_key", "dim_payment_method"),
+]
+REQUIRED = {
+    "categories": ["category_name"],
+    "products": ["product_name", "unit_price"],
+    "customers": ["first_name", "last_name", "email"],
+    "orders": ["customer_id", "order_date", "total_amount"],
+    "order_items": ["order_id", "product_id", "quantity", "unit_price", "line_total"],
+    "fact_sales": [
+        "date_key", "customer_key", "product_key", "status_key", "order_id", "order_item_id", "quantity",
+        "unit_price", "line_total", "net_revenue",
+    ],
+}
+
+
+def _schema_frames(spark, sf) -> dict[str, DataFrame]:
+    house = stored_house(spark, sf)
+    return Retail(spark, sf).frames() | {name: getattr(house, name) for name in warehouse.TABLES}
+
+
+def audit_keys(spark, sf):
+    frames = _schema_frames(spark, sf)
+    return quality.stacked([quality.repeated_keys(frames[name], name, key) for name, key in KEYS.items()])
+
+
+def audit_references(spark, sf):
+    frames = _schema_frames(spark, sf)
+    return quality.stacked(
+        [quality.orphan_count(frames[child], child, frames[parent], parent, key) for child, key, parent in REFERENCES]
+    )
+
+
+def audit_required(spark, sf):
+    frames = _schema_frames(spark, sf)
+    return quality.stacked([quality.required_nulls(frames[name], name, columns) for name, columns in REQUIRED.items()])
+
+
+def sql_monthly_orders(spark, sf):
+    sql.register(Retail(spark, sf).frames())
+    return sql.run(
+        spark,
+        "SELECT date_format(order_date, 'yyyy-MM') AS month, count(*) AS order_count,"
+        " sum(CAST(total_amount AS DECIMAL(18,2))) AS revenue"
+        " FROM orders WHERE order_status = 'Completed' GROUP BY 1 ORDER BY month",
+    )
+
+
+def sql_tier_orders(spark, sf):
+    sql.register(Retail(spark, sf).frames())
+    return sql.run(
+        spark,
+        "SELECT customer_tier, count(DISTINCT c.customer_id) AS customers, count(o.order_id) AS orders"
+        " FROM customers AS c LEFT JOIN orders AS o ON o.customer_id = c.customer_id"
+        " GROUP BY customer_tier ORDER BY customer_tier",
+    )
+
+
+def sql_stored_scorers(spark, sf):
+    """SQL against the loaded store of player records."""
+    stored = files.staged(_players(players.clean_players)(spark, sf), "player-totals")
+    sql.register({"player_totals": stored})
+    return sql.run(
+        spark,
+        "SELECT player, team_id, pts_per_game FROM player_totals WHERE pts_per_game > 25"
+        " ORDER BY pts_per_game DESC, source_pos LIMIT 10",
+    )
+
+
+def season_runs(spark, sf):
+    """Two runs of a season written into folders of their own, and the rows found in each."""
+    records = views.raw_player_totals(spark, sf)
+    base = fresh_path(spark, "seasons")
+    for stamp in ("20250101_000000", "20250102_000000"):
+        files.write_run(records, base, SEASON, stamp)
+    schema = T.StructType([*records.schema.fields, T.StructField("season", T.IntegerType()), T.StructField("run", T.StringType())])
+    return files.scan(spark, base, "csv", schema).groupBy("season", "run").agg(F.count("*").alias("row_count"))
+
+
 def convert_formats(spark, sf):
     return files.round_trip(table(spark, sf, "orders"), fresh_path(spark, "convert"))
 
@@ -225,10 +338,6 @@ def write_modes(spark, sf):
     return files.write_mode_steps(table(spark, sf, "customer"), fresh_path(spark, "write-modes"))
 
 
-def format_report(spark, sf):
-    return files.format_report(files.measure_formats(table(spark, sf, "orders")))
-
-
 def timing_compare(spark, sf):
     """Event types as queries, even events before a change and odd ones after it."""
     phase = F.when(F.col("event_id") % 2 == 0, "before").otherwise("after")
@@ -251,12 +360,10 @@ _REGISTERED: dict[str, Query] = {
     "scan_parquet": _stored("parquet", "events"),
     "inline_rows": inline_rows,
     "explicit_schema": _staff(basics.explicit_schema),
-    "range_source": range_source,
     "html_stats": html_stats,
     "convert_formats": convert_formats,
     "write_modes": write_modes,
     "preview": preview,
-    "format_report": format_report,
     # Projections and filters
     "project": _retail(retail.project),
     "computed_columns": _staff(basics.computed_columns),
@@ -281,6 +388,12 @@ _REGISTERED: dict[str, Query] = {
     "above_average": _retail(retail.above_average),
     "never_ordered": never_ordered,
     "never_ordered_anti": never_ordered_anti,
+    "unsold_in_period": unsold_in_period,
+    "monthly_growth_first12": _first(retail.monthly_growth, 12),
+    "running_total_first30": _first(retail.running_total, 30),
+    "product_vs_category_first20": _first(retail.product_vs_category, 20),
+    "pct_of_category_first20": _first(retail.pct_of_category, 20),
+    "above_average_first15": _first(retail.above_average, 15),
     "day_of_week_sales": _retail(retail.day_of_week_sales),
     "shipping_performance": _retail(retail.shipping_performance),
     "category_performance": _retail(retail.category_performance),
@@ -323,18 +436,19 @@ _REGISTERED: dict[str, Query] = {
     "popular_routes": _features(trips.popular_routes, ROUTE_MIN_TRIPS),
     # Warehouse
     "dim_date": _house(lambda house: house.dim_date),
-    "dim_customer": _house(lambda house: house.dim_customer),
-    "dim_product": _house(lambda house: house.dim_product),
+    # Load times differ between loads, so they are left out of the compared results.
+    "dim_customer": _house(lambda house: house.dim_customer.drop(*warehouse.LOAD_TIMES)),
+    "dim_product": _house(lambda house: house.dim_product.drop(*warehouse.LOAD_TIMES)),
     "dim_order_status": dim_order_status,
     "dim_payment_method": dim_payment_method,
-    # The load-time key differs between loads, so it is left out of the compared results.
-    "fact_sales": _house(lambda house: house.fact_sales.drop("sales_key")),
-    "vw_sales_complete": _house(lambda house: warehouse.vw_sales_complete(house).drop("sales_key")),
-    "table_counts": _house(warehouse.table_counts),
+    # The sales key is a hash that SQL cannot repeat.
+    "fact_sales": _house(lambda house: house.fact_sales.drop("sales_key", *warehouse.LOAD_TIMES)),
+    "vw_sales_complete": _asked(lambda house: warehouse.vw_sales_complete(house).drop("sales_key")),
+    "table_counts": _asked(warehouse.table_counts),
     "dw_monthly_category": dw_monthly_category,
-    "dw_tier_revenue": _house(warehouse.dw_tier_revenue),
-    "dw_weekend": _house(warehouse.dw_weekend),
-    "dw_top_products": _house(warehouse.dw_top_products),
+    "dw_tier_revenue": _asked(warehouse.dw_tier_revenue),
+    "dw_weekend": _asked(warehouse.dw_weekend),
+    "dw_top_products": _asked(warehouse.dw_top_products),
     # History
     "scd2_apply": lambda spark, sf: _after_changes(spark, sf).select(*_VERSION),
     "scd2_rejects": lambda spark, sf: history.rejected_changes(*_history(spark, sf)),
@@ -355,10 +469,19 @@ _REGISTERED: dict[str, Query] = {
     "player_derived": _players(players.clean_players),
     "quality_report": _players(players.clean_players, players.quality_report),
     "top_scorers": _players(players.clean_players, players.top_scorers),
+    "top_scorers_5": _players(players.clean_players, lambda df: players.top_scorers(df, above=None, k=5)),
+    "season_runs": season_runs,
     "player_run_summary": player_run_summary,
     # Audits
     "audit_unique": audit_unique,
     "audit_orphans": audit_orphans,
+    "audit_keys": audit_keys,
+    "audit_references": audit_references,
+    "audit_required": audit_required,
+    # SQL text
+    "sql_monthly_orders": sql_monthly_orders,
+    "sql_tier_orders": sql_tier_orders,
+    "sql_stored_scorers": sql_stored_scorers,
 }
 
 

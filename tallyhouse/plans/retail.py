@@ -60,15 +60,18 @@ def product_sales(items: DataFrame) -> DataFrame:
     )
 
 
-def order_category_sales(retail: Retail) -> DataFrame:
-    """Per order and category: lines, units, revenue and sum of unit prices in cents.
+def order_category_sales(retail: Retail, orders: DataFrame) -> DataFrame:
+    """Per order (with its other columns) and category: lines, units, revenue and sum of unit prices
+    in cents, for the lines of the given orders.
 
-    At most one row per order and category is left, so counting these rows counts
-    distinct orders, and the join with orders meets no heavy order.
+    The orders are met first, so that lines of other orders go no further. At most one row per
+    order and category is left, so counting these rows counts distinct orders.
     """
     return (
-        retail.order_items.join(retail.products.select("product_id", "category_name"), "product_id")
-        .groupBy("order_id", "category_name")
+        retail.order_items.select("order_id", "product_id", "quantity", "line_total", "unit_price")
+        .join(orders, "order_id")
+        .join(retail.products.select("product_id", "category_name"), "product_id")
+        .groupBy(*orders.columns, "category_name")
         .agg(
             F.count("*").alias("lines"),
             F.sum("quantity").alias("units"),
@@ -100,7 +103,7 @@ def running_total(retail: Retail) -> DataFrame:
     daily = retail.completed.groupBy("order_date").agg(
         F.count("*").alias("orders_count"), money_total("total_amount").alias("daily_revenue")
     )
-    return with_running_totals(daily, ["order_date"], {"daily_revenue": "running_total"})
+    return with_running_totals(daily, ["order_date"], {"daily_revenue": "running_total"}).orderBy("order_date")
 
 
 def product_vs_category(retail: Retail) -> DataFrame:
@@ -118,7 +121,7 @@ def product_vs_category(retail: Retail) -> DataFrame:
         "units_sold",
         rounded(average).alias("category_avg_sales"),
         rounded(number("units_sold") - average).alias("vs_category_avg"),
-    )
+    ).orderBy("category_name", F.desc("units_sold"), "product_id")
 
 
 def monthly_growth(retail: Retail) -> DataFrame:
@@ -128,14 +131,16 @@ def monthly_growth(retail: Retail) -> DataFrame:
     grown = with_growth(
         monthly, ["month"], {"monthly_revenue": ("prev_month_revenue", None, "growth_percentage")}
     )
-    return grown.withColumn("growth_percentage", rounded("growth_percentage"))
+    return grown.withColumn("growth_percentage", rounded("growth_percentage")).orderBy("month")
 
 
 def pct_of_category(retail: Retail) -> DataFrame:
     sales = product_sales(retail.order_items).join(
         retail.products.select("product_id", "product_name", "category_name"), "product_id"
     )
-    compared = with_group_totals(sales, "category_name", {"_category": F.sum("revenue")})
+    # Units are summed for the groups, too: with the same columns on both sides the lines are read once.
+    totals = {"_category": F.sum("revenue"), "_units": F.sum("units_sold")}
+    compared = with_group_totals(sales, "category_name", totals).filter("_units is not null")
     return compared.select(
         "product_id",
         "product_name",
@@ -144,7 +149,7 @@ def pct_of_category(retail: Retail) -> DataFrame:
         scaled("revenue").alias("product_revenue"),
         scaled("_category").alias("category_revenue"),
         rounded(F.try_divide(number("revenue"), number("_category")) * 100).alias("pct_of_category"),
-    )
+    ).orderBy("category_name", F.desc("product_revenue"), "product_id")
 
 
 def top3_per_category(retail: Retail, k: int = 3) -> DataFrame:
@@ -221,15 +226,14 @@ def above_average(retail: Retail) -> DataFrame:
         full_name().alias("customer_name"),
         F.col("spent").alias("total_spent"),
         rounded(average).alias("avg_customer_spend"),
-    )
+    ).orderBy(F.desc("total_spent"), "customer_id")
 
 
 def cohort_analysis(retail: Retail) -> DataFrame:
     """By month of registration; customers without a completed order still count."""
     spend = customer_spend(retail.completed).select("customer_id", "order_count", "spent")
     return (
-        retail.customers_registered.select("customer_id", "registration_date")
-        .join(spend, "customer_id", "left")
+        retail.registrations.join(spend, "customer_id", "left")
         .groupBy(month_label("registration_date").alias("cohort_month"))
         .agg(
             F.count("*").alias("customers_in_cohort"),
@@ -237,6 +241,7 @@ def cohort_analysis(retail: Retail) -> DataFrame:
             rounded(mean_of(scaled(F.sum("spent")), F.sum("order_count"))).alias("avg_order_value"),
             scaled(F.sum("spent")).alias("cohort_revenue"),
         )
+        .orderBy("cohort_month")
     )
 
 
@@ -269,8 +274,7 @@ def distinct_customers(retail: Retail) -> DataFrame:
 
 def category_performance(retail: Retail) -> DataFrame:
     return (
-        order_category_sales(retail)
-        .join(retail.completed.select("order_id"), "order_id")
+        order_category_sales(retail, retail.completed.select("order_id"))
         .groupBy("category_name")
         .agg(
             F.count("*").alias("orders"),
@@ -278,6 +282,7 @@ def category_performance(retail: Retail) -> DataFrame:
             scaled(F.sum("revenue")).alias("revenue"),
             rounded(mean_of(scaled(F.sum("prices")), F.sum("lines"))).alias("avg_price"),
         )
+        .orderBy(F.desc("revenue"), "category_name")
     )
 
 
@@ -285,8 +290,7 @@ def tier_category_sales(retail: Retail) -> DataFrame:
     tiers = retail.customers.select("customer_id", "customer_tier")
     orders = retail.completed.select("order_id", "customer_id").join(tiers, "customer_id")
     return (
-        order_category_sales(retail)
-        .join(orders, "order_id")
+        order_category_sales(retail, orders.select("order_id", "customer_tier"))
         .groupBy("customer_tier", "category_name")
         .agg(
             F.count("*").alias("order_count"),
@@ -294,6 +298,7 @@ def tier_category_sales(retail: Retail) -> DataFrame:
             scaled(F.sum("revenue")).alias("total_revenue"),
             rounded(mean_of(scaled(F.sum("revenue")), F.sum("lines"))).alias("avg_line_value"),
         )
+        .orderBy("customer_tier", F.desc("total_revenue"), "category_name")
     )
 
 
@@ -327,6 +332,11 @@ def product_sales_top10(retail: Retail) -> DataFrame:
     return product_sales_since(retail, months=None, k=10)
 
 
+def sold(retail: Retail) -> DataFrame:
+    """Product ids of all order lines."""
+    return retail.order_items.select("product_id")
+
+
 def sold_in(retail: Retail, start: str, end: str) -> DataFrame:
     """Product ids of lines in completed orders of a period."""
     days = F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
@@ -342,14 +352,14 @@ def never_ordered(products: DataFrame, sold: DataFrame) -> DataFrame:
     distinct ids and met by a hash anti-join, and the NULL rule is a scalar test.
     """
     ids = sold.select("product_id").distinct()
-    # One row each: is there a NULL among the sold ids, and is there any id at all.
+    # One row: is there a NULL among the sold ids, and is there any id at all.
     facts = ids.agg(
-        F.coalesce(F.bool_or(F.col("product_id").isNull()), F.lit(False)).alias("has_null"),
-        (F.count("*") > 0).alias("any_sold"),
-    )
-    has_null = facts.select("has_null").scalar()
-    any_sold = facts.select("any_sold").scalar()
-    keep = ~has_null & (F.col("product_id").isNotNull() | ~any_sold)
+        F.struct(
+            F.coalesce(F.bool_or(F.col("product_id").isNull()), F.lit(False)).alias("has_null"),
+            (F.count("*") > 0).alias("any_sold"),
+        ).alias("facts")
+    ).scalar()
+    keep = ~facts["has_null"] & (F.col("product_id").isNotNull() | ~facts["any_sold"])
     return _product_listing(products.join(ids, "product_id", "left_anti").filter(keep))
 
 
@@ -360,7 +370,8 @@ def never_ordered_anti(products: DataFrame, sold: DataFrame) -> DataFrame:
 
 
 def _product_listing(products: DataFrame) -> DataFrame:
-    return products.select("product_id", "product_name", "category_name", "unit_price", "stock_quantity")
+    listed = products.select("product_id", "product_name", "category_name", "unit_price", "stock_quantity")
+    return listed.orderBy("category_name", "product_name", "product_id")
 
 
 # Dates
@@ -383,7 +394,7 @@ def shipping_performance(retail: Retail) -> DataFrame:
         rounded(F.avg(waited)).alias("avg_days_to_ship"),
         F.min(waited).alias("fastest_ship"),
         F.max(waited).alias("slowest_ship"),
-    )
+    ).orderBy("month")
 
 
 def last_order_date(retail: Retail):
@@ -395,14 +406,14 @@ def recent_monthly(retail: Retail, months: int = 6) -> DataFrame:
     recent = retail.completed.filter(F.col("order_date") >= F.add_months(last_order_date(retail), -months))
     return recent.groupBy(month_label("order_date").alias("month")).agg(
         F.count("*").alias("order_count"), money_total("total_amount").alias("monthly_revenue")
-    )
+    ).orderBy("month")
 
 
 def date_range_daily(retail: Retail, start: str = "1997-01-01", end: str = "1997-12-31") -> DataFrame:
     days = F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     return retail.completed.filter(days).groupBy("order_date").agg(
         F.count("*").alias("orders"), money_total("total_amount").alias("revenue")
-    )
+    ).orderBy("order_date")
 
 
 # Look-ups and projections

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import OPEN_END, calendar_of, date_dimension
@@ -40,14 +40,25 @@ TABLES = ["dim_date", "dim_customer", "dim_product", "dim_order_status", "dim_pa
 FACT_COLUMNS = [
     "sales_key", "date_key", "customer_key", "product_key", "status_key", "payment_method_key", "order_id",
     "order_item_id", "quantity", "unit_price", "line_total", "discount_amount", "tax_amount", "net_revenue",
+    "gross_profit", "loaded_at",
 ]
 
+# When rows were written; these differ from load to load.
+LOAD_TIMES = ("created_at", "updated_at", "loaded_at")
+
 
 class Warehouse:
     """The six tables as lazy frames over a retail source; ``saved`` reads stored ones instead."""
 
-    def __init__(self, retail: Retail):
+    def __init__(self, retail: Retail | None):
         self.retail = retail
+        self._given_facts = False
+
+    def with_facts(self, facts: DataFrame) -> Warehouse:
+        """Use these facts instead of loading them."""
+        self.__dict__["fact_sales"] = facts
+        self._given_facts = True
+        return self
 
     @classmethod
     def saved(cls, spark: SparkSession, path: str) -> Warehouse:
@@ -101,7 +112,7 @@ class Warehouse:
     def facts(self, *columns: str) -> DataFrame:
         """Some columns of the facts. While the facts are not stored, only the keys asked for are
         looked up: Catalyst cannot know that an unused look-up adds no rows."""
-        if "fact_sales" in self.__dict__:
+        if self.retail is None or self._given_facts:
             return self.fact_sales.select(*columns)
         return fact_sales(self, list(columns))
 
@@ -129,6 +140,7 @@ def dim_customer(customers: DataFrame) -> DataFrame:
         since.alias("valid_from"),
         F.lit(OPEN_END).alias("valid_to"),
         F.lit(True).alias("is_current"),
+        *_written(),
     )
     return with_sequence_key(rows, "customer_key", "customer_id")
 
@@ -142,10 +154,15 @@ def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
         "category_description",
         "unit_price",
         "is_active",
+        *_written(),
     )
     return with_sequence_key(rows, "product_key", "product_id")
 
 
+def _written() -> list[Column]:
+    return [F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at")]
+
+
 def dim_order_status(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         ORDER_STATUS,
@@ -166,16 +183,20 @@ def dim_payment_method(spark: SparkSession) -> DataFrame:
 def completed_lines(retail: Retail) -> DataFrame:
     """Lines of completed orders with payment method, tax, net revenue and a sales key.
 
-    The key is assigned where the lines are read, like a load-time sequence: unique within the
-    load, the same when a task is run again, and without a shuffle.
+    The key is a hash of the line's id and its place among the lines that share it, so a line has
+    the same key in every load. There is no cost in the source, so the gross profit is NULL.
     """
     amount, discount = cents("line_total"), F.lit(0)
     # Whole cents times percent: ten-thousandths, exact.
     net = (amount - discount) * 100 + amount * TAX_PERCENT
     orders = retail.completed.select("order_id", "customer_id", "order_date", "order_status")
-    items = retail.order_items.drop("ship_date").withColumn("sales_key", F.monotonically_increasing_id())
+    items = retail.order_items.drop("ship_date")
+    alike = Window.partitionBy("order_item_id").orderBy("quantity", "unit_price", "line_total")
     return retail.with_item_id(items.join(orders, "order_id")).withColumns(
         {
+            "sales_key": F.xxhash64("order_item_id", F.row_number().over(alike)),
+            "gross_profit": F.lit(None).cast("decimal(25,4)"),
+            "loaded_at": F.current_timestamp(),
             "payment_method": relabel(F.col("order_id") % 4, PAYMENT_BY_REMAINDER),
             "discount_amount": scaled(discount),
             "tax_amount": scaled(amount * TAX_PERCENT, 4),
@@ -191,15 +212,12 @@ def fact_sales(house: Warehouse, columns: list[str]) -> DataFrame:
         facts = facts.join(house.customer_keys, "customer_id", "left")
     if "product_key" in columns:
         facts = facts.join(house.product_keys, "product_id", "left")
-    if "status_key" in columns:
-        status = house.dim_order_status.select("status_key", F.col("status_name").alias("order_status"))
-        facts = facts.join(status, "order_status", "left")
-    if "payment_method_key" in columns:
-        payment = house.dim_payment_method.select(
-            "payment_method_key", F.col("payment_method_name").alias("payment_method")
-        )
-        facts = facts.join(payment, "payment_method", "left")
-    return facts.select(*columns)
+    # Two fixed lists of four: their keys are mapped, as a join would meet on a few heavy values.
+    status = {name: number for number, _, name, *_ in ORDER_STATUS}
+    payment = {name: number for number, _, name, _ in PAYMENT_METHODS}
+    return facts.withColumns(
+        {"status_key": relabel("order_status", status), "payment_method_key": relabel("payment_method", payment)}
+    ).select(*columns)
 
 
 def vw_sales_complete(house: Warehouse) -> DataFrame:
@@ -220,6 +238,7 @@ def vw_sales_complete(house: Warehouse) -> DataFrame:
         .join(status, "status_key")
         .join(payment, "payment_method_key", "left")
         .drop("date_key", "customer_key", "product_key", "status_key", "payment_method_key", "tax_amount")
+        .drop("month_key", "gross_profit", "loaded_at")
     )
 
 
@@ -237,7 +256,7 @@ def dw_monthly_category(house: Warehouse, today: Column | None = None, months: i
         today = F.to_date(last.cast("string"), "yyyyMMdd")
     first_day = F.add_months(today, -months)
     facts = house.facts("date_key", "product_key", "customer_key", "net_revenue", "quantity")
-    if "month_key" in house.fact_sales.columns:
+    if house.retail is None and "month_key" in house.fact_sales.columns:
         facts = house.fact_sales.filter(F.col("month_key") >= F.floor(date_key(first_day) / 100))
     days = house.dim_date.select("date_key", "full_date", "year", "month", "month_name")
     per_customer = (

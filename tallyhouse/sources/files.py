@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.scalar import number
 from tallyhouse.session import fresh_path
 
 FORMATS = ("csv", "json", "parquet")
@@ -94,12 +92,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def content_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under ``path``; the file listing is read, not the files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
 def differences(left: DataFrame, right: DataFrame, label: str) -> DataFrame:
     """One row: rows of each side, and rows found more often on one side than on the other.
 
@@ -156,56 +148,3 @@ def write_mode_steps(df: DataFrame, path: str) -> DataFrame:
     load_once(spark, lambda: df, path)
     steps.append(("load once", rows()))
     return spark.createDataFrame(steps, "step string, row_count bigint")
-
-
-# Measurements
-
-
-def measure_formats(df: DataFrame, formats=FORMATS) -> DataFrame:
-    """Write and read ``df`` in each format; seconds, size and rows of each operation."""
-    spark = df.sparkSession
-    folder = fresh_path(spark, "formats")
-    rows = df.count()
-    measured = []
-    for fmt in formats:
-        path = f"{folder}/{fmt}"
-        start = time.perf_counter()
-        write(df, path, fmt)
-        wrote = time.perf_counter()
-        scan(spark, path, fmt, df.schema).write.format("noop").mode("overwrite").save()
-        read = time.perf_counter()
-        size = content_bytes(spark, path) / 1024**2
-        measured += [(fmt, "write", wrote - start, size, rows), (fmt, "read", read - wrote, size, rows)]
-    return spark.createDataFrame(
-        measured, "format string, operation string, time_seconds double, file_size_mb double, row_count bigint"
-    )
-
-
-def format_winners(measurements: DataFrame) -> DataFrame:
-    """Fastest format to read and to write, and the smallest one."""
-
-    def fastest(operation):
-        seconds = F.when(F.col("operation") == operation, F.col("time_seconds"))
-        return F.min_by("format", seconds).alias(f"fastest_{operation}")
-
-    return measurements.agg(
-        fastest("read"), fastest("write"), F.min_by("format", "file_size_mb").alias("smallest_file")
-    )
-
-
-def format_report(measurements: DataFrame) -> DataFrame:
-    """Every measurement with its rate and a mark on the winners."""
-    best = format_winners(measurements)
-    fastest = F.when(F.col("operation") == "read", F.col("fastest_read")).otherwise(F.col("fastest_write"))
-    return (
-        measurements.withColumn("_all", F.lit(1))
-        .join(best.withColumn("_all", F.lit(1)), "_all")
-        .withColumns(
-            {
-                "rows_per_second": F.try_divide(number("row_count"), F.col("time_seconds")),
-                "is_fastest": F.col("format") == fastest,
-                "is_smallest": F.col("format") == F.col("smallest_file"),
-            }
-        )
-        .drop("_all", "fastest_read", "fastest_write", "smallest_file")
-    )

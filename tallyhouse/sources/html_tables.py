@@ -25,11 +25,15 @@ HEADER_CLASS = "thead"
 CELL_NAME = "data-stat"
 PLAYER_CELLS = ("player", "name_display")
 
-# One tag with its quoted attributes, or a comment.
-_TOKEN = re.compile(
-    r"""<(?:(/?)([a-z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|!--.*?(?:-->|\Z))""",
-    re.IGNORECASE | re.DOTALL,
+ROWS_AT_ONCE = 5000
+
+# A tag up to its closing bracket, with quoted attributes. No part gives back what it has read,
+# so a page is read once from left to right, whatever is wrong with it.
+_TAG = re.compile(
+    r"""<(/?)([a-z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>""",
+    re.IGNORECASE,
 )
+_TAG_START = re.compile(r"</?[a-z]|<!--", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
@@ -41,6 +45,28 @@ def _attribute(text: str, wanted: str) -> str | None:
     return None
 
 
+def _tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, closing slash, name, attributes) of every tag outside comments.
+
+    A comment or quoted attribute that never closes takes the rest of the page with it, as it
+    does in a browser.
+    """
+    at = 0
+    while found := _TAG_START.search(page, at):
+        start = found.start()
+        if found.group() == "<!--":
+            at = page.find("-->", start + 4) + 3
+            if at < 3:
+                return
+            yield start, at, "", "", ""
+            continue
+        tag = _TAG.match(page, start)
+        if tag is None:
+            return
+        at = tag.end()
+        yield start, at, tag.group(1), tag.group(2).lower(), tag.group(3)
+
+
 def _plain(text: str) -> str:
     return entities.unescape(text) if "&" in text else text
 
@@ -81,16 +107,14 @@ def page_rows(page: str) -> list[dict]:
             if row.get("player"):
                 rows.append(row)
 
-    for token in _TOKEN.finditer(page):
-        closing, tag, inside = token.groups()
-        tag = tag.lower() if tag else ""
+    for start, stop, closing, tag, inside in _tags(page):
         if skipping:  # the text of a script or style block may look like tags
             if closing and tag == skipping:
-                skipping, end = None, token.end()
+                skipping, end = None, stop
             continue
         if row is not None and row.cell and depth == 1:
-            row.text.append(page[end : token.start()])
-        end = token.end()
+            row.text.append(page[end:start])
+        end = stop
         if tag in ("script", "style") and not closing:
             skipping = tag
         elif tag == "table":
@@ -132,20 +156,25 @@ def stats_records(pages: DataFrame, stats: list[str], base_url: str, season_year
     ddl = ", ".join(["page_id bigint", "row_no int", *[f"`{c}` string" for c in texts]])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[dict] = []
+
+        def part() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_pydict({c: [row.get(c) for row in out] for c in schema.names}, schema)
+            out.clear()
+            return made
+
         for batch in batches:
-            out = []
             for page_id, page in zip(batch["page_id"].to_pylist(), batch["html"].to_pylist()):
                 try:
                     found = page_rows(page or "")
                 except Exception as problem:
-                    out.append({"page_id": page_id, "row_no": 0, "error": str(problem)})
-                    continue
-                out += [{**row, "page_id": page_id, "row_no": place} for place, row in enumerate(found, 1)]
-            yield pa.RecordBatch.from_pydict({c: [row.get(c) for row in out] for c in schema.names}, schema)
-
-    # Only pages that can hold the table are handed to Python; the test runs inside the scan stage.
-    likely = pages.filter(F.col("html").contains(TABLE_ID)).select("page_id", "html")
-    return likely.mapInArrow(parse, ddl).select(
+                    found = [{"row_no": 0, "error": str(problem)}]
+                out += [{"row_no": place, **row, "page_id": page_id} for place, row in enumerate(found, 1)]
+                if len(out) >= ROWS_AT_ONCE:
+                    yield part()
+        yield part()
+
+    return pages.select("page_id", "html").mapInArrow(parse, ddl).select(
         "page_id",
         "row_no",
         F.lit(season_year).alias("season_year"),

@@ -21,6 +21,8 @@ TIER_STEPS = [(8500, "Platinum"), (5500, "Gold"), (2500, "Silver")]
 TIER_FLOOR = "Bronze"
 EMAIL_HOST = "@email.com"
 
+SUCCESSOR = 10_000_000_000
+
 
 class Retail:
     """Customers, orders, order lines, products and categories.
@@ -86,6 +88,23 @@ class Retail:
         first = self.orders.groupBy("customer_id").agg(F.min("order_date").alias("registration_date"))
         return self.customers_placed.join(first, "customer_id", "left")
 
+    @cached_property
+    def registrations(self) -> DataFrame:
+        """Customer ids with their registration date alone, without looking up places."""
+        if "customers_registered" in self.__dict__:
+            return self.customers_registered.select("customer_id", "registration_date")
+        first = self.orders.groupBy("customer_id").agg(F.min("order_date").alias("registration_date"))
+        return self.customers.select("customer_id").join(first, "customer_id", "left")
+
+    @cached_property
+    def listed_products(self) -> DataFrame:
+        """Products and, for each one that is no longer active, the successor that is listed for it.
+        A successor has the number of its product raised by ten billion, and no stock."""
+        successors = self.products.filter("not is_active").withColumns(
+            {"product_id": F.col("product_id") + SUCCESSOR, "stock_quantity": F.lit(0).cast("bigint"), "is_active": F.lit(True)}
+        )
+        return self.products.unionByName(successors)
+
     @cached_property
     def orders(self) -> DataFrame:
         return _order_columns(self._read("orders"))
@@ -313,12 +332,12 @@ def _player_text(rows: DataFrame) -> DataFrame:
 
 
 def tier_changes(retail: Retail) -> DataFrame:
-    """Requested tier changes: one per large order, dated by the order.
+    """Requested tier changes: one per order, dated by the order.
 
     Every fiftieth names a customer that does not exist.
     """
     stray = F.when(F.col("order_id") % 50 == 0, 10_000_000_000).otherwise(0)
-    return retail.orders.filter(F.col("total_amount") >= 300000).select(
+    return retail.orders.select(
         (F.col("customer_id") + stray).alias("customer_id"),
         at_least(
             "total_amount", [(475000, "Platinum"), (425000, "Gold"), (350000, "Silver")], TIER_FLOOR

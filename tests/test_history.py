@@ -79,7 +79,24 @@ def test_back_dated_and_conflicting_changes_are_rejected(spark, dim):
     )
     assert sorted(scd2_apply(dim, batch).collect()) == sorted(dim.collect())
     reasons = [r.reason for r in rejected_changes(dim, batch).orderBy("customer_id", "effective_date").collect()]
-    assert reasons == ["not after the current version"] * 2 + ["several changes on one date"] * 2
+    assert reasons == ["not after the current version"] * 2 + ["several tiers on one date"] * 2
+
+
+def test_a_change_delivered_twice_is_one(spark, dim):
+    """All three types take it once, and refuse what is not after the current version."""
+    batch = changes(spark, (1, "Gold", "2024-05-01"), (1, "Gold", "2024-05-01"), (2, "Bronze", "2020-05-01"))
+    after = scd2_apply(dim, batch)
+    assert [v[2:4] for v in versions(after, 1)] == [("Bronze", "2024-01-01"), ("Gold", "2024-05-01")]
+    assert {r.customer_id: r.customer_tier for r in scd1_apply(dim, batch).collect()} == {1: "Gold", 2: "Gold"}
+    assert {r.customer_id: r.previous_tier for r in scd3_apply(dim, batch).collect()} == {1: "Bronze", 2: None}
+    assert [(r.customer_id, r.reason) for r in rejected_changes(dim, batch).collect()] == [(2, "not after the current version")]
+
+
+def test_type_2_reads_its_inputs_once(spark, dim):
+    from tallyhouse.operators.history import _applied
+
+    plan = _applied(dim, changes(spark, (1, "Gold", "2024-05-01")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("LogicalRDD") + plan.count("LocalRelation") == 2
 
 
 def test_later_batch_keeps_closed_versions(spark, dim):

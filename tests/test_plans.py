@@ -69,7 +69,7 @@ def test_correlated_count_becomes_a_join(source):
 
 def test_no_forced_broadcast_cross_join_or_python(spark, small):
     for name in registry._REGISTERED:
-        if name in {"html_stats", "format_report", "convert_formats", "write_modes"} or name.startswith("scan_"):
+        if name in {"html_stats", "convert_formats", "write_modes"} or name.startswith("scan_"):
             continue
         df = registry._REGISTERED[name](spark, small)
         logical = df._jdf.queryExecution().analyzed().toString()

@@ -1,5 +1,7 @@
 """Player steps and page parsing on hand-made records."""
 
+import time
+
 import pytest
 
 from tallyhouse.plans import players
@@ -128,3 +130,18 @@ def test_stats_records(spark):
         (1, 3, "Cy D", None, None, None, 2025),
     ]
     assert all(r.error is None and r.scraped_at for r in rows)
+
+
+def test_an_entity_coded_id_is_found(spark):
+    page = PAGE.replace('id="totals_stats"', 'id="totals&#95;stats"')
+    pages = spark.createDataFrame([(1, "u", page)], "page_id bigint, url string, html string")
+    assert stats_records(pages, ["player"], "https://x.example", 2025).count() == len(page_rows(PAGE)) > 0
+
+
+@pytest.mark.parametrize("damage", ['<a "', "<a href='", "<", "</", "<!--", '<td data-stat="x', "<script>", '"<a>\'', "<a b=\"c\" '"])
+def test_a_damaged_page_is_read_in_one_pass(damage):
+    for page in (PAGE + damage * (1_000_000 // len(damage)), damage * (1_000_000 // len(damage)) + PAGE):
+        start = time.perf_counter()
+        page_rows(page)
+        assert time.perf_counter() - start < 3
+    assert page_rows(PAGE + damage) == page_rows(PAGE)

@@ -119,12 +119,6 @@ def test_explicit_schema_refuses_null(spark):
         basics.explicit_schema(bad).collect()
 
 
-def test_range_source_runs_on_executors(spark):
-    numbers = basics.doubled_values(basics.range_source(spark, 1000))
-    assert numbers.count() == 950
-    assert numbers.orderBy("id").first().asDict() == {"id": 51, "value1": 102, "doubled": 204}
-
-
 def test_timing_compare(spark):
     runs = spark.createDataFrame(
         [("q", "before", 2.0), ("q", "before", 4.0), ("q", "after", 1.5)], "query string, phase string, seconds double"

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -62,23 +63,14 @@ def test_season_runs_and_preview(spark, tmp_path):
     assert back.count() == 4 and back.select("run").distinct().count() == 2
 
 
-def test_format_winners(spark):
-    # The measurements published for 10,000 rows.
-    rows = [
-        ("CSV", "read", 0.026411, 0.890712), ("JSON", "read", 0.031695, 2.321107), ("Parquet", "read", 0.401042, 0.227575),
-        ("CSV", "write", 0.037071, 0.890712), ("JSON", "write", 0.014508, 2.349717), ("Parquet", "write", 0.026958, 0.226618),
-    ]
-    df = spark.createDataFrame([(*r, 10_000) for r in rows], "format string, operation string, time_seconds double, file_size_mb double, row_count bigint")
-    assert tuple(files.format_winners(df).first()) == ("CSV", "JSON", "Parquet")
-    report = files.format_report(df)
-    assert {(r.format, r.operation) for r in report.filter("is_fastest").collect()} == {("CSV", "read"), ("JSON", "write")}
-
-
 def test_sequence_key_equals_a_global_row_number(spark):
-    ids = spark.createDataFrame([(i,) for i in (5, -3, 17, 40, 41, 42, 1_000_000, 39)], "id bigint")
-    for width in (1, 10, 1000):
-        numbered = with_sequence_key(ids, "k", "id", after=100, width=width).collect()
-        assert {r.id: r.k for r in numbered} == {i: 101 + n for n, i in enumerate(sorted(r.id for r in numbered))}
+    few = [5, -3, 17, 40, 41, 42, 1_000_000, 39]
+    dice = random.Random(4)
+    sparse = [dice.randrange(1 << 63) for _ in range(5000)]
+    for values in (few, sparse, few[:1], []):
+        ids = spark.createDataFrame([(i,) for i in values], "id bigint")
+        numbered = with_sequence_key(ids, "k", "id", after=100).collect()
+        assert {r.id: r.k for r in numbered} == {i: 101 + n for n, i in enumerate(sorted(values))}
 
 
 def test_warehouse_build(spark, small, tmp_path):
