@@ -96,19 +96,19 @@ TOKENIZERS = (
 
 
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three batches: all documents loaded, texts with runs of blanks revised to
-    single ones, and documents labelled toxic deleted. The last batch arrives twice."""
+    """Totals after three batches: all documents loaded, texts with long numbers (telephones, cards,
+    keys) revised to masked ones, and documents labelled toxic deleted. The last arrives twice."""
     docs = _documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "source", "lang", "text")
     loaded = docs.select(F.lit("insert").alias("op"), "*")
-    single = F.regexp_replace("text", "[ \\t]{2,}", " ")
-    revised = docs.where(single != F.col("text")).select(F.lit("revise").alias("op"), "id", "source", "lang", single.alias("text"))
+    masked = F.regexp_replace("text", "[0-9]{4,}", "0000")
+    revised = docs.where(masked != F.col("text")).select(F.lit("revise").alias("op"), "id", "source", "lang", masked.alias("text"))
     nothing = F.lit(None).cast("string")
     deleted = (
         table(spark, sf_dir, "labels").where("toxic = 1")
         .select(F.lit("delete").alias("op"), F.col("doc_id").alias("id"), *[nothing.alias(c) for c in ("source", "lang", "text")])
     )
     rollup = token_rollup.Rollup(spark, fresh_path(spark, "token-rollup"), TOKENIZERS)
-    for batch, changes in (("1-load", loaded), ("2-blanks", revised), ("3-toxic", deleted), ("3-toxic", deleted)):
+    for batch, changes in (("1-load", loaded), ("2-masked", revised), ("3-toxic", deleted), ("3-toxic", deleted)):
         rollup.commit(batch, changes)
     return rollup.totals()
 

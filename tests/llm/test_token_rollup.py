@@ -107,7 +107,7 @@ def test_query_equals_a_recount(spark, small):
     want = Counter()
     for r in spark.read.parquet(f"{small}/documents.parquet").collect():
         if r.doc_id not in toxic:
-            text = regex.sub("[ \t]{2,}", " ", r.text)
+            text = regex.sub("[0-9]{4,}", "0000", r.text)
             for version, n in (("words-1", words(text)), ("byte_bpe_50k-1", len(bpe.encode_ordinary(text)))):
                 want[(r.source, r.lang, version, "docs")] += 1
                 want[(r.source, r.lang, version, "tokens")] += n
