@@ -14,7 +14,8 @@ distinct fingerprints, and its links are found without forming all pairs. The re
 ``similar_groups`` (wide fingerprints) serves similarities at which no number of equal bytes of a
 short fingerprint is certain. It keys the index by many small sets of positions, meets the
 members of a list at a star, tallies the equal positional bytes of each pair, and verifies the
-whole fingerprints. Members that are not linked to their star meet again at a new one.
+whole fingerprints. Members that are not linked to their star meet each other if they are few, and
+else meet again in the lists of a key that is longer by a byte.
 
 Equal fingerprints are one entry throughout, so a text with millions of copies costs one.
 """
@@ -40,6 +41,7 @@ ALL_PAIRS_UP_TO = 256
 
 WIDE_BITS = 1024
 INDEX_KEYS = 96
+FEW_MEMBERS = 32
 SPARE_KEY_BITS = 4
 
 
@@ -67,9 +69,12 @@ def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(texts: list[bytes], size: int, bits: int) -> list[bytes]:
+def fingerprints(texts: list[bytes], size: int, bits: int, even_ties: bool = False) -> list[bytes]:
     """A bit is 1 if it is set in over half of the shingles' hashes; no words give zero.
 
+    With ``even_ties`` a bit set in exactly half of them is that of the least hash. Otherwise it is
+    0, which makes short texts alike that have nothing in common.
+
     Bits are counted for all texts at once: eight bits of each hash are spread over the bytes of
     a 64-bit number and added up in stretches of at most 255, so that no byte overflows.
     """
@@ -86,34 +91,41 @@ def fingerprints(texts: list[bytes], size: int, bits: int) -> list[bytes]:
     first_hash = np.concatenate(([0], np.cumsum(counts)[:-1]))
     starts = np.repeat(first_hash, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(first_piece, pieces))
     spread = np.uint64(0x0101010101010101)
+    least = np.minimum.reduceat(hashes, first_hash)
     for word in range(bits // 64):
         mixed = _remixed(hashes, word)
         value = np.zeros((len(filled), 8), np.uint8)
         for k in range(8):
             sums = np.add.reduceat((mixed >> np.uint64(k)) & spread, starts)
             by_byte = np.add.reduceat(sums.view(np.uint8).reshape(-1, 8).astype(np.int64), first_piece, axis=0)
-            value |= (2 * by_byte > counts[:, None]).astype(np.uint8) << np.uint8(k)
+            ones = 2 * by_byte > counts[:, None]
+            if even_ties:
+                of_least = ((_remixed(least, word) >> np.uint64(k)) & spread).view(np.uint8).reshape(-1, 8)
+                ones |= (2 * by_byte == counts[:, None]) & (of_least == 1)
+            value |= ones.astype(np.uint8) << np.uint8(k)
         made[filled, 8 * word : 8 * word + 8] = value[:, ::-1]  # most significant byte first
     return [bytes(x) for x in made]
 
 
-def fingerprint(text: Column | str, size: int, bits: int = 64) -> Column:
+def fingerprint(text: Column | str, size: int, bits: int = 64, even_ties: bool = False) -> Column:
     """Column of fingerprints as binary, most significant byte first."""
     schema = pa.schema([("bytes", pa.binary())])
-    function = text_udf(lambda texts: {"bytes": _in_parts(texts, size, bits)}, schema, "struct<bytes: binary>")
+    function = text_udf(lambda texts: {"bytes": _in_parts(texts, size, bits, even_ties)}, schema, "struct<bytes: binary>")
     return function(text)["bytes"]
 
 
-def _in_parts(texts: list[bytes], size: int, bits: int, part_bytes: int = 16_000_000) -> list[bytes]:
+def _in_parts(
+    texts: list[bytes], size: int, bits: int, even_ties: bool, part_bytes: int = 16_000_000
+) -> list[bytes]:
     """Fingerprints of some megabytes of text at a time, to bound the memory of the hashes."""
     made, part, held = [], [], 0
     for text in texts:
         part.append(text)
         held += len(text)
         if held >= part_bytes:
-            made += fingerprints(part, size, bits)
+            made += fingerprints(part, size, bits, even_ties)
             part, held = [], 0
-    return made + (fingerprints(part, size, bits) if part else [])
+    return made + (fingerprints(part, size, bits, even_ties) if part else [])
 
 
 # Links at two or fewer bits of 64 -------------------------------------------------------------
@@ -272,30 +284,46 @@ def _compare():
     return F.arrow_udf(run, "struct<matches: int, bits: int>").asNondeterministic()
 
 
-def _star_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
-    """Links between members of posting lists (key, node), each list meeting at stars."""
+def _verified(pairs: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose fingerprints match in enough bytes and differ in few bits."""
+    left = prints.select(F.col("node").alias("a"), F.col("print").alias("a_print"))
+    right = prints.select(F.col("node").alias("b"), F.col("print").alias("b_print"))
+    met = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", _compare()("a_print", "b_print").alias("is"))
+    return met.where((F.col("is.matches") >= least_matches) & (F.col("is.bits") <= max_bits)).select("a", "b")
+
+
+def _list_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
+    """Links between members of posting lists (key, node).
+
+    Members meet at the least node of their list. Those that are not linked to it meet each other
+    where they are at most ``FEW_MEMBERS``; larger rests are dealt by one more byte of their
+    fingerprints, at a position that the key decides, and go through the same again.
+    """
     found = []
     while True:
-        # Behind a checkpoint both sides of the join are plain exchanges, which Spark can split.
+        # Behind a checkpoint both sides of a join are plain exchanges, which Spark can split.
+        # Lists of one entry, nearly all of them, end here.
         stars = checkpointed(
             index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("star"))
             .where("n > 1").select("key", "star")
         )
-        # Lists of one entry, nearly all of them, end here.
         met = checkpointed(index.join(stars, "key").where("node <> star"))
-        pairs = met.select("star", "node").distinct()
-        verdict = (
-            pairs.join(prints.select(F.col("node").alias("star"), F.col("print").alias("star_print")), "star")
-            .join(prints.select("node", "print"), "node")
-            .select("star", "node", _compare()("star_print", "print").alias("is"))
-            .where((F.col("is.matches") >= least_matches) & (F.col("is.bits") <= max_bits))
-            .select("star", "node")
-        )
-        linked = checkpointed(verdict)
-        found.append(linked.select(F.col("node").alias("a"), F.col("star").alias("b")))
-        index = checkpointed(met.join(linked, ["star", "node"], "left_anti").select("key", "node"))
-        if index.isEmpty():
+        pairs = met.select(F.col("node").alias("a"), F.col("star").alias("b"))
+        linked = checkpointed(_verified(pairs, prints, least_matches, max_bits))
+        found.append(linked)
+        known = linked.select(F.col("a").alias("node"), F.col("b").alias("star"))
+        rest = met.join(known, ["star", "node"], "left_anti").select("key", "node")
+        sizes = checkpointed(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        rest = checkpointed(rest.join(sizes, "key"))
+        few = rest.where(F.col("n") <= FEW_MEMBERS)
+        pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key")
+        found.append(checkpointed(_verified(pairs.where("a > b").select("a", "b"), prints, least_matches, max_bits)))
+        many = rest.where(F.col("n") > FEW_MEMBERS)
+        if many.isEmpty():
             return reduce(DataFrame.union, found)
+        place = F.pmod(F.xxhash64("key"), F.octet_length("print")).cast("int") + 1
+        longer = F.xxhash64("key", F.substring("print", place, F.lit(1)))
+        index = checkpointed(many.join(prints, "node").select(longer.alias("key"), "node"))
 
 
 def similar_groups(
@@ -323,7 +351,7 @@ def similar_groups(
         docs.select(
             F.col(id_col).alias("id"),
             F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
-            fingerprint(F.col(text_col), words, bits).alias("print"),
+            fingerprint(F.col(text_col), words, bits, even_ties=True).alias("print"),
         ).withColumn("node", F.xxhash64("print")),
         "simhash-wide",
     )
@@ -333,7 +361,7 @@ def similar_groups(
     positions = _index_positions(bits // 8, width, keys)
     index = prints.select("node", F.explode(_index_keys(positions)("print")).alias("key"))
     max_bits = bits_at(similarity, bits)
-    links = _star_links(index, prints, max(width, bits // 8 - max_bits), max_bits)
+    links = _list_links(index, prints, max(width, bits // 8 - max_bits), max_bits)
     groups = connected_components(links)
     return made.drop("print").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 

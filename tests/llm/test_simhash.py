@@ -137,3 +137,24 @@ def test_wide_fingerprint_starts_with_the_narrow_one(size):
     narrow, wide = simhash.fingerprints(texts, size, 64), simhash.fingerprints(texts, size, 256)
     assert [w[:8] for w in wide] == narrow
     assert [int.from_bytes(f, "big") for f in narrow] == [brute_print(t.decode(), size) for t in texts]
+
+
+def test_even_ties_take_the_bit_of_the_least_hash():
+    texts = [f"a{i} b{i} c{i} d{i} e{i} f{i}".encode() for i in range(300)]  # two shingles each
+    plain, even = (np.array([list(f) for f in simhash.fingerprints(texts, 5, 256, e)]) for e in (False, True))
+    ones = [np.bitwise_count(x.astype(np.uint8)).mean() / 8 for x in (plain, even)]
+    assert abs(ones[0] - 0.25) < 0.02 and abs(ones[1] - 0.5) < 0.02
+    assert (plain & ~even == 0).all()
+    odd = [b"one two three four five", b"a b c d e f g"]
+    assert simhash.fingerprints(odd, 5, 256) == simhash.fingerprints(odd, 5, 256, True)
+
+
+def test_many_unlike_members_of_one_list(spark):
+    """A list of unlike fingerprints larger than what may meet in pairs still yields its links."""
+    rng = np.random.default_rng(1)
+    prints = [rng.bytes(128) for _ in range(200)]
+    prints += [bytes([p[0] ^ 1]) + p[1:] for p in prints[:50]]
+    frame = spark.createDataFrame([(i, bytearray(p)) for i, p in enumerate(prints)], "node bigint, print binary")
+    index = frame.select(simhash.F.explode(simhash.F.array(*[simhash.F.lit(k).cast("bigint") for k in range(4)])).alias("key"), "node")
+    links = {tuple(sorted((r.a, r.b))) for r in simhash._list_links(index, frame, 3, 150).collect()}
+    assert links == {(i, 200 + i) for i in range(50)}
