@@ -71,9 +71,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def small_side(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
     """Broadcast a side whose counted rows are within ``limit``; beyond it Spark plans the join."""
     return F.broadcast(df) if rows <= limit else df
-
-
-def document_key(doc_id: Column | str, text: Column | str) -> Column:
-    """A key that keeps rows with a NULL or repeated id apart by their text."""
-    return F.struct(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.xxhash64(text))
-
