@@ -288,36 +288,51 @@ def _verified(pairs: DataFrame, prints: DataFrame, least_matches: int, max_bits:
     """The pairs (a, b) of nodes whose fingerprints match in enough bytes and differ in few bits."""
     left = prints.select(F.col("node").alias("a"), F.col("print").alias("a_print"))
     right = prints.select(F.col("node").alias("b"), F.col("print").alias("b_print"))
-    met = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", _compare()("a_print", "b_print").alias("is"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", _compare()("a_print", "b_print").alias("is"))
     return met.where((F.col("is.matches") >= least_matches) & (F.col("is.bits") <= max_bits)).select("a", "b")
 
 
+def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends do not hang on the same node already."""
+    of_a = labels.select("a", F.col("label").alias("a_label"))
+    of_b = labels.select(F.col("a").alias("b"), F.col("label").alias("b_label"))
+    apart = F.coalesce("a_label", "a") != F.coalesce("b_label", "b")
+    return pairs.join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
+
+
 def _list_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
-    """Links between members of posting lists (key, node).
+    """Links between members of posting lists (key, node) that keep every group together.
 
-    Members meet at the least node of their list. Those that are not linked to it meet each other
-    where they are at most ``FEW_MEMBERS``; larger rests are dealt by one more byte of their
-    fingerprints, at a position that the key decides, and go through the same again.
+    Members meet at the least node of their list. A member first tries the least of all its stars;
+    a pair whose ends are then linked to the same node needs no test. Those that are not linked to
+    the star of a list meet each other where they are at most ``FEW_MEMBERS``; larger rests are
+    dealt by one more byte of their fingerprints, at a position that the key decides, and go
+    through the same again.
     """
     found = []
     while True:
         # Behind a checkpoint both sides of a join are plain exchanges, which Spark can split.
         # Lists of one entry, nearly all of them, end here.
         stars = checkpointed(
-            index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("star"))
-            .where("n > 1").select("key", "star")
+            index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b"))
+            .where("n > 1").select("key", "b")
         )
-        met = checkpointed(index.join(stars, "key").where("node <> star"))
-        pairs = met.select(F.col("node").alias("a"), F.col("star").alias("b"))
-        linked = checkpointed(_verified(pairs, prints, least_matches, max_bits))
-        found.append(linked)
-        known = linked.select(F.col("a").alias("node"), F.col("b").alias("star"))
-        rest = met.join(known, ["star", "node"], "left_anti").select("key", "node")
+        met = checkpointed(index.withColumnRenamed("node", "a").join(stars, "key").where("a <> b"))
+        pairs = met.select("a", "b").distinct()
+        first = checkpointed(pairs.groupBy("a").agg(F.min("b").alias("b")))
+        linked = checkpointed(_verified(first, prints, least_matches, max_bits))
+        labels = linked.select("a", F.col("b").alias("label"))
+        later = checkpointed(_labelled(pairs.join(first, ["a", "b"], "left_anti"), labels))
+        more = checkpointed(_verified(later, prints, least_matches, max_bits))
+        found += [linked, more]
+        failed = first.union(later).join(linked.union(more), ["a", "b"], "left_anti")
+        rest = met.join(failed, ["a", "b"], "left_semi").select("key", F.col("a").alias("node"))
         sizes = checkpointed(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
         rest = checkpointed(rest.join(sizes, "key"))
         few = rest.where(F.col("n") <= FEW_MEMBERS)
         pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key")
-        found.append(checkpointed(_verified(pairs.where("a > b").select("a", "b"), prints, least_matches, max_bits)))
+        pairs = _labelled(pairs.where("a > b").select("a", "b").distinct(), labels)
+        found.append(checkpointed(_verified(pairs, prints, least_matches, max_bits)))
         many = rest.where(F.col("n") > FEW_MEMBERS)
         if many.isEmpty():
             return reduce(DataFrame.union, found)
