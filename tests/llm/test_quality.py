@@ -96,3 +96,36 @@ def test_long_repetitive_part_is_found_by_chunks():
     assert bad == 0
     whole, bad = quality.compression(prose + b"spam eggs " * 6000, compressor)
     assert bad > quality.MOST_BAD_CHUNKS
+
+
+def test_random_text_behind_prose_is_found(spark):
+    """Half-random documents and random letters of every kind; the prose alone stays."""
+    dice = random.Random(5)
+    some = ["an", "er", "in", "th", "o", "re", "st", "la", "u", "mi", "ble", "ing", "ou", "ti", "ne", "ha"]
+    prose = " ".join("".join(dice.choices(some, k=dice.randrange(1, 5))) for _ in range(1600))[:8192]
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+    def noise(letters, size):
+        return " ".join("".join(dice.choices(letters, k=70)) for _ in range(size // 71))
+
+    texts = {"prose": prose, "long prose": prose + "\n" + " ".join(dice.sample(prose.split(), 800))}
+    for share in (0.4, 0.5, 0.6):
+        texts[f"base64 {share}"] = prose + "\n" + noise(lower + upper + digits + "+/", int(8192 * share / (1 - share)))
+    for name, letters in (("lower", lower), ("mixed", lower + upper), ("alnum", lower + digits)):
+        texts[name] = noise(letters, 30_000)
+        texts[f"half {name}"] = prose + "\n" + noise(letters, 8192)
+    texts["long"] = prose * 2 + "\n" + noise(lower + upper + digits + "+/", 60_000)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    kept = {r.doc_id for r in quality.judge(docs).where("quality.kept").select("row.doc_id").collect()}
+    assert kept == {"prose", "long prose"}
+
+
+def test_scripts_of_several_bytes_keep_their_limits():
+    dice = random.Random(6)
+    signs = [chr(0x4E00 + dice.randrange(3000)) for _ in range(700)]
+    text = " ".join("".join(dice.choices(signs, k=12)) for _ in range(600))
+    compressor = zstandard.ZstdCompressor(level=3)
+    whole, bad = quality.compression(text.encode(), compressor)
+    assert 1.5 <= whole < quality.DOCUMENT_BANDS[-1].least
+    assert bad == 0
+    assert quality._judge([text.encode()])["kept"] == [True]
