@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import accumulate, combinations
-from math import acos, ceil, log2, pi
+from math import acos, ceil, log1p, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,7 @@ ALL_PAIRS_UP_TO = 256
 
 WIDE_BITS = 1024
 INDEX_KEYS = 96
+RECALL = 0.85
 FEW_MEMBERS = 8
 SPARE_KEY_BITS = 4
 
@@ -244,6 +245,12 @@ def bits_at(similarity: float, bits: int) -> int:
     return round(bits * acos(2 * similarity / (1 + similarity)) / pi)
 
 
+def keys_for(width: int, similarity: float) -> int:
+    """Keys of ``width`` bytes of which a pair at this similarity shares one with probability ``RECALL``."""
+    equal_bit = 1 - acos(2 * similarity / (1 + similarity)) / pi
+    return max(INDEX_KEYS, ceil(log1p(-RECALL) / log1p(-(equal_bit ** (8 * width)))))
+
+
 def _index_positions(n_bytes: int, width: int, keys: int) -> np.ndarray:
     """``keys`` sets of ``width`` positions, spread evenly and reproducibly over the bytes."""
     order = np.random.default_rng(7)
@@ -334,18 +341,19 @@ def similar_groups(
     words: int = 5,
     similarity: float = 0.8,
     bits: int = WIDE_BITS,
-    keys: int = INDEX_KEYS,
+    keys: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """Rows of ``docs`` as (id, text_hash, node, component): equal component, one group.
 
     Two texts link if their fingerprints of ``words``-word shingles differ in no more bits than
     those of sets of this Jaccard similarity do on average; with 1,024 bits the similarity is
-    met within about 0.03. The width of an index key grows with the logarithm of the number of
-    different fingerprints, so that chance meetings stay in proportion to it. A linked pair is
-    found if it shares one of ``keys`` keys. Up to a million fingerprints (keys of three bytes)
-    that has probability 0.85 at similarity 0.8, 0.97 at 0.85 and 0.999 at 0.9, before other
-    members of its group help; up to 60 billion (five bytes) 0.12, 0.35 and 0.70, and 0.99 at
-    0.95: there ``keys`` should be raised. NULL and empty texts have equal fingerprints.
+    met within about 0.03. The ``width`` of an index key is three bytes up to a million (2^20)
+    different fingerprints, four up to 2^28 and five beyond, so that chance meetings stay in
+    proportion to their number. A linked pair is found if it shares one of ``keys`` keys. Their
+    number follows from the width: 97, 363 and 1,353 at similarity 0.8, so that a pair shares one
+    with probability of at least 0.85 at 0.8, 0.97 at 0.85 and 0.999 at 0.9 at any width, before other members
+    of its group help. NULL and empty texts have equal fingerprints.
     """
     made = stored(
         docs.select(
@@ -357,8 +365,8 @@ def similar_groups(
     )
     prints = checkpointed(made.select("node", "print").distinct())
     entries = prints.count()
-    width = max(3, ceil((log2(max(entries, 2)) + SPARE_KEY_BITS) / 8))
-    positions = _index_positions(bits // 8, width, keys)
+    width = width or max(3, ceil((log2(max(entries, 2)) + SPARE_KEY_BITS) / 8))
+    positions = _index_positions(bits // 8, width, keys or keys_for(width, similarity))
     index = prints.select("node", F.explode(_index_keys(positions)("print")).alias("key"))
     max_bits = bits_at(similarity, bits)
     links = _list_links(index, prints, max(width, bits // 8 - max_bits), max_bits)

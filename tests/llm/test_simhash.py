@@ -158,3 +158,26 @@ def test_many_unlike_members_of_one_list(spark):
     index = frame.select(simhash.F.explode(simhash.F.array(*[simhash.F.lit(k).cast("bigint") for k in range(4)])).alias("key"), "node")
     links = {tuple(sorted((r.a, r.b))) for r in simhash._list_links(index, frame, 3, 150).collect()}
     assert links == {(i, 200 + i) for i in range(50)}
+
+
+def pairs_of_texts(n, n_changed, seed):
+    """Unlike texts of 400 words (ids 2i), each with a copy (2i + 1) in which words far apart are changed."""
+    rng = np.random.default_rng(seed)
+    texts = []
+    for _ in range(n):
+        words = ["w%d" % x for x in rng.integers(0, 1_000_000, 400)]
+        places = set((8 + 384 // n_changed * np.arange(n_changed)).tolist())
+        texts += [" ".join(words), edited(words, places)]
+    sets = [set(simhash.shingle_hashes(t.encode(), 5)) for t in texts]
+    alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    return list(enumerate(texts)), alike
+
+
+def test_wider_keys_find_as_much(spark):
+    """Keys of four bytes, as used beyond a million texts."""
+    assert [simhash.keys_for(w, 0.8) for w in (3, 4, 5)] == [97, 363, 1353]
+    texts, alike = pairs_of_texts(200, 6, 11)
+    assert all(0.85 < x < 0.87 for x in alike)
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    groups = {r.id: r.component for r in simhash.similar_groups(docs, width=4).collect()}
+    assert sum(groups[2 * i] == groups[2 * i + 1] for i in range(200)) >= 185
