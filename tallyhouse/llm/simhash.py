@@ -12,10 +12,9 @@ bytes, the minimum, and differ in 16 bits at most. So a list never holds more th
 distinct fingerprints, and its links are found without forming all pairs. The result is exact.
 
 ``similar_groups`` (wide fingerprints) serves similarities at which no number of equal bytes of a
-short fingerprint is certain. It keys the index by many small sets of positions, meets the
-members of a list at a star, tallies the equal positional bytes of each pair, and verifies the
-whole fingerprints. Members that are not linked to their star meet each other if they are few, and
-else meet again in the lists of a key that is longer by a byte.
+short fingerprint is certain. It keys the index by many small sets of positions and compares the
+whole fingerprints of the members of each list until its groups are known, within a task; long
+lists are dealt into blocks that meet each other. No member is left out, so the lists lose no link.
 
 Equal fingerprints are one entry throughout, so a text with millions of copies costs one.
 """
@@ -42,7 +41,7 @@ ALL_PAIRS_UP_TO = 256
 WIDE_BITS = 1024
 INDEX_KEYS = 96
 RECALL = 0.85
-FEW_MEMBERS = 8
+BLOCK = 1024
 SPARE_KEY_BITS = 4
 
 
@@ -299,38 +298,109 @@ def _verified(pairs: DataFrame, prints: DataFrame, least_matches: int, max_bits:
     return met.where((F.col("is.matches") >= least_matches) & (F.col("is.bits") <= max_bits)).select("a", "b")
 
 
+def list_links(
+    table: np.ndarray, linked: np.ndarray, least_matches: int, max_bits: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (first, second) that tie together each group of the members of a posting list.
+
+    ``table`` has a fingerprint in each row; ``linked`` members are known to be one group. A
+    member that joined a group is compared with all that have not joined one, so two members stay
+    uncompared only if they are in one group already, and chains are followed to their end.
+    """
+    prints = table.view(np.uint64)
+    waiting, front = np.flatnonzero(~linked), np.flatnonzero(linked).tolist()
+    first, second = [], []
+    while len(waiting):
+        if not front:
+            front, waiting = [waiting[0]], waiting[1:]
+        at = front.pop()
+        near = np.bitwise_count(prints[waiting] ^ prints[at]).sum(axis=1) <= max_bits
+        if near.any():
+            near[near] = (table[waiting[near]] == table[at]).sum(axis=1) >= least_matches
+            met, waiting = waiting[near], waiting[~near]
+            first.append(met)
+            second.append(np.full(len(met), at))
+            front += met.tolist()
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(first or none), np.concatenate(second or none)
+
+
+def _links_of_members(least_matches: int, max_bits: int):
+    """Arrow function: members (node, print, linked) of posting lists to links (a, b)."""
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(lists: pa.Array) -> pa.Array:
+        offsets, members = lists.offsets.to_numpy(), lists.values
+        nodes = members.field("node").to_numpy()
+        known = members.field("linked").to_numpy(zero_copy_only=False)
+        prints = members.field("print")
+        ends, a, b = [0], [], []
+        for begin, end in zip(offsets[:-1], offsets[1:]):
+            order = begin + np.argsort(nodes[begin:end])
+            raw = b"".join(prints.slice(begin, end - begin).to_pylist())
+            table = np.frombuffer(raw, np.uint8).reshape(end - begin, -1)[order - begin]
+            first, second = list_links(table, known[order].astype(bool), least_matches, max_bits)
+            a.append(nodes[order[first]])
+            b.append(nodes[order[second]])
+            ends.append(ends[-1] + len(first))
+        none = [np.zeros(0, np.int64)]
+        links = [pa.array(np.concatenate(x or none), pa.int64()) for x in (a, b)]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(links, fields=list(kind)))
+
+    run.__annotations__ = {"lists": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint>>").asNondeterministic()
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members (list, node, linked) of blocks of long posting lists (key, node, linked).
+
+    The members not linked to their star, and those that are, are dealt into blocks of about
+    half of ``BLOCK`` by a hash. Each block of the former meets itself and every other block.
+    """
+    half = F.lit(BLOCK // 2)
+    sizes = members.groupBy("key").agg(
+        F.ceil(F.count_if(~F.col("linked")) / half).cast("int").alias("rest"),
+        F.ceil(F.count_if("linked") / half).cast("int").alias("tied"),
+    )
+    sizes = checkpointed(sizes.where("rest > 0"))
+    rest, blocks = F.col("rest"), F.col("rest") + F.col("tied")
+    place = F.xxhash64("node")
+    own = F.when(F.col("linked"), rest + F.pmod(place, "tied")).otherwise(F.pmod(place, "rest")).cast("int")
+    others = F.sequence(F.lit(0), F.when(F.col("linked"), rest).otherwise(blocks) - 1)
+    dealt = members.join(sizes, "key").select("key", "node", "linked", own.alias("own"), F.explode(others).alias("other"))
+    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.select(pair.alias("list"), "node", "linked")
+
+
 def _list_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
-    """Links between members of posting lists (key, node).
+    """Links (a, b) that tie together the groups of every posting list (key, node).
 
-    Members meet at the least node of their list. Those that are not linked to it meet each other
-    where they are at most ``FEW_MEMBERS``; larger rests are dealt by one more byte of their
-    fingerprints, at a position that the key decides, and go through the same again.
+    Lists of up to ``BLOCK`` members are compared as they are, equal ones once. Members of longer
+    ones first meet the least of them, their star. Those that are not linked to it then meet each
+    other and all that are, in blocks.
     """
-    found = []
-    while True:
-        # Behind a checkpoint both sides of a join are plain exchanges, which Spark can split.
-        # Lists of one entry, nearly all of them, end here.
-        stars = checkpointed(
-            index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("star"))
-            .where("n > 1").select("key", "star")
-        )
-        met = checkpointed(index.join(stars, "key").where("node <> star"))
-        pairs = met.select(F.col("node").alias("a"), F.col("star").alias("b"))
-        linked = checkpointed(_verified(pairs, prints, least_matches, max_bits))
-        found.append(linked)
-        known = linked.select(F.col("a").alias("node"), F.col("b").alias("star"))
-        rest = met.join(known, ["star", "node"], "left_anti").select("key", "node")
-        sizes = checkpointed(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        rest = checkpointed(rest.join(sizes, "key"))
-        few = rest.where(F.col("n") <= FEW_MEMBERS)
-        pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key")
-        found.append(checkpointed(_verified(pairs.where("a > b").select("a", "b"), prints, least_matches, max_bits)))
-        many = rest.where(F.col("n") > FEW_MEMBERS)
-        if many.isEmpty():
-            return reduce(DataFrame.union, found)
-        place = F.pmod(F.xxhash64("key"), F.octet_length("print")).cast("int") + 1
-        longer = F.xxhash64("key", F.substring("print", place, F.lit(1)))
-        index = checkpointed(many.join(prints, "node").select(longer.alias("key"), "node"))
+    # Behind a checkpoint both sides of a join are plain exchanges, which Spark can split.
+    # Lists of one entry, nearly all of them, end here.
+    stars = checkpointed(
+        index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("star")).where("n > 1")
+    )
+    met = checkpointed(index.join(stars, "key"))
+    short = met.where(F.col("n") <= BLOCK).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("members"))
+    short = short.select("members").distinct()
+    short = short.select(F.xxhash64("members").alias("list"), F.explode("members").alias("node"), F.lit(False).alias("linked"))
+    long = met.where(F.col("n") > BLOCK)
+    pairs = long.where("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b"))
+    tied = checkpointed(_verified(pairs, prints, least_matches, max_bits))
+    known = tied.select(F.col("a").alias("node"), F.col("b").alias("star"), F.lit(True).alias("tied"))
+    flagged = long.join(known, ["star", "node"], "left").select(
+        "key", "node", (F.col("tied").isNotNull() | (F.col("node") == F.col("star"))).alias("linked")
+    )
+    members = short.union(_blocks(checkpointed(flagged)))
+    lists = members.join(prints, "node").groupBy("list").agg(
+        F.collect_list(F.struct("node", "print", "linked")).alias("members")
+    )
+    links = lists.select(F.inline(_links_of_members(least_matches, max_bits)("members")))
+    return tied.union(checkpointed(links.distinct()))
 
 
 def similar_groups(

@@ -181,3 +181,30 @@ def test_wider_keys_find_as_much(spark):
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
     groups = {r.id: r.component for r in simhash.similar_groups(docs, width=4).collect()}
     assert sum(groups[2 * i] == groups[2 * i + 1] for i in range(200)) >= 185
+
+
+def flipped(number, places):
+    for p in places:
+        number ^= 1 << int(p)
+    return number
+
+
+def groups_of_list(spark, numbers):
+    """Components among the members of one posting list, by the links made of it."""
+    rows = [(i, bytearray(x.to_bytes(128, "big"))) for i, x in enumerate(numbers)]
+    frame = spark.createDataFrame(rows, "node bigint, print binary")
+    index = frame.select(simhash.F.lit(1).cast("bigint").alias("key"), "node")
+    known = {r.node: r.component for r in connected_components(simhash._list_links(index, frame, 3, 155)).collect()}
+    return [known.get(i, i) for i in range(len(numbers))]
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_crowded_list_equals_brute_force(spark, monkeypatch, block):
+    """Texts of one template, too unlike to link, each with a copy that differs in many bits."""
+    monkeypatch.setattr(simhash, "BLOCK", block, raising=False)
+    rng = np.random.default_rng(3)
+    base = int.from_bytes(rng.bytes(128), "big")
+    members = [flipped(base, rng.choice(1024, 110, False)) for _ in range(150)]
+    numbers = members + [flipped(m, rng.choice(1024, 145, False)) for m in members]
+    assert groups_of_list(spark, numbers) == brute_groups(numbers, 155)
+    assert len(set(brute_groups(numbers, 155))) > 100
