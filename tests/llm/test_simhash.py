@@ -208,3 +208,16 @@ def test_crowded_list_equals_brute_force(spark, monkeypatch, block):
     numbers = members + [flipped(m, rng.choice(1024, 145, False)) for m in members]
     assert groups_of_list(spark, numbers) == brute_groups(numbers, 155)
     assert len(set(brute_groups(numbers, 155))) > 100
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_a_chain_within_one_list_is_one_group(spark, monkeypatch, block):
+    """Each text is near to the one before it only; the ends, and the star and the third, are unlike."""
+    monkeypatch.setattr(simhash, "BLOCK", block, raising=False)
+    rng = np.random.default_rng(4)
+    numbers = [int.from_bytes(rng.bytes(128), "big")]
+    for _ in range(6):
+        numbers.append(flipped(numbers[-1], rng.choice(1024, 150, False)))
+    assert all((a ^ b).bit_count() > 155 for a, b in zip(numbers, numbers[2:]))
+    numbers += [int.from_bytes(rng.bytes(128), "big") for _ in range(5)]
+    assert groups_of_list(spark, numbers) == [0] * 7 + [7, 8, 9, 10, 11]
