@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import accumulate, combinations
-from math import acos, ceil, log1p, log2, pi
+from math import acos, ceil, log1p, log2, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import checkpointed, packed, stored, text_udf
+from tallyhouse.llm.common import checkpointed, packed, small_side, stored, text_udf
 from tallyhouse.llm.components import connected_components
 
 HASH_SEED = 42
@@ -244,6 +244,12 @@ def bits_at(similarity: float, bits: int) -> int:
     return round(bits * acos(2 * similarity / (1 + similarity)) / pi)
 
 
+def most_bits_at(similarity: float, bits: int) -> int:
+    """The average of ``bits_at`` and three standard deviations, which one pair in 700 exceeds."""
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    return ceil(bits * share + 3 * sqrt(bits * share * (1 - share)))
+
+
 def keys_for(width: int, similarity: float) -> int:
     """Keys of ``width`` bytes of which a pair at this similarity shares one with probability ``RECALL``."""
     equal_bit = 1 - acos(2 * similarity / (1 + similarity)) / pi
@@ -299,56 +305,68 @@ def _verified(pairs: DataFrame, prints: DataFrame, least_matches: int, max_bits:
 
 
 def list_links(
-    table: np.ndarray, linked: np.ndarray, least_matches: int, max_bits: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Links (first, second) that tie together each group of the members of a posting list.
+    table: np.ndarray, linked: np.ndarray, least_matches: int, max_bits: int, most_bits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (first, second, near) of members of a posting list; near ones tie its groups together.
 
     ``table`` has a fingerprint in each row; ``linked`` members are known to be one group. A
     member that joined a group is compared with all that have not joined one, so two members stay
-    uncompared only if they are in one group already, and chains are followed to their end.
+    uncompared only if they are in one group already, and chains are followed to their end. Pairs
+    of different groups that differ in over ``max_bits`` and up to ``most_bits`` are not near.
     """
     prints = table.view(np.uint64)
     waiting, front = np.flatnonzero(~linked), np.flatnonzero(linked).tolist()
-    first, second = [], []
+    group = np.arange(len(table))
+    group[front] = front[0] if front else 0
+    pairs, doubtful = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
     while len(waiting):
         if not front:
             front, waiting = [waiting[0]], waiting[1:]
         at = front.pop()
-        near = np.bitwise_count(prints[waiting] ^ prints[at]).sum(axis=1) <= max_bits
-        if near.any():
-            near[near] = (table[waiting[near]] == table[at]).sum(axis=1) >= least_matches
-            met, waiting = waiting[near], waiting[~near]
-            first.append(met)
-            second.append(np.full(len(met), at))
-            front += met.tolist()
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(first or none), np.concatenate(second or none)
-
-
-def _links_of_members(least_matches: int, max_bits: int):
-    """Arrow function: members (node, print, linked) of posting lists to links (a, b)."""
-    kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+        bits = np.bitwise_count(prints[waiting] ^ prints[at]).sum(axis=1)
+        close = bits <= most_bits
+        if not close.any():
+            continue
+        close[close] = (table[waiting[close]] == table[at]).sum(axis=1) >= least_matches
+        near = close & (bits <= max_bits)
+        for found, kept in ((near, pairs), (close & ~near, doubtful)):
+            if found.any():
+                members = waiting[found]
+                kept.append(np.stack([members, np.full(len(members), at)], axis=1))
+        met, waiting = waiting[near], waiting[~near]
+        group[met] = group[at]
+        front += met.tolist()
+    near, unsure = np.concatenate(pairs), np.concatenate(doubtful)
+    unsure = unsure[group[unsure[:, 0]] != group[unsure[:, 1]]]
+    both = np.concatenate([near, unsure])
+    return both[:, 0], both[:, 1], np.arange(len(both)) < len(near)
+
+
+def _links_of_members(least_matches: int, max_bits: int, most_bits: int):
+    """Arrow function: members (node, print, linked) of posting lists to pairs (a, b, near)."""
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("near", pa.bool_())])
 
     def run(lists: pa.Array) -> pa.Array:
         offsets, members = lists.offsets.to_numpy(), lists.values
         nodes = members.field("node").to_numpy()
         known = members.field("linked").to_numpy(zero_copy_only=False)
         prints = members.field("print")
-        ends, a, b = [0], [], []
+        ends, a, b, near = [0], [], [], []
         for begin, end in zip(offsets[:-1], offsets[1:]):
             order = begin + np.argsort(nodes[begin:end])
             raw = b"".join(prints.slice(begin, end - begin).to_pylist())
             table = np.frombuffer(raw, np.uint8).reshape(end - begin, -1)[order - begin]
-            first, second = list_links(table, known[order].astype(bool), least_matches, max_bits)
+            first, second, sure = list_links(table, known[order].astype(bool), least_matches, max_bits, most_bits)
             a.append(nodes[order[first]])
             b.append(nodes[order[second]])
+            near.append(sure)
             ends.append(ends[-1] + len(first))
         none = [np.zeros(0, np.int64)]
-        links = [pa.array(np.concatenate(x or none), pa.int64()) for x in (a, b)]
+        links = [pa.array(np.concatenate(x or none).astype(t), f.type) for x, t, f in zip((a, b, near), (np.int64, np.int64, bool), kind)]
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(links, fields=list(kind)))
 
     run.__annotations__ = {"lists": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint>>").asNondeterministic()
+    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint, near: boolean>>").asNondeterministic()
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -372,8 +390,13 @@ def _blocks(members: DataFrame) -> DataFrame:
     return dealt.select(pair.alias("list"), "node", "linked")
 
 
-def _list_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
-    """Links (a, b) that tie together the groups of every posting list (key, node).
+def _list_links(
+    index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int, most_bits: int | None = None
+) -> DataFrame:
+    """Pairs (a, b, near); the near ones tie together the groups of every posting list (key, node).
+
+    The others, if ``most_bits`` is given, are pairs of different groups of a list that differ in
+    over ``max_bits`` and up to ``most_bits``.
 
     Lists of up to ``BLOCK`` members are compared as they are, equal ones once. Members of longer
     ones first meet the least of them, their star. Those that are not linked to it then meet each
@@ -399,8 +422,58 @@ def _list_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bit
     lists = members.join(prints, "node").groupBy("list").agg(
         F.collect_list(F.struct("node", "print", "linked")).alias("members")
     )
-    links = lists.select(F.inline(_links_of_members(least_matches, max_bits)("members")))
-    return tied.union(checkpointed(links.distinct()))
+    links = lists.select(F.inline(_links_of_members(least_matches, max_bits, most_bits or max_bits)("members")))
+    return tied.withColumn("near", F.lit(True)).union(checkpointed(links.distinct()))
+
+
+def _shingle_set(text: Column | str, words: int) -> Column:
+    """The different shingle hashes of a text, in order, as binary."""
+
+    def sets(texts: list[bytes]) -> dict[str, list]:
+        return {"bytes": [np.unique(np.array(shingle_hashes(t, words), np.uint64)).tobytes() for t in texts]}
+
+    return text_udf(sets, pa.schema([("bytes", pa.binary())]), "struct<bytes: binary>")(text)["bytes"]
+
+
+def _as_alike(similarity: float):
+    """Arrow function: are two shingle sets alike to ``similarity`` or more?"""
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        made = []
+        for a, b in zip(left, right):
+            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (a, b))
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            made.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+        return pa.array(made, pa.bool_())
+
+    run.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "boolean").asNondeterministic()
+
+
+def _joined_by_shingles(
+    groups: DataFrame, doubtful: DataFrame, made: DataFrame, texts: DataFrame, words: int, similarity: float
+) -> DataFrame:
+    """``groups`` (node, component), joined where a doubtful pair (a, b) has alike shingle sets.
+
+    ``texts`` is (text_hash, text); the least text hash stands for the texts of a node.
+    """
+    a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")) for x in "ab")
+    apart = doubtful.join(a, "a", "left").join(b, "b", "left").select(
+        "a", "b", F.coalesce("a_group", "a").alias("a_group"), F.coalesce("b_group", "b").alias("b_group")
+    )
+    apart = checkpointed(apart.where("a_group <> b_group"))
+    if apart.isEmpty():
+        return groups
+    nodes = apart.select(F.col("a").alias("node")).union(apart.select("b")).distinct()
+    chosen = checkpointed(made.join(nodes, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")))
+    rows = texts.join(small_side(chosen, chosen.count()), "text_hash").select("node", "text").dropDuplicates(["node"])
+    sets = checkpointed(rows.select("node", _shingle_set("text", words).alias("set")))
+    left, right = (sets.select(F.col("node").alias(x), F.col("set").alias(f"{x}_set")) for x in "ab")
+    met = apart.join(left, "a").join(right, "b").where(_as_alike(similarity)("a_set", "b_set"))
+    roots = connected_components(met.select(F.col("a_group").alias("a"), F.col("b_group").alias("b")))
+    moved = groups.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
+    moved = moved.select("node", F.coalesce("root", "component").alias("component"))
+    return moved.union(roots.join(groups.select("node"), "node", "left_anti").select("node", "component"))
 
 
 def similar_groups(
@@ -416,9 +489,11 @@ def similar_groups(
 ) -> DataFrame:
     """Rows of ``docs`` as (id, text_hash, node, component): equal component, one group.
 
-    Two texts link if their fingerprints of ``words``-word shingles differ in no more bits than
-    those of sets of this Jaccard similarity do on average; with 1,024 bits the similarity is
-    met within about 0.03. The ``width`` of an index key is three bytes up to a million (2^20)
+    Two texts link if their sets of ``words``-word shingles have this Jaccard similarity or more,
+    or if their fingerprints differ in no more bits than those of such sets do on average. Sets
+    are compared where the fingerprints differ in up to three standard deviations more, so that a
+    met pair is not lost to the spread of its bits. The average alone still takes pairs somewhat
+    below the similarity: with 1,024 bits half of those at 0.79, few at 0.75. The ``width`` of an index key is three bytes up to a million (2^20)
     different fingerprints, four up to 2^28 and five beyond, so that chance meetings stay in
     proportion to their number. A linked pair is found if it shares one of ``keys`` keys. Their
     number follows from the width: 97, 363 and 1,353 at similarity 0.8, so that a pair shares one
@@ -439,8 +514,10 @@ def similar_groups(
     positions = _index_positions(bits // 8, width, keys or keys_for(width, similarity))
     index = prints.select("node", F.explode(_index_keys(positions)("print")).alias("key"))
     max_bits = bits_at(similarity, bits)
-    links = _list_links(index, prints, max(width, bits // 8 - max_bits), max_bits)
-    groups = connected_components(links)
+    met = _list_links(index, prints, max(width, bits // 8 - max_bits), max_bits, most_bits_at(similarity, bits))
+    groups = connected_components(met.where("near"))
+    texts = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"))
+    groups = _joined_by_shingles(groups, met.where("not near").select("a", "b"), made, texts, words, similarity)
     return made.drop("print").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 

@@ -221,3 +221,18 @@ def test_a_chain_within_one_list_is_one_group(spark, monkeypatch, block):
     assert all((a ^ b).bit_count() > 155 for a, b in zip(numbers, numbers[2:]))
     numbers += [int.from_bytes(rng.bytes(128), "big") for _ in range(5)]
     assert groups_of_list(spark, numbers) == [0] * 7 + [7, 8, 9, 10, 11]
+
+
+def test_pairs_above_the_similarity_link_whatever_their_bits(spark):
+    """Pairs at 0.81 differ in more bits than the average of 0.8 now and then; their shingles decide."""
+    texts, alike = pairs_of_texts(100, 8, 12)
+    assert all(0.8 <= x < 0.83 for x in alike)
+    unlike, below = pairs_of_texts(60, 13, 13)
+    assert all(x < 0.73 for x in below)
+    docs = spark.createDataFrame(texts + [(1000 + i, t) for i, t in unlike], "doc_id bigint, text string")
+    groups = {r.id: r.component for r in simhash.similar_groups(docs, keys=500).collect()}
+    assert all(groups[2 * i] == groups[2 * i + 1] for i in range(100))
+    prints = simhash.fingerprints([t.encode() for _, t in texts], 5, 1024, True)
+    numbers = [int.from_bytes(p, "big") for p in prints]
+    assert any((a ^ b).bit_count() > simhash.bits_at(0.8, 1024) for a, b in zip(numbers[::2], numbers[1::2]))
+    assert sum(groups[1000 + 2 * i] == groups[1001 + 2 * i] for i in range(60)) <= 2
