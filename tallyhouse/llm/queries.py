@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc
+from tallyhouse.llm import decontaminate, fill_middle, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc
 from tallyhouse.session import apply_settings, fresh_path
 from tallyhouse.sources.tables import table
 
@@ -125,6 +125,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.page_id", "host", "path", "rule", "verdict", "template", "block_rate")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cuts, and digests of what was made of it and of what is made of that again."""
+    turned = fill_middle.transform(_documents(spark, sf_dir).select("doc_id", "text"))
+    return turned.select(
+        "row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
 _REGISTERED: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -136,6 +150,7 @@ _REGISTERED: dict[str, Query] = {
     "op8_token_rollup": op8_token_rollup,
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
+    "op11_fill_middle": op11_fill_middle,
 }
 
 

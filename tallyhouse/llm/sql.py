@@ -192,6 +192,35 @@ FROM cut c JOIN named n ON c.host = n.host AND c.segments = n.segments
 JOIN totals t ON n.host = t.host AND n.template = t.template
 """
 
+_DRAWS = ", ".join(f"CAST('0x' || substr(digest, {1 + 8 * k}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+
+FILL_MIDDLE = f"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS digest,
+           regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT doc_id, text, units, CAST(len(units) AS BIGINT) AS n, {_DRAWS} FROM d
+), cut AS (
+    SELECT doc_id, text, units, n,
+           least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+                THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT doc_id, text, n, form, array_to_string(units[1:low], '') AS prefix,
+           array_to_string(units[low + 1:high], '') AS middle, array_to_string(units[high + 1:], '') AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For each query that SQL can express, the SQL over the same tables."""
@@ -200,4 +229,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": LINE_DEDUP,
         "op5_decontaminate": DECONTAMINATE,
         "op10_url_filter": URL_FILTER,
+        "op11_fill_middle": FILL_MIDDLE,
     }

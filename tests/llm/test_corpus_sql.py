@@ -13,7 +13,7 @@ def db(small):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert sql.oracle_sql().keys() <= queries.queries().keys()
 
 
