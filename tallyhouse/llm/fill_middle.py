@@ -75,7 +75,8 @@ _cut_texts.__annotations__ = {"texts": pa.Array, "ones": pa.Array, "others": pa.
 
 def draws(id_column: Column | str, seed: int = SEED) -> list[Column]:
     """The first four groups of eight hex digits of the SHA-256 of ``seed:id``, as numbers."""
-    name = F.coalesce(F.col(id_column) if isinstance(id_column, str) else id_column, F.lit("")).cast("string")
+    name = F.col(id_column) if isinstance(id_column, str) else id_column
+    name = F.coalesce(name.cast("string"), F.lit(""))
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), name), 256)
     return [F.conv(F.substring(digest, 1 + 8 * k, 8), 16, 10).cast("bigint") for k in range(4)]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, fill_middle, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc
+from tallyhouse.llm import decontaminate, fill_middle, language, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc
 from tallyhouse.session import apply_settings, fresh_path
 from tallyhouse.sources.tables import table
 
@@ -139,6 +139,20 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = language.identify(docs, language.learn(docs))
+    return found.select(
+        "row.doc_id",
+        language.held_out("row.doc_id").alias("held_out"),
+        F.col("lang").alias("lang_pred"),
+        "score",
+        "cross_entropy",
+        "rejected",
+    )
+
+
 _REGISTERED: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -151,6 +165,7 @@ _REGISTERED: dict[str, Query] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
     "op11_fill_middle": op11_fill_middle,
+    "op13_language_id": op13_language_id,
 }
 
 
