@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, fill_middle, language, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc
+from tallyhouse.llm import (
+    collocations, decontaminate, fill_middle, language, lines, mixing, quality, simhash, suffixes, token_rollup, toxicity, urls, warc,
+)
 from tallyhouse.session import apply_settings, fresh_path
 from tallyhouse.sources.tables import table
 
@@ -139,6 +141,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of two and three words that stand together most firmly, by language."""
+    return collocations.collocations(_documents(spark, sf_dir).select("text", "lang"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -165,6 +172,7 @@ _REGISTERED: dict[str, Query] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_url_filter": op10_url_filter,
     "op11_fill_middle": op11_fill_middle,
+    "op12_collocations": op12_collocations,
     "op13_language_id": op13_language_id,
 }
 

@@ -8,7 +8,7 @@ against brute force.
 
 from __future__ import annotations
 
-from tallyhouse.llm import lines, urls
+from tallyhouse.llm import collocations, lines, urls
 from tallyhouse.llm.common import LOWER, UPPER
 from tallyhouse.llm.decontaminate import WINDOW
 from tallyhouse.llm.queries import URL_RULES
@@ -221,6 +221,52 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+_BEHIND = ", ".join(
+    f"CASE WHEN i + {k - 1} <= len(words) THEN array_to_string(words[i:i + {k - 1}], ' ') END" for k in range(1, collocations.MAX_WORDS + 1)
+)
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex({_lowered("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), places AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split
+), totals AS (
+    SELECT lang, CAST(count(*) AS BIGINT) AS n FROM places GROUP BY lang
+), phrases AS (
+    SELECT lang, unnest([{_BEHIND}]) AS phrase, unnest(range(1, {collocations.MAX_WORDS + 1})) AS k FROM places
+), f AS (
+    SELECT lang, phrase, k, CAST(count(*) AS BIGINT) AS n FROM phrases WHERE phrase IS NOT NULL
+    GROUP BY lang, phrase, k HAVING count(*) >= {collocations.LEAST_COUNT}
+), candidates AS (
+    SELECT lang, phrase, k, n AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1
+), cuts AS (
+    SELECT lang, phrase, k, a, words, unnest(range(1, k)) AS cut FROM candidates
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.n AS l, y.n AS r,
+           (CAST({collocations.SCALE} AS HUGEINT) * c.a * c.a) // (CAST(x.n AS HUGEINT) * y.n) AS score
+    FROM cuts c JOIN f x ON c.lang = x.lang AND x.phrase = array_to_string(c.words[1:c.cut], ' ')
+    JOIN f y ON c.lang = y.lang AND y.phrase = array_to_string(c.words[c.cut + 1:], ' ')
+), weakest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored
+), inside AS (
+    SELECT lang, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase, a
+    FROM candidates WHERE k = 3
+), held AS (
+    SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase
+), ranked AS (
+    SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank,
+           w.phrase, w.a, w.l, w.r, w.score
+    FROM weakest w LEFT JOIN held h ON w.lang = h.lang AND w.phrase = h.phrase
+    WHERE w.place = 1 AND (h.most IS NULL OR 100 * h.most < {collocations.COVERED_PERCENT} * w.a)
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN totals t ON r.lang = t.lang WHERE r.rank <= {collocations.TOP}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For each query that SQL can express, the SQL over the same tables."""
@@ -230,4 +276,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontaminate": DECONTAMINATE,
         "op10_url_filter": URL_FILTER,
         "op11_fill_middle": FILL_MIDDLE,
+        "op12_collocations": COLLOCATIONS,
     }
