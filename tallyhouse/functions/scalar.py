@@ -43,9 +43,9 @@ def number(column: str | Column) -> Column:
 
 
 def rounded(column: str | Column, places: int = 2) -> Column:
-    """Round a double to some places: the whole number nearest to the shifted value, half away from zero."""
-    step = 10**places
-    return F.round(number(column) * step, 0) / step
+    """Round a double to some places by its decimal text, half away from zero: 0.285 gives 0.29, though
+    the number stored for it lies below. No size overflows."""
+    return F.round(number(column), places)
 
 
 def rounded_even(column: str | Column, places: int) -> Column:

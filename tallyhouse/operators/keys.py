@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.sources.files import staged
 
-_PLACES = 1 << 33  # the lower part of a generated id counts the rows of a partition
+PLACES = 1 << 33  # the lower part of a generated id counts the rows of a partition
 
 
 def with_sequence_key(df: DataFrame, key: str, order: str, *more_order: str, after=0) -> DataFrame:
@@ -21,8 +21,8 @@ def with_sequence_key(df: DataFrame, key: str, order: str, *more_order: str, aft
     """
     ranged = df.repartitionByRange(order, *more_order).sortWithinPartitions(order, *more_order)
     placed = staged(ranged.withColumn("_at", F.monotonically_increasing_id()), "sequence")
-    part = F.floor(F.col("_at") / _PLACES)
-    placed = placed.withColumns({"_part": part, "_place": F.pmod("_at", F.lit(_PLACES))})
+    part = F.floor(F.col("_at") / PLACES)
+    placed = placed.withColumns({"_part": part, "_place": F.pmod("_at", F.lit(PLACES))})
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))

@@ -229,8 +229,13 @@ _VIEWS = {
 }
 
 
+def _rounded(expression: str, places: int) -> str:
+    """Half away from zero by the decimal text of a double."""
+    return f"CAST(round(CAST(CAST(CAST({expression} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
+
+
 def _mean(column: str) -> str:
-    return f"round(avg(CAST({column} AS DOUBLE)), 6)"
+    return _rounded(f"avg(CAST({column} AS DOUBLE))", 6)
 
 
 def _money_mean(column: str) -> str:
@@ -242,7 +247,7 @@ def _cents(column: str) -> str:
 
 
 def _round2(expression: str) -> str:
-    return f"round(CAST({expression} AS DOUBLE), 2)"
+    return _rounded(expression, 2)
 
 
 def _share(ratio: str) -> str:
@@ -396,6 +401,26 @@ _BODIES = {
                CAST(sum(sum(total_amount)) OVER (ORDER BY order_date) AS DOUBLE) AS running_total
         FROM r_orders WHERE order_status = 'Completed' GROUP BY order_date
         ORDER BY order_date""",
+    "line_running_revenue": """
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_item_id,
+               CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date, CAST(price AS DOUBLE) AS revenue,
+               CAST(sum(price) OVER (ORDER BY CAST(l_shipdate AS DATE)) AS DOUBLE) AS running_through_day,
+               CAST(sum(price) OVER (line ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_through_line,
+               CAST(lag(price) OVER line AS DOUBLE) AS previous_revenue,
+               {round2:(CAST(price AS DOUBLE) - lag(price) OVER line) / lag(price) OVER line * 100} AS change_percentage
+        FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS price FROM lineitem)
+        WINDOW line AS (ORDER BY CAST(l_shipdate AS DATE), l_orderkey, l_linenumber, l_partkey, l_suppkey, price)""",
+    "customer_spend_rank": """
+        SELECT c.customer_id, CAST(coalesce(spent, 0) AS DOUBLE) AS spent,
+               row_number() OVER (ORDER BY coalesce(spent, 0) DESC, c.customer_id) AS place,
+               rank() OVER (ORDER BY coalesce(spent, 0) DESC) AS spend_rank,
+               dense_rank() OVER (ORDER BY coalesce(spent, 0) DESC) AS spend_dense_rank,
+               percent_rank() OVER (ORDER BY coalesce(spent, 0) DESC) AS spend_percentile
+        FROM r_customers AS c LEFT JOIN r_spend AS s ON s.customer_id = c.customer_id""",
+    "line_price_rank": """
+        SELECT order_item_id, CAST(unit_price AS DOUBLE) AS unit_price, rank() OVER by_price AS price_rank,
+               percent_rank() OVER by_price AS price_percentile, cume_dist() OVER by_price AS price_share
+        FROM r_items WINDOW by_price AS (ORDER BY unit_price DESC)""",
     "product_vs_category": f"""
         SELECT product_id, product_name, category_name, CAST(units AS BIGINT) AS units_sold,
                {{round2:category_avg}} AS category_avg_sales, {{round2:units - category_avg}} AS vs_category_avg
@@ -562,9 +587,11 @@ _BODIES = {
         for c in registry.NULLABLE_TRIP_COLUMNS
     ),
     "basic_stats": " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, count({c}) AS value_count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
-                   round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min,
-                   CAST(max({c}) AS DOUBLE) AS max
+        f"""SELECT '{c}' AS column_name, count({c}) AS value_count, {_rounded(f"avg(CAST({c} AS DOUBLE))", 4)} AS mean,
+                   {_rounded(f"stddev_samp(CAST({c} AS DOUBLE))", 4)} AS stddev, CAST(min({c}) AS DOUBLE) AS min,
+                   CAST(max({c}) AS DOUBLE) AS max, {_rounded(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)", 4)} AS q1,
+                   {_rounded(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)", 4)} AS median,
+                   {_rounded(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)", 4)} AS q3
             FROM t_trips"""
         for c in ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
     ),
@@ -621,7 +648,7 @@ _BODIES = {
         FROM t_features GROUP BY payment_type""",
     "tips_pivot": "SELECT pickup_hour, "
     + ", ".join(
-        f"round(avg(tip_percentage) FILTER (WHERE payment_type = '{p}'), 6) AS {p}"
+        f"{_rounded(f"avg(tip_percentage) FILTER (WHERE payment_type = '{p}')", 6)} AS {p}"
         for p in ("click", "error", "purchase", "signup", "view")
     )
     + " FROM t_features GROUP BY pickup_hour",

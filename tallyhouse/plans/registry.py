@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions.scalar import money_total
 from tallyhouse.operators import history, quality
-from tallyhouse.plans import basics, players, retail, trips, warehouse
+from tallyhouse.plans import basics, ordered, players, retail, trips, warehouse
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import apply_settings, fresh_path
 from tallyhouse.sources import files, sql, views
@@ -410,6 +410,9 @@ _REGISTERED: dict[str, Query] = {
     "global_revenue": _retail(basics.global_revenue),
     "group_basic": _retail(basics.group_basic),
     "timing_compare": timing_compare,
+    "line_running_revenue": _retail(ordered.line_running_revenue),
+    "customer_spend_rank": _retail(ordered.customer_spend_rank),
+    "line_price_rank": _retail(ordered.line_price_rank),
     # Trips
     "date_range_profile": _trips(trips.date_range_profile),
     "null_counts": null_counts,
