@@ -44,10 +44,10 @@ LEAST_COUNT = 10
 TOP = 2000
 SCALE = 1_000_000
 COVERED_PERCENT = 50  # a phrase goes if one longer candidate holds so many of its occurrences
-PART_ROWS = 1_500_000
+PART_ROWS = 500_000
 NO_LANGUAGE = "und"
 
-_FLUSH_BYTES = 16 << 20
+_FLUSH_BYTES = 8 << 20
 _WORD_BYTES = 6  # a cautious guess, used for the number of parts alone
 
 # What ends a piece becomes a line feed, a tab a blank, and A-Z are lower-cased.
@@ -66,7 +66,7 @@ def split_words(data: bytes) -> tuple[pa.DictionaryArray, np.ndarray]:
     words = pa.Array.from_buffers(
         pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(chars[inside].tobytes())]
     )
-    return words.dictionary_encode(), np.cumsum(line_end, dtype=np.int64)[starts]
+    return words.dictionary_encode(), np.searchsorted(np.flatnonzero(line_end), starts)
 
 
 def _suffixes(data: bytes, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -129,7 +129,7 @@ def _leading(depth: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, data in _by_language(batches):
-            words, columns, counts = _suffixes(data, depth)
+            words, columns, counts = _suffixes(data, max(depth - 1, 1))
             for length in range(1, depth):
                 code = columns[0].copy()
                 for column in columns[1:length]:
