@@ -63,9 +63,11 @@ def _applied(dim: DataFrame, changes: DataFrame) -> DataFrame:
     return met.withColumn("_steps", F.filter("_usable", lambda c, i: ~c["tier"].eqNullSafe(held(i)))).drop("_asked", "_usable")
 
 
-def scd2_apply(dim: DataFrame, changes: DataFrame) -> DataFrame:
+def scd2_apply(dim: DataFrame, changes: DataFrame, last_key: int | None = None) -> DataFrame:
     """The dimension after a batch of tier changes: closed versions, new versions, the rest.
 
+    ``last_key`` is the last key in use, if ``dim`` is a part of a dimension.
+
     One join by customer and no window: a current version and its steps make the list of its
     versions, which is unfolded. The outcome is stored, and only the added versions are numbered.
     A change to an unknown customer, or to the tier already held, does nothing; see
@@ -89,7 +91,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame) -> DataFrame:
         "customer_key": "_key", "customer_tier": "_tier", "valid_from": "_since", "valid_to": "_until", "is_current": "_open",
     }
     versions = staged(unfolded.select(*[F.col(renamed.get(c, c)).alias(c) for c in dim.columns]), "versions")
-    last_key = versions.agg(F.max("customer_key")).scalar()
+    last_key = versions.agg(F.max("customer_key")).scalar() if last_key is None else last_key
     added = versions.filter("customer_key is null").drop("customer_key")
     added = with_sequence_key(added, "customer_key", "customer_id", "valid_from", after=last_key)
     return versions.filter("customer_key is not null").unionByName(added)
@@ -125,14 +127,34 @@ def versions_of(dim: DataFrame, customer_ids: list[int]) -> DataFrame:
     return dim.filter(F.col("customer_id").isin(customer_ids)).orderBy("customer_id", "valid_from")
 
 
-def as_of_join(facts: DataFrame, dim: DataFrame, key: str, day: str) -> DataFrame:
+MANY_VERSIONS = 64
+
+
+def as_of_join(facts: DataFrame, dim: DataFrame, key: str, day: str, many: int = MANY_VERSIONS) -> DataFrame:
     """Each fact with the dimension version valid on its date.
 
-    The equality on ``key`` keeps this a hash or merge join; the date range is a residual
-    test over the few versions of one key, and AQE splits a key with very many facts.
+    The date range is a test that follows the equality on ``key``. A key of more than ``many``
+    versions is also met by month: its versions stand under every month they touch, its facts under
+    their own, so a key with many versions and many facts is spread over the calendar and a fact
+    meets the versions of one month. Months behind the start of a key's last version count as that
+    month, which keeps open ends short. The keys with many versions are few: at most (all versions /
+    ``many``).
     """
-    facts, dim = facts.alias("f"), dim.alias("d")
-    on = (F.col(f"f.{key}") == F.col(f"d.{key}")) & F.col(f"f.{day}").between(
-        F.col("d.valid_from"), F.col("d.valid_to")
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    busy = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), month(F.max("valid_from")).alias("_last")).where(F.col("_n") > many)
+    busy = busy.select(key, "_last")
+    many_versions = F.col("_last").isNotNull()
+    placed = facts.join(busy, key, "left").withColumn(
+        "_month", F.when(many_versions, F.least(month(F.col(day)), F.col("_last"))).otherwise(F.lit(0))
+    )
+    months = F.sequence(F.least(month(F.col("valid_from")), F.col("_last")), F.least(month(F.col("valid_to")), F.col("_last")))
+    unfolded = dim.join(busy, key, "left").withColumn(
+        "_month", F.explode(F.when(many_versions, months).otherwise(F.array(F.lit(0))))
+    )
+    placed, unfolded = placed.drop("_last").alias("f"), unfolded.drop("_last").alias("d")
+    on = (
+        (F.col(f"f.{key}") == F.col(f"d.{key}"))
+        & (F.col("f._month") == F.col("d._month"))
+        & F.col(f"f.{day}").between(F.col("d.valid_from"), F.col("d.valid_to"))
     )
-    return facts.join(dim, on).drop(F.col(f"d.{key}"))
+    return placed.join(unfolded, on).drop(F.col(f"d.{key}")).drop("_month")

@@ -181,6 +181,17 @@ _VIEWS = {
         LEFT JOIN (SELECT customer_id, new_tier FROM h_usable
                    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY effective_date DESC) = 1) AS l
                ON l.customer_id = d.customer_id""",
+    # Loads batch by batch
+    "i_lines": f"""
+        SELECT l.*, l_linenumber, order_id + CASE WHEN l_linenumber >= 6 OR customer_id % 10 = 0 THEN {registry.LATE} ELSE 0 END AS arrival
+        FROM (SELECT d.*, CAST(split_part(order_item_id, '-', 2) AS BIGINT) AS l_linenumber FROM d_lines AS d) AS l""",
+    "i_members": f"""
+        SELECT customer_id, CASE WHEN customer_id % 10 <> 0 THEN 1
+                                 WHEN customer_id IN (SELECT customer_id FROM i_lines) THEN 2 ELSE 3 END AS batch
+        FROM r_customers
+        WHERE customer_id % 10 <> 0 OR customer_id % 20 = 0 OR customer_id IN (SELECT customer_id FROM i_lines)""",
+    "i_customers": """
+        SELECT row_number() OVER (ORDER BY batch, customer_id) AS customer_key, customer_id, batch FROM i_members""",
     # Players
     "p_lines": """
         SELECT l_partkey AS id, CASE WHEN l_partkey % 4 = 1 THEN 'A' ELSE l_returnflag END AS team,
@@ -737,6 +748,23 @@ _BODIES = {
         GROUP BY product_key, product_name, category_name
         ORDER BY round(sum(net_revenue), 2) DESC, product_key LIMIT 10""",
     # History
+    "incremental_facts": """
+        SELECT CAST(strftime(order_date, '%Y%m%d') AS BIGINT) AS date_key, customer_key, order_id, order_item_id,
+               CAST(arrival AS BIGINT) AS arrival, quantity, CAST(line_total AS DOUBLE) AS line_total,
+               CAST(net_revenue AS DOUBLE) AS net_revenue
+        FROM i_lines LEFT JOIN i_customers USING (customer_id)""",
+    "incremental_customers": """
+        SELECT customer_key, i.customer_id,
+               CASE WHEN NOT unnamed THEN first_name END AS first_name, CASE WHEN NOT unnamed THEN last_name END AS last_name,
+               CASE WHEN NOT unnamed THEN email END AS email, CASE WHEN NOT unnamed THEN customer_tier END AS customer_tier,
+               unnamed AS is_inferred
+        FROM (SELECT *, customer_id % 20 = 10 AS unnamed FROM i_customers) AS i JOIN r_customers AS c ON c.customer_id = i.customer_id""",
+    "load_versions": f"""
+        SELECT version, 'dim_customer' AS table_name, (SELECT count(*) FROM i_customers WHERE batch <= version) AS row_count
+        FROM (SELECT unnest([1, 2, 3])::BIGINT AS version)
+        UNION ALL
+        SELECT version, 'fact_sales', (SELECT count(*) FROM i_lines WHERE version > 1 OR arrival < {registry.LATE})
+        FROM (SELECT unnest([1, 2, 3])::BIGINT AS version)""",
     "scd2_apply": f"SELECT {_VERSION_COLUMNS} FROM h_versions",
     "scd2_rejects": """
         SELECT h.customer_id, new_tier, CAST(effective_date AS VARCHAR) AS effective_date,

@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions.scalar import money_total
 from tallyhouse.operators import history, quality
-from tallyhouse.plans import basics, ordered, players, retail, trips, warehouse
+from tallyhouse.operators.stored_history import StoredHistory
+from tallyhouse.plans import basics, increments, ordered, players, retail, trips, warehouse
+from tallyhouse.plans.increments import IncrementalWarehouse
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import apply_settings, fresh_path
 from tallyhouse.sources import files, sql, views
 from tallyhouse.sources.html_tables import stats_records
 from tallyhouse.sources.player_columns import RAW_COLUMNS
 from tallyhouse.sources.tables import SCHEMAS, table
+from tallyhouse.sources.versions import VersionedStore
 from tallyhouse.sources.views import Retail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,17 +71,61 @@ def _house(query, *args) -> Query:
     return lambda spark, sf: query(Warehouse(Retail(spark, sf)), *args)
 
 
-_built: dict[tuple[str, str], str] = {}
+_stores: dict[tuple, VersionedStore] = {}
+_HOUSE_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
+
+
+def _store(spark: SparkSession, sf: str, name: str, fill: Callable[[VersionedStore], None]) -> VersionedStore:
+    """A store derived from the supplied tables, filled on first use in an application and again when
+    a table has changed."""
+    state = tuple(files.file_state(spark, f"{sf}/{t}.parquet") for t in _HOUSE_TABLES)
+    key = (spark.sparkContext.applicationId, sf, name, state)
+    if key not in _stores:
+        store = VersionedStore(spark, fresh_path(spark, name))
+        fill(store)
+        _stores[key] = store
+    return _stores[key]
 
 
 def stored_house(spark: SparkSession, sf: str) -> Warehouse:
-    """The warehouse over the supplied tables, built on first use in an application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _built:
-        path = fresh_path(spark, "warehouse")
-        warehouse.build_warehouse(Retail(spark, sf), path)
-        _built[key] = path
-    return Warehouse.saved(spark, _built[key])
+    """The warehouse over the supplied tables."""
+    store = _store(spark, sf, "warehouse", lambda new: warehouse.build_warehouse(Retail(spark, sf), new.path))
+    return Warehouse.saved(spark, store.path)
+
+
+def stored_history(spark: SparkSession, sf: str) -> StoredHistory:
+    """The customer dimension of the warehouse in buckets: as loaded, and after a batch of changes."""
+
+    def fill(new):
+        made = StoredHistory(new)
+        made.create(stored_house(spark, sf).dim_customer)
+        made.apply(views.tier_changes(Retail(spark, sf)), "changes")
+
+    return StoredHistory(_store(spark, sf, "history", fill))
+
+
+LATE = 1_000_000_000
+
+
+def stored_increments(spark: SparkSession, sf: str) -> IncrementalWarehouse:
+    """A warehouse loaded in three batches. At first a tenth of the customers is not known, and their
+    lines and the last lines of orders come late, in the second batch, which is delivered twice. In
+    the third, half of the missing customers arrive."""
+
+    def fill(new):
+        source, made = Retail(spark, sf), IncrementalWarehouse(spark, new.path)
+        customers = source.customers.select("customer_id", *increments.ATTRIBUTES)
+        lines = source.with_item_id(source.order_items.drop("ship_date").join(
+            source.completed.select("order_id", "customer_id", "order_date"), "order_id"))
+        late = (F.col("line_number") >= 6) | (F.col("customer_id") % 10 == 0)
+        lines = lines.withColumn("arrival", F.col("order_id") + F.when(late, LATE).otherwise(0))
+        known = customers.where("customer_id % 10 <> 0")
+        made.load("1", known, lines.where(F.col("arrival") < LATE))
+        for _ in range(2):
+            made.load("2", known.limit(0), lines)
+        made.load("3", customers.where("customer_id % 20 = 0"), lines)
+
+    return IncrementalWarehouse(spark, _store(spark, sf, "increments", fill).path)
 
 
 def _asked(query, *args) -> Query:
@@ -136,7 +183,7 @@ def _history(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 
 def _after_changes(spark, sf) -> DataFrame:
-    return history.scd2_apply(*_history(spark, sf))
+    return stored_history(spark, sf).versions()
 
 
 _VERSION = ("customer_key", "customer_id", "first_name", "last_name", "customer_tier", "valid_from", "valid_to", "is_current")
@@ -452,6 +499,9 @@ _REGISTERED: dict[str, Query] = {
     "dw_tier_revenue": _asked(warehouse.dw_tier_revenue),
     "dw_weekend": _asked(warehouse.dw_weekend),
     "dw_top_products": _asked(warehouse.dw_top_products),
+    "incremental_facts": lambda spark, sf: stored_increments(spark, sf).fact_sales.drop("sales_key"),
+    "incremental_customers": lambda spark, sf: stored_increments(spark, sf).dim_customer,
+    "load_versions": lambda spark, sf: increments.table_history(stored_increments(spark, sf)),
     # History
     "scd2_apply": lambda spark, sf: _after_changes(spark, sf).select(*_VERSION),
     "scd2_rejects": lambda spark, sf: history.rejected_changes(*_history(spark, sf)),
@@ -459,7 +509,7 @@ _REGISTERED: dict[str, Query] = {
     "scd3_apply": lambda spark, sf: history.scd3_apply(*_history(spark, sf)).select(
         "customer_id", "current_tier", "previous_tier"
     ),
-    "scd_show_current": lambda spark, sf: history.versions_of(_after_changes(spark, sf), SHOWN_CUSTOMERS).select(*_VERSION),
+    "scd_show_current": lambda spark, sf: stored_history(spark, sf).versions_of(SHOWN_CUSTOMERS).select(*_VERSION),
     "scd_point_in_time": lambda spark, sf: history.valid_on(_after_changes(spark, sf), POINT_IN_TIME).select(*_AS_OF),
     "scd_current": lambda spark, sf: history.current(_after_changes(spark, sf)).select(*_AS_OF),
     "fact_asof_customer": fact_asof_customer,

@@ -11,7 +11,7 @@ from tallyhouse.functions.calendar import OPEN_END, calendar_of, date_dimension
 from tallyhouse.functions.scalar import cents, cents_total, date_key, full_name, mean_of, relabel, rounded, scaled
 from tallyhouse.operators.keys import with_sequence_key
 from tallyhouse.operators.ranking import top_k
-from tallyhouse.sources.files import load_once
+from tallyhouse.sources.versions import VersionedStore
 from tallyhouse.sources.views import Retail
 
 # Order states.
@@ -62,9 +62,11 @@ class Warehouse:
 
     @classmethod
     def saved(cls, spark: SparkSession, path: str) -> Warehouse:
-        house = cls(None)
+        """The last finished version under ``path``."""
+        house, store = cls(None), VersionedStore(spark, path)
+        rows = store.manifest()
         for name in TABLES:
-            house.__dict__[name] = spark.read.parquet(f"{path}/{name}")
+            house.__dict__[name] = store.frame(rows, name)
         return house
 
     @cached_property
@@ -339,24 +341,34 @@ def _fact_sums():
 # Build and check
 
 
+FIRST_LOAD = "first load"
+_FACTS_A_FILE = 1_000_000
+
+
 def build_warehouse(retail: Retail, path: str) -> DataFrame:
     """Write the dimensions, then the facts on the stored dimension keys; return row counts.
 
-    A table that already holds rows is left alone. Facts are stored by month; rows of a
-    month are spread over many tasks and files by the line identity.
+    All tables become visible in one commit. A finished load is not done again, one that was killed
+    leaves nothing that counts. Facts are stored by month.
     """
     spark = retail.orders.sparkSession
-    house = Warehouse(retail)
-    for name in TABLES[:-1]:
-        load_once(spark, lambda name=name: getattr(house, name), f"{path}/{name}")
-        house.__dict__[name] = spark.read.parquet(f"{path}/{name}")
-    load_once(spark, lambda: by_month(house.fact_sales), f"{path}/fact_sales", "month_key")
+    store = VersionedStore(spark, path)
+    if not store.has_batch(FIRST_LOAD):
+        change, house = store.change(FIRST_LOAD), Warehouse(retail)
+        change.replace_all({name: getattr(house, name) for name in TABLES[:-1]})
+        for name in TABLES[:-1]:
+            house.__dict__[name] = change.read(name)
+        change.replace("fact_sales", by_month(house.fact_sales, retail.order_items.count()), partitions=["month_key"])
+        change.commit()
     return table_counts(Warehouse.saved(spark, path))
 
 
-def by_month(facts: DataFrame) -> DataFrame:
+def by_month(facts: DataFrame, lines: int) -> DataFrame:
+    """Facts dealt by month, and by line id where ``lines`` are so many that a month needs several
+    files. Months are not alike, so the number is taken as if a tenth held all."""
     keyed = facts.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
-    return keyed.repartitionByRange("month_key", "order_item_id")
+    spread = max(1, lines // (10 * _FACTS_A_FILE))
+    return keyed.repartition("month_key", F.pmod(F.xxhash64("order_item_id"), F.lit(spread)))
 
 
 def table_counts(house: Warehouse) -> DataFrame:

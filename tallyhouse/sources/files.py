@@ -85,6 +85,14 @@ def load_once(spark: SparkSession, build: Callable[[], DataFrame], path: str, *p
     return True
 
 
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of change of a file, or of the files of a folder: equal as long as the table
+    has not changed."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = there.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(there)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Store a frame in the shared folder and read it back, so that several uses of it cost one
     computation and a lost executor does not bring it back."""
