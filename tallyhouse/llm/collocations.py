@@ -44,10 +44,10 @@ LEAST_COUNT = 10
 TOP = 2000
 SCALE = 1_000_000
 COVERED_PERCENT = 50  # a phrase goes if one longer candidate holds so many of its occurrences
-PART_ROWS = 500_000
+PART_ROWS = 400_000
 NO_LANGUAGE = "und"
 
-_FLUSH_BYTES = 8 << 20
+_FLUSH_BYTES = 4 << 20
 _WORD_BYTES = 6  # a cautious guess, used for the number of parts alone
 
 # What ends a piece becomes a line feed, a tab a blank, and A-Z are lower-cased.
@@ -73,15 +73,15 @@ def _suffixes(data: bytes, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray
     """The different suffixes in prepared text: the dictionary, the word numbers by depth (-1 behind
     the end of a line), and how often each occurs."""
     words, lines = split_words(data)
-    ids = words.indices.to_numpy().astype(np.int64)
+    ids = words.indices.to_numpy()
     base = len(words.dictionary) + 1
     columns = [ids]
     for ahead in range(1, depth):
-        later = np.full(len(ids), -1, np.int64)
+        later = np.full(len(ids), -1, np.int32)
         same = lines[ahead:] == lines[:-ahead]
         later[: len(same)][same] = ids[ahead:][same]
         columns.append(later)
-    code, room = columns[0] + 1, base
+    code, room = columns[0].astype(np.int64) + 1, base
     for column in columns[1:]:
         if room > (1 << 62) // base:  # codes are made small again before they leave 63 bits
             code = np.unique(code, return_inverse=True)[1].astype(np.int64)
@@ -131,7 +131,7 @@ def _leading(depth: int, parts: int):
         for lang, data in _by_language(batches):
             words, columns, counts = _suffixes(data, max(depth - 1, 1))
             for length in range(1, depth):
-                code = columns[0].copy()
+                code = columns[0].astype(np.int64)
                 for column in columns[1:length]:
                     code = np.where((code < 0) | (column < 0), -1, code * (len(words) + 1) + column)
                     if length > 2:
