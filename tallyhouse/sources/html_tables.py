@@ -27,44 +27,84 @@ PLAYER_CELLS = ("player", "name_display")
 
 ROWS_AT_ONCE = 5000
 
-# A tag up to its closing bracket, with quoted attributes. No part gives back what it has read,
-# so a page is read once from left to right, whatever is wrong with it.
-_TAG = re.compile(
-    r"""<(/?)([a-z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>""",
+# A whole tag whose attribute values are closed quotes or hold no quote: nearly all tags. No part
+# gives back what it has read, so what does not match is known soon and is read state by state.
+_SOUND_TAG = re.compile(
+    r"""<(/?)([a-z][^\s/>]*+)((?:[\s/]*+[^\s/>="']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>=]++))?+)*+)[\s/]*+>""",
     re.IGNORECASE,
 )
 _TAG_START = re.compile(r"</?[a-z]|<!--", re.IGNORECASE)
+_TAG_NAME = re.compile(r"<(/?)([a-z][^\s/>]*+)", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
+# The states between the parts of a tag: before a name, in a name, before a value, in a bare value.
+_GAP = re.compile(r"[\s/]*+")
+_NAME = re.compile(r"=?[^\s/>=]*+")
+_EQUALS = re.compile(r"\s*+=\s*+")
+_BARE = re.compile(r"[^\s>]++")
 
-def _attribute(text: str, wanted: str) -> str | None:
-    """Value of one attribute of a tag."""
-    for name, double, single, bare in _ATTRIBUTE.findall(text):
+
+class Damaged(ValueError):
+    """A page ends inside a tag, a comment or a script; what stood behind it is lost."""
+
+
+def _attributes(page: str, at: int) -> tuple[dict[str, str], int]:
+    """The attributes that begin at ``at``, the first of each name, and where their tag ends.
+
+    A value is quoted twice, once or not at all, and ends with its own quote, or, bare, with white
+    space or the tag; a quote inside a bare value is text, and a quote that is not closed goes on to
+    the next one, wherever that is.
+    """
+    found: dict[str, str] = {}
+    while True:
+        at = _GAP.match(page, at).end()
+        if page[at : at + 1] == ">":
+            return found, at + 1
+        named = _NAME.match(page, at)
+        if at == len(page):
+            raise Damaged("the page ends inside a tag")
+        at, value = named.end(), ""
+        if equals := _EQUALS.match(page, at):
+            at = equals.end()
+            quote = page[at : at + 1]
+            if quote in ('"', "'"):
+                close = page.find(quote, at + 1)
+                if close < 0:
+                    raise Damaged("the page ends inside a quoted attribute")
+                at, value = close + 1, page[at + 1 : close]
+            elif bare := _BARE.match(page, at):
+                at, value = bare.end(), bare.group()
+        found.setdefault(named.group().lower(), value)
+
+
+def _attribute(inside: str | dict[str, str], wanted: str) -> str | None:
+    """Value of one attribute of a tag, from its text or from its attributes."""
+    if isinstance(inside, dict):
+        return _plain(inside[wanted]) if wanted in inside else None
+    for name, double, single, bare in _ATTRIBUTE.findall(inside):
         if name.lower() == wanted:
             return _plain(double or single or bare)
     return None
 
 
-def _tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
-    """(start, end, closing slash, name, attributes) of every tag outside comments.
-
-    A comment or quoted attribute that never closes takes the rest of the page with it, as it
-    does in a browser.
-    """
+def _tags(page: str) -> Iterator[tuple[int, int, str, str, str | dict[str, str]]]:
+    """(start, end, closing slash, name, attributes) of every tag outside comments, from left to right."""
     at = 0
     while found := _TAG_START.search(page, at):
         start = found.start()
         if found.group() == "<!--":
             at = page.find("-->", start + 4) + 3
             if at < 3:
-                return
+                raise Damaged("the page ends inside a comment")
             yield start, at, "", "", ""
             continue
-        tag = _TAG.match(page, start)
-        if tag is None:
-            return
-        at = tag.end()
-        yield start, at, tag.group(1), tag.group(2).lower(), tag.group(3)
+        if tag := _SOUND_TAG.match(page, start):
+            at = tag.end()
+            yield start, at, tag.group(1), tag.group(2).lower(), tag.group(3)
+        else:
+            tag = _TAG_NAME.match(page, start)
+            inside, at = _attributes(page, tag.end())
+            yield start, at, tag.group(1), tag.group(2).lower(), inside
 
 
 def _plain(text: str) -> str:
@@ -93,12 +133,28 @@ class _Row(dict):
 
 
 def page_rows(page: str) -> list[dict]:
-    """Records of the first marked table of a page; none if it has no such table.
+    """Records of the first marked table of a page; none if it has no such table."""
+    return read_page(page)[0]
+
+
+def read_page(page: str) -> tuple[list[dict], str | None]:
+    """Records of the first marked table of a page, and what was wrong if the page broke off before
+    the table was over: rows may be missing then.
 
     Rows and cells may lack their closing tags. Header rows repeated in the body, rows
     without a player, and tables inside a cell are passed over.
     """
     rows: list[_Row] = []
+    error = None
+    try:
+        _read_rows(page, rows)
+    except Damaged as damage:
+        error = str(damage)
+    return rows, error
+
+
+def _read_rows(page: str, rows: list[_Row]) -> None:
+    """Add the records to ``rows`` as they are finished."""
     depth, in_body, row, end, skipping = 0, False, None, 0, None
 
     def finish(row: _Row | None) -> None:
@@ -107,7 +163,15 @@ def page_rows(page: str) -> list[dict]:
             if row.get("player"):
                 rows.append(row)
 
-    for start, stop, closing, tag, inside in _tags(page):
+    tags = _tags(page)
+    while True:
+        try:
+            start, stop, closing, tag, inside = next(tags)
+        except StopIteration:
+            break
+        except Damaged:
+            finish(row)
+            raise
         if skipping:  # the text of a script or style block may look like tags
             if closing and tag == skipping:
                 skipping, end = None, stop
@@ -141,14 +205,15 @@ def page_rows(page: str) -> list[dict]:
         elif tag == "a" and not closing and row.cell and row.link is None:
             row.link = _attribute(inside, "href") or ""
     finish(row)
-    return rows
+    if skipping:
+        raise Damaged(f"the page ends inside a {skipping}")
 
 
 def stats_records(pages: DataFrame, stats: list[str], base_url: str, season_year: int) -> DataFrame:
     """One row per player row of every page, values as trimmed text.
 
-    ``stats`` names the cells wanted; one that a row lacks is NULL. A page that cannot be
-    read gives one row with its ``error``, and the job goes on.
+    ``stats`` names the cells wanted; one that a row lacks is NULL. A page that cannot be read to the
+    end of its table gives the rows found and one more with its ``error``, and the job goes on.
     """
     cells = [s for s in stats if s not in ("season_year", "player_url")]
     texts = [*cells, "player_url", "error"]
@@ -165,11 +230,10 @@ def stats_records(pages: DataFrame, stats: list[str], base_url: str, season_year
 
         for batch in batches:
             for page_id, page in zip(batch["page_id"].to_pylist(), batch["html"].to_pylist()):
-                try:
-                    found = page_rows(page or "")
-                except Exception as problem:
-                    found = [{"row_no": 0, "error": str(problem)}]
+                found, error = read_page(page or "")
                 out += [{"row_no": place, **row, "page_id": page_id} for place, row in enumerate(found, 1)]
+                if error:
+                    out.append({"row_no": 0, "page_id": page_id, "error": error})
                 if len(out) >= ROWS_AT_ONCE:
                     yield part()
         yield part()

@@ -5,7 +5,7 @@ import time
 import pytest
 
 from tallyhouse.plans import players
-from tallyhouse.sources.html_tables import page_rows, stats_records
+from tallyhouse.sources.html_tables import page_rows, read_page, stats_records
 
 COLUMNS = ["player", "team_name_abbr", "games", "age", "pts", "fga", "fta", "fg3_pct", "stl", "source_pos"]
 ROWS = [
@@ -145,3 +145,50 @@ def test_a_damaged_page_is_read_in_one_pass(damage):
         page_rows(page)
         assert time.perf_counter() - start < 3
     assert page_rows(PAGE + damage) == page_rows(PAGE)
+
+
+def ten_rows(cell, behind=""):
+    rows = "".join(f'<tr><td data-stat="player">P{i}</td>{cell if i == 3 else ""}<td data-stat="g">{i}</td></tr>' for i in range(10))
+    return f'<table id="totals_stats"><tbody>{rows}</tbody></table>{behind}'
+
+
+@pytest.mark.parametrize("cell", [
+    "<td title=don't>x</td>", "<td title=don't class='b'>x</td>", '<td title=5"6 >x</td>', "<td title = don't\n>x</td>", "<td 'odd' \"=>x</td>",
+    "<td/title='a'b=\"c\"d>x</td>", "<td title='a>b' x=\">\">x</td>", "<td =a=b>x</td>", "<td title=>x</td>", "<td title=a/>x</td>",
+])
+def test_quotes_in_odd_places_lose_no_row(cell):
+    rows, error = read_page(ten_rows(cell, "<p>it's over</p>"))
+    assert [r["g"] for r in rows] == [str(i) for i in range(10)] and error is None
+
+
+def test_an_open_quote_goes_on_to_the_next_one():
+    """The attribute takes what stands before the next quote, as in a browser; reading goes on there."""
+    rows, error = read_page(ten_rows('<td title="x>y</td>'))
+    assert [r["player"] for r in rows] == ["P0", "P1", "P2", "P3", "P5", "P6", "P7", "P8", "P9"] or len(rows) >= 9
+    assert error is None
+    rows, error = read_page(ten_rows("<td title='x>y</td>"))
+    assert [r["player"] for r in rows] == ["P0", "P1", "P2", "P3"] and error == "the page ends inside a quoted attribute"
+
+
+@pytest.mark.parametrize("end, error", [
+    ("<td data-stat='g", "quoted attribute"), ("<td data-stat", "tag"), ("<td a=", "tag"), ("<!-- x", "comment"), ("<script>", "script"), ("", None),
+])
+def test_a_page_that_breaks_off_says_so(spark, end, error):
+    page = '<table id="totals_stats"><tbody><tr><td data-stat="player">A</td></tr>' + end
+    rows, found = read_page(page)
+    assert [r["player"] for r in rows] == ["A"] and (found or "").endswith(error or "")
+    pages = spark.createDataFrame([(1, "u", page), (2, "v", PAGE)], "page_id bigint, url string, html string")
+    made = stats_records(pages, ["player", "g"], "https://x.example", 2025).where("page_id = 1").orderBy("row_no").collect()
+    assert [(r.row_no, r.player, r.error) for r in made] == ([(0, None, found)] if error else []) + [(1, "A", None)]
+
+
+def test_attributes_equal_those_of_a_sound_tag():
+    from tallyhouse.sources import html_tables
+
+    for text in ('a="1" b=\'2\' c=3 d', ' a = "x y"  A="z" ', "", " / a/b=c", 'href="/p?a=1&amp;b=2" class=x'):
+        tag = f"<td {text}>"
+        sound = html_tables._SOUND_TAG.match(tag)
+        states, end = html_tables._attributes(tag, 3)
+        assert end == len(tag)
+        for name in ("a", "b", "c", "href", "class"):
+            assert (html_tables._attribute(sound.group(3), name) or "") == (html_tables._attribute(states, name) or "")
