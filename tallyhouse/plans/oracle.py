@@ -351,6 +351,18 @@ _ZONE = "CAST(round({0}_latitude, 2) AS VARCHAR) || ',' || CAST(round({0}_longit
 _BODIES = {
     "scan_csv": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
     "scan_json": "SELECT * REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
+    "scan_json_array": "SELECT * REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
+    "scan_csv_inferred": """
+        SELECT o_orderkey, CASE o_orderkey % 3 WHEN 2 THEN 'C' ELSE '' END || o_custkey AS o_custkey, o_orderstatus,
+               CASE o_orderkey % 3 WHEN 0 THEN floor(o_totalprice) WHEN 1 THEN o_totalprice END AS o_totalprice,
+               CAST(CASE WHEN o_orderkey % 3 = 1 THEN o_orderdate ELSE date_trunc('day', o_orderdate) END AS VARCHAR) AS o_orderdate,
+               o_orderpriority
+        FROM orders""",
+    "schema_drift": """
+        SELECT * FROM (VALUES ('o_custkey', 'long', 'text'), ('o_custkey', 'text', 'text'), ('o_orderdate', 'date', 'timestamp'),
+                              ('o_orderdate', 'timestamp', 'timestamp'), ('o_totalprice', 'double', 'double'),
+                              ('o_totalprice', 'long', 'double'), ('o_totalprice', 'nothing', 'double')) AS t(column_name, type, common_type)
+        WHERE EXISTS (FROM orders)""",
     "scan_parquet": "SELECT * REPLACE (CAST(ts AS VARCHAR) AS ts) FROM events",
     "inline_rows": """
         SELECT department, CAST(floor AS BIGINT) AS floor, CAST(budget AS DOUBLE) AS budget, count(*) AS employee_count

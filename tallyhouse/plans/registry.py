@@ -16,7 +16,7 @@ from tallyhouse.plans import basics, increments, ordered, players, retail, trips
 from tallyhouse.plans.increments import IncrementalWarehouse
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import apply_settings, fresh_path
-from tallyhouse.sources import files, sql, views
+from tallyhouse.sources import files, inference, sql, views
 from tallyhouse.sources.html_tables import stats_records
 from tallyhouse.sources.player_columns import RAW_COLUMNS
 from tallyhouse.sources.tables import SCHEMAS, table
@@ -177,6 +177,21 @@ def _stored(fmt: str, name: str) -> Query:
     return run
 
 
+def _order_parts(spark: SparkSession, sf: str) -> str:
+    """Orders written as CSV by three sources that do not agree on types: whole prices and days, broken
+    prices and times, and customer numbers with a letter. The folder of all files."""
+    orders, path = table(spark, sf, "orders"), fresh_path(spark, "order-parts")
+    price, at = F.col("o_totalprice"), F.col("o_orderdate")
+    sources = [
+        {"o_totalprice": F.floor(price), "o_orderdate": F.date_format(at, "yyyy-MM-dd")},
+        {"o_totalprice": price, "o_orderdate": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")},
+        {"o_totalprice": F.lit(None).cast("string"), "o_custkey": F.concat(F.lit("C"), "o_custkey"), "o_orderdate": F.date_format(at, "yyyy-MM-dd")},
+    ]
+    for place, columns in enumerate(sources):
+        files.write(orders.where(F.col("o_orderkey") % 3 == place).withColumns(columns), f"{path}/source{place}", "csv")
+    return path
+
+
 def _history(spark, sf) -> tuple[DataFrame, DataFrame]:
     """The stored customer dimension and a batch of changes to it."""
     return stored_house(spark, sf).dim_customer, views.tier_changes(Retail(spark, sf))
@@ -367,6 +382,14 @@ def sql_stored_scorers(spark, sf):
     )
 
 
+def scan_json_array(spark, sf):
+    """Customers kept as files that hold one array of records each, one for every market segment."""
+    path = fresh_path(spark, "json-arrays")
+    customers = table(spark, sf, "customer")
+    files.write_json_arrays(customers, path, "c_mktsegment")
+    return files.scan(spark, path, "json", SCHEMAS["customer"], json_array=True)
+
+
 def season_runs(spark, sf):
     """Two runs of a season written into folders of their own, and the rows found in each."""
     records = views.raw_player_totals(spark, sf)
@@ -405,6 +428,9 @@ _REGISTERED: dict[str, Query] = {
     "scan_csv": _stored("csv", "orders"),
     "scan_json": _stored("json", "customer"),
     "scan_parquet": _stored("parquet", "events"),
+    "scan_csv_inferred": lambda spark, sf: inference.scan_inferred(spark, _order_parts(spark, sf)),
+    "schema_drift": lambda spark, sf: inference.schema_drift(spark, _order_parts(spark, sf)).select("column_name", "type", "common_type"),
+    "scan_json_array": scan_json_array,
     "inline_rows": inline_rows,
     "explicit_schema": _staff(basics.explicit_schema),
     "html_stats": html_stats,

@@ -57,6 +57,17 @@ def write(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists", *part
     return path
 
 
+def write_json_arrays(df: DataFrame, path: str, by: str, records: int = 100_000) -> str:
+    """Write files that hold one array of records each. Rows are dealt by ``by`` and a hash into arrays
+    of about ``records``, since a file of one array is read by one task."""
+    parts = max(1, df.count() // records)
+    dealt = df.groupBy(by, F.pmod(F.xxhash64(*df.columns), F.lit(parts)).alias("_part")).agg(
+        F.collect_list(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", **_TEXT_TIMES})).alias("_rows")
+    )
+    dealt.select(F.concat(F.lit("["), F.concat_ws(",", "_rows"), F.lit("]"))).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 def write_run(df: DataFrame, base: str, season: int, stamp: str, fmt: str = "csv") -> str:
     """Write one run of one season into its own, time-stamped folder."""
     return write(df, f"{base}/season={season}/run={stamp}", fmt)
