@@ -35,7 +35,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the compression verdict of every document."""
-    judged = quality.judge(_documents(spark, sf_dir).select("doc_id", "text"))
+    judged = quality.judge(_documents(spark, sf_dir).select("doc_id", "text", "lang"))
     return judged.select("row.doc_id", "quality.*")
 
 
