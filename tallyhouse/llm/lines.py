@@ -1,11 +1,14 @@
 """Remove multi-line chunks that repeat across a corpus.
 
-A text is cut into chunks of lines where a rolling hash over the hashes of the last ``WINDOW``
-lines is divisible by ``DIVISOR`` and that of the line before is not, so that no two cuts follow
-each other. A cut depends on a few lines alone, so a passage that moved inside a text, or stands
-between other lines, is cut at the same places. A chunk of two or more
-lines with words that occurs a second time, in any document, is removed; its first occurrence by
-(id, place in the text) stays.
+Lines with words are hashed, and a rolling hash over the last ``WINDOW`` of these hashes says whether
+a line may end a chunk: it does unless the hash is divisible by ``DIVISOR``. A chunk begins at every
+line with words and ends at the first line, the second at least, that may end one (the last line of
+a text and the ``MOST_LINES``-th of a chunk always do). So both ends depend on the lines inside the
+chunk alone: a passage that stands between other lines, or has moved, has the same chunks. All
+passages of ``MOST_LINES`` lines hold one, and 63 in 64 of those of two lines.
+
+A chunk that occurs a second time, in any document, is repeated; its first occurrence by (id, place in
+the text) stays. A line goes if it lies in a later occurrence of a chunk and in no first one.
 
 Steps, all of Spark functions: (1) chunk hashes without texts are counted, after partial sums in
 the tasks, so a chunk that a third of all documents share arrives as one row per task; (2) hashes
@@ -22,10 +25,11 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import checkpointed, packed, stored
 
-WINDOW = 3
+WINDOW = 2
 BASE = 31
-DIVISOR = 3
+DIVISOR = 64
 LEAST_LINES = 2
+MOST_LINES = 16
 
 
 def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -40,61 +44,58 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("bigint")
 
 
-def _cut(rows: DataFrame, text: Column) -> DataFrame:
-    """Add ``lines`` and the last line numbers ``ends`` of the chunks (counted from 1)."""
+def _chunks(rows: DataFrame, text: Column) -> DataFrame:
+    """Add the array ``chunks`` (first line, number of lines, text), lines counted from 1."""
     rows = _fixed(rows, lines=F.split(F.coalesce(text, F.lit("")), "\n", -1))
-    rows = _fixed(rows, hashes=F.transform("lines", line_hash))
-    n = F.size("lines")
-
-    def divides(i: Column) -> Column:
-        rolling = F.lit(0).cast("bigint")
-        for back in range(WINDOW):
-            rolling = rolling + F.coalesce(F.get("hashes", i - 1 - back), F.lit(0)) * BASE**back
-        return F.pmod(rolling, F.lit(DIVISOR)) == 0
-
-    def ends_here(i: Column) -> Column:
-        return (i == n) | (divides(i) & ((i == 1) | ~divides(i - 1)))
-
-    return _fixed(rows, ends=F.filter(F.sequence(F.lit(1), n), ends_here)).drop("hashes")
-
-
-def _chunks() -> Column:
-    """Chunks (first line, number of lines, text) from the columns ``lines`` and ``ends``."""
-
-    def chunk(end: Column, at: Column) -> Column:
-        first = F.when(at == 0, 1).otherwise(F.get("ends", at - 1) + 1)
-        part = F.slice("lines", first, end - first + 1)
-        return F.struct(
-            first.alias("first"), (end - first + 1).alias("n"), F.array_join(part, "\n").alias("text"),
-            F.size(F.filter(part, lambda line: F.trim(line) != "")).alias("filled"),
-        )
-
-    return F.filter(F.transform("ends", chunk), lambda c: c["filled"] >= LEAST_LINES)
-
-
-def _without(lines: Column, removed: Column) -> Column:
-    """Lines outside the removed runs (first, n), which are in order, joined again."""
-    n = F.size(removed)
+    filled = F.filter(
+        F.transform("lines", lambda line, i: F.struct((i + 1).alias("at"), line_hash(line).alias("hash"), (F.trim(line) != "").alias("filled"))),
+        lambda line: line["filled"],
+    )
+    rows = _fixed(rows, places=F.transform(filled, lambda x: x["at"]), hashes=F.transform(filled, lambda x: x["hash"]))
+    last = F.size("places") - 1
+
+    def may_end(k: Column) -> Column:
+        rolling = sum((F.coalesce(F.get("hashes", k - back), F.lit(0)) * BASE**back for back in range(WINDOW)), F.lit(0).cast("bigint"))
+        return (F.pmod(rolling, F.lit(DIVISOR)) != 0) | (k == last)
+
+    rows = _fixed(rows, ends=F.transform("places", lambda _, k: may_end(k)))
+
+    def chunk(start: Column) -> Column:
+        latest = F.least(start + MOST_LINES - 1, last)
+        ending = F.filter(F.sequence(start + LEAST_LINES - 1, latest), lambda k: F.get("ends", k))
+        end = F.coalesce(F.get(ending, F.lit(0)), latest)
+        first, until = F.get("places", start), F.get("places", end)
+        return F.struct(first.alias("first"), (until - first + 1).alias("n"))
+
+    starts = F.when(last >= LEAST_LINES - 1, F.sequence(F.lit(0), last - LEAST_LINES + 1))
+    rows = _fixed(rows, spans=F.transform(starts, chunk))
+    return rows.withColumn(
+        "chunks",
+        F.transform(
+            "spans",
+            lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), F.array_join(F.slice("lines", c["first"], c["n"]), "\n").alias("text")),
+        ),
+    )
 
-    def stretch(k: Column) -> Column:
-        begins = F.when(k == 0, 1).otherwise(F.get(removed, k - 1)["first"] + F.get(removed, k - 1)["n"])
-        until = F.when(k == n, F.size(lines) + 1).otherwise(F.get(removed, k)["first"])
-        return F.slice(lines, begins, until - begins)
 
-    return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n), stretch)), "\n")
+def _covered(found: Column) -> Column:
+    """The numbers of all lines in listed chunks."""
+    return F.flatten(F.transform(found, lambda c: F.sequence(c["first"], c["first"] + c["n"] - 1)))
 
 
 def remove_repeated_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as struct ``row`` with kept_text, n_lines, n_removed_lines, n_removed_chunks.
+    """Every row of ``docs`` as struct ``row`` with kept_text, n_lines, n_removed_lines and n_removed_chunks,
+    the number of removed runs of lines.
 
-    A NULL text stays NULL and an empty one empty; one line alone is never removed. Rows without
+    A NULL text stays NULL and an empty one empty; one line alone is never found. Very long texts are
+    cut whole; the work grows with their lines. Rows without
     an id come last in the order of occurrences, rows with the same id in that of a text hash;
     rows with the same id and text are treated alike, so repeated rows keep the same chunks. A
     text may end up empty. An empty table gives an empty result.
     """
     key = {"id": F.col(id_col), "text_hash": F.xxhash64(text_col)}
-    cut = _cut(docs.select(F.col(text_col).alias("text"), *[c.alias(n) for n, c in key.items()]), F.col("text"))
-    places = cut.select("id", "text_hash", F.inline(_chunks())).select(
+    cut = _chunks(docs.select(F.col(text_col).alias("text"), *[c.alias(n) for n, c in key.items()]), F.col("text"))
+    places = cut.select("id", "text_hash", F.inline("chunks")).select(
         "id", "text_hash", F.col("first").cast("int"), F.col("n").cast("int"), F.xxhash64("text").alias("chunk")
     )
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "first")
@@ -117,17 +118,21 @@ def remove_repeated_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     mixed = _unequal(rows, text)
     if not mixed.isEmpty():
         rows = _by_bytes(rows, text, mixed)
+    later, first = F.filter("found", lambda c: ~c["stays"]), F.filter("found", lambda c: c["stays"])
     rows = _fixed(
         rows,
         lines=F.split(text, "\n", -1),
-        gone=F.coalesce(F.filter("found", lambda c: ~c["stays"]), F.array().cast("array<struct<first:int,n:int,chunk:bigint,stays:boolean>>")),
+        gone=F.coalesce(F.sort_array(F.array_except(_covered(later), _covered(first))), F.array().cast("array<int>")),
     )
+    left = F.array_except(F.sequence(F.lit(1), F.size("lines")), F.col("gone"))
     return rows.select(
         "row",
-        F.when(F.size("gone") == 0, text).otherwise(_without(F.col("lines"), F.col("gone"))).alias("kept_text"),
+        F.when(F.size("gone") == 0, text)
+        .otherwise(F.array_join(F.transform(left, lambda i: F.get("lines", i - 1)), "\n"))
+        .alias("kept_text"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.aggregate("gone", F.lit(0).cast("bigint"), lambda total, c: total + c["n"]).alias("n_removed_lines"),
-        F.size("gone").cast("bigint").alias("n_removed_chunks"),
+        F.size("gone").cast("bigint").alias("n_removed_lines"),
+        F.size(F.filter("gone", lambda line, k: (k == 0) | (F.get("gone", k - 1) != line - 1))).cast("bigint").alias("n_removed_chunks"),
     )
 
 

@@ -49,37 +49,41 @@ LINE_DEDUP = f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), numbered AS (
-    SELECT doc_id, len(lines) AS n, lines, unnest(range(1, len(lines) + 1)) AS i FROM split
-), hashed AS (
-    SELECT doc_id, n, i, lines[i] AS line, CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h FROM numbered
-), cut AS (
-    SELECT doc_id, i, line,
-           CASE WHEN i = n OR rolled % {lines.DIVISOR} = 0 AND coalesce(lag(rolled) OVER (PARTITION BY doc_id ORDER BY i), 1) % {lines.DIVISOR} <> 0
-                THEN 1 ELSE 0 END AS ends
-    FROM (SELECT doc_id, n, i, line, {_ROLLED} AS rolled FROM hashed WINDOW by_line AS (PARTITION BY doc_id ORDER BY i)) r
-), placed AS (
-    SELECT doc_id, i, line,
-           coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-    FROM cut
-), chunks AS (
-    SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
-           sum(CASE WHEN trim(line, ' ') <> '' THEN 1 ELSE 0 END) AS filled
-    FROM placed GROUP BY doc_id, chunk
+    SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM split
+), filled AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, count(*) OVER (PARTITION BY doc_id) AS m,
+           CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h
+    FROM numbered WHERE trim(lines[i], ' ') <> ''
+), ending AS (
+    SELECT doc_id, i, k, m, k = m OR ({_ROLLED}) % {lines.DIVISOR} <> 0 AS ends
+    FROM filled WINDOW by_line AS (PARTITION BY doc_id ORDER BY k)
+), spans AS (
+    SELECT s.doc_id, s.i AS first,
+           coalesce(min(e.i) FILTER (WHERE e.ends), max(e.i)) AS last
+    FROM ending s JOIN ending e
+      ON s.doc_id = e.doc_id AND e.k BETWEEN s.k + {lines.LEAST_LINES - 1} AND s.k + {lines.MOST_LINES - 1}
+    GROUP BY s.doc_id, s.i
 ), judged AS (
-    SELECT doc_id, chunk, n, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS again
-    FROM chunks WHERE filled >= {lines.LEAST_LINES}
-), kept AS (
-    SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.i) AS body
-    FROM placed p LEFT JOIN judged j ON p.doc_id = j.doc_id AND p.chunk = j.chunk
-    WHERE NOT coalesce(j.again, FALSE) GROUP BY p.doc_id
+    SELECT p.doc_id, first, last, row_number() OVER same AS place, count(*) OVER (PARTITION BY body) AS times
+    FROM (SELECT p.doc_id, first, last, array_to_string(lines[first:last], chr(10)) AS body FROM spans p JOIN split s ON p.doc_id = s.doc_id) p
+    WINDOW same AS (PARTITION BY body ORDER BY p.doc_id, first)
 ), gone AS (
-    SELECT doc_id, sum(n) AS removed, count(*) AS parts FROM judged WHERE again GROUP BY doc_id
+    SELECT doc_id, unnest(range(first, last + 1)) AS i FROM judged WHERE place > 1
+    EXCEPT
+    SELECT doc_id, unnest(range(first, last + 1)) FROM judged WHERE place = 1 AND times > 1
+), kept AS (
+    SELECT n.doc_id, string_agg(n.lines[n.i], chr(10) ORDER BY n.i) AS body
+    FROM numbered n ANTI JOIN gone g ON n.doc_id = g.doc_id AND n.i = g.i GROUP BY n.doc_id
+), counted AS (
+    SELECT doc_id, count(*) AS removed, count(*) FILTER (WHERE lead_in) AS parts
+    FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) <> i - 1, TRUE) AS lead_in FROM gone) r
+    GROUP BY doc_id
 )
-SELECT d.doc_id, CAST(len(s.lines) AS BIGINT) AS n_lines, CAST(coalesce(g.removed, 0) AS BIGINT) AS n_removed_lines,
-       CAST(coalesce(g.parts, 0) AS BIGINT) AS n_removed_chunks,
+SELECT d.doc_id, CAST(CASE WHEN d.text IS NULL THEN 0 ELSE len(s.lines) END AS BIGINT) AS n_lines,
+       CAST(coalesce(g.removed, 0) AS BIGINT) AS n_removed_lines, CAST(coalesce(g.parts, 0) AS BIGINT) AS n_removed_chunks,
        CAST(length(coalesce(k.body, '')) AS BIGINT) AS kept_chars, sha256(coalesce(k.body, '')) AS kept_sha256
 FROM documents d JOIN split s ON d.doc_id = s.doc_id
-LEFT JOIN kept k ON d.doc_id = k.doc_id LEFT JOIN gone g ON d.doc_id = g.doc_id
+LEFT JOIN counted g ON d.doc_id = g.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
