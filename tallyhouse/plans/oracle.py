@@ -885,7 +885,8 @@ def _more() -> dict[str, str]:
         for name, columns in registry.REQUIRED.items()
         for c in columns
     )
-    return firsts | {"audit_keys": keys, "audit_references": references, "audit_required": required}
+    star = {"star_tier_revenue": _BODIES["dw_tier_revenue"], "star_sales_complete": _BODIES["vw_sales_complete"]}
+    return firsts | star | {"audit_keys": keys, "audit_references": references, "audit_required": required}
 
 
 def oracle_sql() -> dict[str, str]:

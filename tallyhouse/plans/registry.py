@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from tallyhouse.functions.scalar import money_total
 from tallyhouse.operators import history, quality
 from tallyhouse.operators.stored_history import StoredHistory
-from tallyhouse.plans import basics, increments, ordered, players, retail, trips, warehouse
+from tallyhouse.plans import basics, increments, ordered, players, retail, star, trips, warehouse
 from tallyhouse.plans.increments import IncrementalWarehouse
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import apply_settings, fresh_path
@@ -104,6 +105,18 @@ def stored_history(spark: SparkSession, sf: str) -> StoredHistory:
     return StoredHistory(_store(spark, sf, "history", fill))
 
 
+_stars: dict[str, Warehouse] = {}
+
+
+def stored_star(spark: SparkSession, sf: str) -> Warehouse:
+    """The warehouse with facts and customers in buckets, or as it is if one customer holds too much."""
+    house = stored_house(spark, sf)
+    path = house.path
+    if path not in _stars:
+        _stars[path] = star.store_star(house, f"star_{uuid.uuid4().hex}") or house
+    return _stars[path]
+
+
 LATE = 1_000_000_000
 
 
@@ -525,6 +538,8 @@ _REGISTERED: dict[str, Query] = {
     "dw_tier_revenue": _asked(warehouse.dw_tier_revenue),
     "dw_weekend": _asked(warehouse.dw_weekend),
     "dw_top_products": _asked(warehouse.dw_top_products),
+    "star_tier_revenue": lambda spark, sf: warehouse.dw_tier_revenue(stored_star(spark, sf)),
+    "star_sales_complete": lambda spark, sf: warehouse.vw_sales_complete(stored_star(spark, sf)).drop("sales_key"),
     "incremental_facts": lambda spark, sf: stored_increments(spark, sf).fact_sales.drop("sales_key"),
     "incremental_customers": lambda spark, sf: stored_increments(spark, sf).dim_customer,
     "load_versions": lambda spark, sf: increments.table_history(stored_increments(spark, sf)),

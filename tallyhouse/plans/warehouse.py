@@ -52,6 +52,7 @@ class Warehouse:
 
     def __init__(self, retail: Retail | None):
         self.retail = retail
+        self.path: str | None = None  # of a stored one
         self._given_facts = False
 
     def with_facts(self, facts: DataFrame) -> Warehouse:
@@ -64,6 +65,7 @@ class Warehouse:
     def saved(cls, spark: SparkSession, path: str) -> Warehouse:
         """The last finished version under ``path``."""
         house, store = cls(None), VersionedStore(spark, path)
+        house.path = path
         rows = store.manifest()
         for name in TABLES:
             house.__dict__[name] = store.frame(rows, name)
@@ -234,9 +236,9 @@ def vw_sales_complete(house: Warehouse) -> DataFrame:
     status = house.dim_order_status.select("status_key", "status_name")
     payment = house.dim_payment_method.select("payment_method_key", "payment_method_name")
     return (
-        house.fact_sales.join(days, "date_key")
-        .join(customers, "customer_key")
+        house.fact_sales.join(customers, "customer_key")
         .join(products, "product_key")
+        .join(days, "date_key")
         .join(status, "status_key")
         .join(payment, "payment_method_key", "left")
         .drop("date_key", "customer_key", "product_key", "status_key", "payment_method_key", "tax_amount")
