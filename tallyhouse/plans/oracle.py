@@ -846,6 +846,13 @@ _BODIES = {
     "audit_unique": """
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS row_count FROM lineitem
         GROUP BY ALL HAVING count(*) > 1""",
+    "audit_new_keys": """
+        SELECT o_orderkey, count(*) AS row_count FROM orders, (SELECT max(o_orderkey) AS greatest FROM orders)
+        WHERE o_orderkey * 100 > 85 * greatest AND o_orderkey * 10 <= 9 * greatest GROUP BY o_orderkey""",
+    "audit_new_references": """
+        SELECT l_orderkey, count(*) AS row_count FROM lineitem, (SELECT max(o_orderkey) AS greatest FROM orders)
+        WHERE l_orderkey * 100 > 85 * greatest
+          AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey * 10 <= 9 * greatest) GROUP BY l_orderkey""",
     "audit_orphans": """
         SELECT customer_id, new_tier, CAST(effective_date AS VARCHAR) AS effective_date
         FROM h_changes WHERE customer_id NOT IN (SELECT c_custkey FROM customer)""",

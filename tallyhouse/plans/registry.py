@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions.scalar import money_total
 from tallyhouse.operators import history, quality
+from tallyhouse.operators.key_index import KeyIndex
 from tallyhouse.operators.stored_history import StoredHistory
 from tallyhouse.plans import basics, increments, ordered, players, retail, star, trips, warehouse
 from tallyhouse.plans.increments import IncrementalWarehouse
@@ -317,6 +318,34 @@ def audit_orphans(spark, sf):
     return quality.audit_orphans(views.tier_changes(source), source.customers, "customer_id")
 
 
+def _order_index(spark, sf) -> tuple[KeyIndex, DataFrame]:
+    """An index of the orders up to nine tenths of the greatest number, taken in two batches, and that
+    number. What comes next begins at 85 hundredths."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    greatest = orders.agg(F.max("o_orderkey")).first()[0]
+
+    def fill(new):
+        made = KeyIndex(new)
+        made.add("1", orders.where(F.col("o_orderkey") * 2 <= greatest), 8)
+        made.add("2", orders.where((F.col("o_orderkey") * 2 > greatest) & (F.col("o_orderkey") * 10 <= 9 * greatest)), 8)
+
+    return KeyIndex(_store(spark, sf, "order-keys", fill)), greatest
+
+
+def audit_new_keys(spark, sf):
+    """Orders of a new batch that are there already."""
+    index, greatest = _order_index(spark, sf)
+    batch = table(spark, sf, "orders").where(F.col("o_orderkey") * 100 > 85 * greatest)
+    return index.known(batch, "o_orderkey")[0]
+
+
+def audit_new_references(spark, sf):
+    """Orders that lines of a new batch refer to and that are not there, with the number of lines."""
+    index, greatest = _order_index(spark, sf)
+    batch = table(spark, sf, "lineitem").where(F.col("l_orderkey") * 100 > 85 * greatest)
+    return index.unknown(batch, "l_orderkey")[0]
+
+
 # Unique keys, references and required columns of the retail and warehouse tables.
 KEYS = {
     "customers": "customer_id", "orders": "order_id", "products": "product_id", "categories": "category_id",
@@ -569,6 +598,8 @@ _REGISTERED: dict[str, Query] = {
     # Audits
     "audit_unique": audit_unique,
     "audit_orphans": audit_orphans,
+    "audit_new_keys": audit_new_keys,
+    "audit_new_references": audit_new_references,
     "audit_keys": audit_keys,
     "audit_references": audit_references,
     "audit_required": audit_required,
