@@ -37,6 +37,7 @@ from tallyhouse.llm.components import connected_components
 HASH_SEED = 42
 MIN_MATCHES = 6  # of 8 positional bytes, for links at two or fewer bits
 ALL_PAIRS_UP_TO = 256
+FINGERPRINTS_A_TASK = 10_000
 
 WIDE_BITS = 1024
 INDEX_KEYS = 96
@@ -222,7 +223,9 @@ def linked_within(
     made = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("bytes"))
     made = made.select("id", F.conv(F.hex("bytes"), 16, -10).cast("bigint").alias("f"))
     made = stored(made, "simhash")  # two numbers a document, read for the index and for the result
-    distinct = checkpointed(made.groupBy("f").agg(F.min("id").alias("first")))
+    # Each fingerprint becomes 28 index rows: tasks are made for these, not for the few bytes of one.
+    tasks = max(1, made.count() // FINGERPRINTS_A_TASK)
+    distinct = checkpointed(made.groupBy("f").agg(F.min("id").alias("first")).repartition(tasks, "f"))
     groups = connected_components(_links(distinct, max_bits))
     grouped = distinct.join(groups.withColumnRenamed("node", "f"), "f", "left").select(
         "f", "first", F.coalesce("component", "f").alias("component")

@@ -181,9 +181,9 @@ WITH behind AS (
 ), shapes0 AS (
     SELECT host, segments, count(*) AS urls, sum(CASE WHEN ruled = 'block' THEN 1 ELSE 0 END) AS blocked,
            count(ruled) AS labelled, segments AS template
-    FROM cut GROUP BY host, segments{"".join(_level(d) for d in range(urls.DEPTH))}
+    FROM cut GROUP BY host, segments{"".join(_level(d) for d in range(urls.DEPTH + 1))}
 ), named AS (
-    SELECT host, segments, blocked, labelled, array_to_string(template, '/') AS template FROM shapes{urls.DEPTH}
+    SELECT host, segments, blocked, labelled, array_to_string(template, '/') AS template FROM shapes{urls.DEPTH + 1}
 ), totals AS (
     SELECT host, template,
            (sum(blocked) + {urls.SMOOTHING / 2})::DOUBLE / (sum(labelled) + {urls.SMOOTHING})::DOUBLE AS block_rate

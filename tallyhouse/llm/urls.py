@@ -8,7 +8,7 @@ Per host the segments form a tree whose levels are worked from the root down:
 * children that carry labels and whose labelled block rates do not differ from the pooled rate
   of their labelled siblings by more than ``Z`` standard errors are one branch, too.
 
-Segments below ``DEPTH`` belong to the template as one tail. A template is rejected when its
+Segments below ``DEPTH`` are one tail, which is worked as the last level. A template is rejected when its
 smoothed block rate over labelled URLs is at least ``REJECT``. The labels are the decisions of
 the rules (and any ``label`` column given); URLs under a template that no rule reaches inherit
 its purity. A template without labels is allowed.
@@ -132,7 +132,7 @@ def templates(urls: DataFrame) -> DataFrame:
     )
     shapes = shapes.withColumn("template", F.col("segments"))
     shapes = checkpointed(shapes)  # each level reads the one above it several times
-    for depth in range(DEPTH):
+    for depth in range(DEPTH + 1):
         shapes = checkpointed(_level(shapes, depth))
     shapes = shapes.withColumn("template", F.array_join("template", "/"))
     totals = shapes.groupBy("host", "template").agg(
@@ -149,7 +149,7 @@ def filter_urls(
 ) -> DataFrame:
     """Every row of ``pages`` as struct ``row`` with host, path, rule, template, block_rate, verdict.
 
-    A NULL url, or one without ``://``, has an empty host and path; such rows share one template
+    The table may be empty, and URLs of any length are read whole. A NULL url, or one without ``://``, has an empty host and path; such rows share one template
     and are allowed unless labelled otherwise. Repeated rows are judged alike. ``label_col`` may
     name a column with further ``block``/``allow`` labels; rules go before it.
     """

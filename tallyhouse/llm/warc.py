@@ -32,6 +32,7 @@ from tallyhouse.session import fresh_path
 FILE_BYTES = 256_000_000
 GAP_BYTES = 64_000
 RANGE_BYTES = 8_000_000
+TASK_BYTES = 32 << 20  # of archives that one task reads back
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 
@@ -163,6 +164,14 @@ def _writer(folder: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive = _Archive(folder)
         made = []
+
+        def finished():
+            """The index rows of a file go out when it is complete."""
+            archive.close()
+            for start in range(0, len(made), 10_000):
+                yield pa.RecordBatch.from_pylist(made[start : start + 10_000], _INDEX_ARROW)
+            made.clear()
+
         for batch in batches:
             for row in batch.to_pylist():
                 file, offset, length = archive.add(row)
@@ -171,10 +180,9 @@ def _writer(folder: str):
                     {"file": file, "offset": offset, "length": length, "url": row["url"], "digest": row["digest"],
                      "record_type": kind, "id": row["id"], "refers_to": row["refers_to"]}
                 )
-        # Rows of the index go out when the files are complete.
-        archive.close()
-        for start in range(0, len(made), 10_000):
-            yield pa.RecordBatch.from_pylist(made[start : start + 10_000], _INDEX_ARROW)
+                if archive.at >= FILE_BYTES:
+                    yield from finished()
+        yield from finished()
 
     return run
 
@@ -274,7 +282,10 @@ def _reader(folder: str):
 
 def read(index: DataFrame, folder: str) -> DataFrame:
     """The records that rows of the index name, read from the archives below ``folder``."""
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # Tasks by what they will read; the index itself is small and would be dealt to one.
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, -(-size // TASK_BYTES))
+    ordered = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(_reader(folder), RECORD)
 
 

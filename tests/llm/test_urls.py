@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import urls
 from tallyhouse.llm.queries import URL_RULES
@@ -84,3 +85,30 @@ def test_empty_table(spark):
 def test_segments(spark, path, segments):
     row = spark.createDataFrame([(path,)], "p string").select(urls._segments(urls.F.col("p"))).first()
     assert row[0] == segments
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 6, 7, 9])
+def test_variable_segments_at_any_depth(spark, depth):
+    """Labelled URLs teach their unlabelled siblings, however deep the variable segment stands."""
+    folder = "/".join("abcdefghij"[: depth - 1])
+    folder = f"{folder}/" if folder else ""
+    names = [f"u{x}{y}" for x in "abcdefghij" for y in "klmnopqr"]
+    listed = [f"http://h.com/{folder}{n}/x" for n in names]
+    marked = pages(spark, listed).withColumn("mark", F.when(F.col("page_id") < 60, "block"))
+    got = urls.filter_urls(marked, [], label_col="mark").collect()
+    assert {r.verdict for r in got} == {"block"} and len({r.template for r in got}) == 1
+
+
+def test_learned_templates_block_and_allow(spark):
+    listed = [f"http://h.com/shop/{a}{b}/buy" for a in "abcdefgh" for b in "xyz"] + [f"http://h.com/blog/{a}{b}/read" for a in "abcdefgh" for b in "xyz"]
+    marked = pages(spark, listed).withColumn(
+        "mark", F.when(F.col("page_id") % 3 == 0, F.when(F.col("url").contains("/shop/"), "block").otherwise("allow"))
+    )
+    got = urls.filter_urls(marked, [], label_col="mark").collect()
+    assert {(r.template, r.verdict) for r in got} == {("shop/*/buy", "block"), ("blog/*/read", "allow")}
+
+
+def test_a_very_long_url(spark):
+    listed = ["http://h.com/" + "seg/" * 50_000 + "x", "http://" + "a" * 100_000 + "/y", None]
+    got = {r.row.page_id: r for r in urls.filter_urls(pages(spark, listed), URL_RULES).collect()}
+    assert len(got[0].path) == 200_002 and len(got[1].host) == 100_000 and {r.verdict for r in got.values()} == {"allow"}

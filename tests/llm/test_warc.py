@@ -94,3 +94,16 @@ def test_empty_table(spark, pages):
     folder = warc.archive_folder(spark)
     index = warc.write(pages.limit(0), folder)
     assert index.count() == 0 and warc.read(index, folder).count() == 0
+
+
+def test_reading_is_dealt_by_bytes(spark, monkeypatch):
+    """As many tasks as the records ask for, whatever the size of the index; files are closed on the way."""
+    pages = spark.range(400).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(sha2(string(id), 512), 20) as html")
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    folder = warc.archive_folder(spark)
+    index = warc.write(pages.coalesce(1), folder)
+    total = index.agg({"length": "sum"}).first()[0]
+    assert index.select("file").distinct().count() > 3
+    monkeypatch.setattr(warc, "TASK_BYTES", total // 10)
+    read = warc.read(index, folder)
+    assert read.rdd.getNumPartitions() >= 10 and read.count() == 400
