@@ -21,9 +21,10 @@ Equal fingerprints are one entry throughout, so a text with millions of copies c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import accumulate, combinations
-from math import acos, ceil, log1p, log2, pi, sqrt
+from math import acos, ceil, comb, log2, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ FINGERPRINTS_A_TASK = 10_000
 
 WIDE_BITS = 1024
 INDEX_KEYS = 96
-RECALL = 0.85
+RECALL = 0.95
 BLOCK = 1024
 SPARE_KEY_BITS = 4
 
@@ -70,16 +71,18 @@ def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(texts: list[bytes], size: int, bits: int, even_ties: bool = False) -> list[bytes]:
+def fingerprints(texts: list[bytes], size: int, bits: int, even_ties: bool = False, once: bool = False) -> list[bytes]:
     """A bit is 1 if it is set in over half of the shingles' hashes; no words give zero.
 
     With ``even_ties`` a bit set in exactly half of them is that of the least hash. Otherwise it is
-    0, which makes short texts alike that have nothing in common.
+    0, which makes short texts alike that have nothing in common. With ``once`` a repeated shingle
+    counts once.
 
     Bits are counted for all texts at once: eight bits of each hash are spread over the bytes of
     a 64-bit number and added up in stretches of at most 255, so that no byte overflows.
     """
     per_text = [np.array(shingle_hashes(t, size), np.uint64) for t in texts]
+    per_text = [np.unique(h) for h in per_text] if once else per_text
     lengths = np.array([len(h) for h in per_text])
     made = np.zeros((len(texts), bits // 8), np.uint8)
     filled = np.flatnonzero(lengths)
@@ -108,15 +111,15 @@ def fingerprints(texts: list[bytes], size: int, bits: int, even_ties: bool = Fal
     return [bytes(x) for x in made]
 
 
-def fingerprint(text: Column | str, size: int, bits: int = 64, even_ties: bool = False) -> Column:
+def fingerprint(text: Column | str, size: int, bits: int = 64, even_ties: bool = False, once: bool = False) -> Column:
     """Column of fingerprints as binary, most significant byte first."""
     schema = pa.schema([("bytes", pa.binary())])
-    function = text_udf(lambda texts: {"bytes": _in_parts(texts, size, bits, even_ties)}, schema, "struct<bytes: binary>")
+    function = text_udf(lambda texts: {"bytes": _in_parts(texts, size, bits, even_ties, once)}, schema, "struct<bytes: binary>")
     return function(text)["bytes"]
 
 
 def _in_parts(
-    texts: list[bytes], size: int, bits: int, even_ties: bool, part_bytes: int = 16_000_000
+    texts: list[bytes], size: int, bits: int, even_ties: bool, once: bool, part_bytes: int = 16_000_000
 ) -> list[bytes]:
     """Fingerprints of some megabytes of text at a time, to bound the memory of the hashes."""
     made, part, held = [], [], 0
@@ -124,9 +127,9 @@ def _in_parts(
         part.append(text)
         held += len(text)
         if held >= part_bytes:
-            made += fingerprints(part, size, bits, even_ties)
+            made += fingerprints(part, size, bits, even_ties, once)
             part, held = [], 0
-    return made + (fingerprints(part, size, bits, even_ties) if part else [])
+    return made + (fingerprints(part, size, bits, even_ties, once) if part else [])
 
 
 # Links at two or fewer bits of 64 -------------------------------------------------------------
@@ -253,10 +256,30 @@ def most_bits_at(similarity: float, bits: int) -> int:
     return ceil(bits * share + 3 * sqrt(bits * share * (1 - share)))
 
 
-def keys_for(width: int, similarity: float) -> int:
-    """Keys of ``width`` bytes of which a pair at this similarity shares one with probability ``RECALL``."""
-    equal_bit = 1 - acos(2 * similarity / (1 + similarity)) / pi
-    return max(INDEX_KEYS, ceil(log1p(-RECALL) / log1p(-(equal_bit ** (8 * width)))))
+def key_recall(keys: int, width: int, similarity: float, n_bytes: int) -> float:
+    """Probability that a pair at this similarity shares one of ``keys`` keys of ``width`` of the bytes.
+
+    All keys of a pair depend on the number of its equal bytes, so it is taken over that number.
+    """
+    equal = (1 - acos(2 * similarity / (1 + similarity)) / pi) ** 8
+    ways = comb(n_bytes, width)
+    return sum(
+        comb(n_bytes, m) * equal**m * (1 - equal) ** (n_bytes - m) * (1 - (1 - comb(m, width) / ways) ** keys)
+        for m in range(n_bytes + 1)
+    )
+
+
+def keys_for(width: int, similarity: float, n_bytes: int = WIDE_BITS // 8) -> int:
+    """The fewest keys of ``width`` bytes of which a pair at this similarity shares one with probability
+    ``RECALL``."""
+    low, high = INDEX_KEYS, 1 << 16
+    while low < high:
+        middle = (low + high) // 2
+        if key_recall(middle, width, similarity, n_bytes) < RECALL:
+            low = middle + 1
+        else:
+            high = middle
+    return low
 
 
 def _index_positions(n_bytes: int, width: int, keys: int) -> np.ndarray:
@@ -304,13 +327,13 @@ def _verified(pairs: DataFrame, prints: DataFrame, least_matches: int, max_bits:
     left = prints.select(F.col("node").alias("a"), F.col("print").alias("a_print"))
     right = prints.select(F.col("node").alias("b"), F.col("print").alias("b_print"))
     met = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", _compare()("a_print", "b_print").alias("is"))
-    return met.where((F.col("is.matches") >= least_matches) & (F.col("is.bits") <= max_bits)).select("a", "b")
+    return met.where((F.col("is.matches") >= least_matches) & (F.col("is.bits") <= max_bits)).select("a", "b", "is.bits")
 
 
 def list_links(
     table: np.ndarray, linked: np.ndarray, least_matches: int, max_bits: int, most_bits: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (first, second, near) of members of a posting list; near ones tie its groups together.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (first, second, near, bits) of members of a posting list; near ones tie its groups together.
 
     ``table`` has a fingerprint in each row; ``linked`` members are known to be one group. A
     member that joined a group is compared with all that have not joined one, so two members stay
@@ -342,34 +365,36 @@ def list_links(
     near, unsure = np.concatenate(pairs), np.concatenate(doubtful)
     unsure = unsure[group[unsure[:, 0]] != group[unsure[:, 1]]]
     both = np.concatenate([near, unsure])
-    return both[:, 0], both[:, 1], np.arange(len(both)) < len(near)
+    bits = np.bitwise_count(prints[both[:, 0]] ^ prints[both[:, 1]]).sum(axis=1)
+    return both[:, 0], both[:, 1], np.arange(len(both)) < len(near), bits
 
 
 def _links_of_members(least_matches: int, max_bits: int, most_bits: int):
-    """Arrow function: members (node, print, linked) of posting lists to pairs (a, b, near)."""
-    kind = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("near", pa.bool_())])
+    """Arrow function: members (node, print, linked) of posting lists to pairs (a, b, near, bits)."""
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("near", pa.bool_()), ("bits", pa.int32())])
 
     def run(lists: pa.Array) -> pa.Array:
         offsets, members = lists.offsets.to_numpy(), lists.values
         nodes = members.field("node").to_numpy()
         known = members.field("linked").to_numpy(zero_copy_only=False)
         prints = members.field("print")
-        ends, a, b, near = [0], [], [], []
+        ends, a, b, near, bits = [0], [], [], [], []
         for begin, end in zip(offsets[:-1], offsets[1:]):
             order = begin + np.argsort(nodes[begin:end])
             raw = b"".join(prints.slice(begin, end - begin).to_pylist())
             table = np.frombuffer(raw, np.uint8).reshape(end - begin, -1)[order - begin]
-            first, second, sure = list_links(table, known[order].astype(bool), least_matches, max_bits, most_bits)
+            first, second, sure, differ = list_links(table, known[order].astype(bool), least_matches, max_bits, most_bits)
             a.append(nodes[order[first]])
             b.append(nodes[order[second]])
             near.append(sure)
+            bits.append(differ)
             ends.append(ends[-1] + len(first))
         none = [np.zeros(0, np.int64)]
-        links = [pa.array(np.concatenate(x or none).astype(t), f.type) for x, t, f in zip((a, b, near), (np.int64, np.int64, bool), kind)]
+        links = [pa.array(np.concatenate(x or none).astype(t), f.type) for x, t, f in zip((a, b, near, bits), (np.int64, np.int64, bool, np.int32), kind)]
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(links, fields=list(kind)))
 
     run.__annotations__ = {"lists": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint, near: boolean>>").asNondeterministic()
+    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint, near: boolean, bits: int>>").asNondeterministic()
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -393,40 +418,93 @@ def _blocks(members: DataFrame) -> DataFrame:
     return dealt.select(pair.alias("list"), "node", "linked")
 
 
-def _list_links(
-    index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int, most_bits: int | None = None
-) -> DataFrame:
-    """Pairs (a, b, near); the near ones tie together the groups of every posting list (key, node).
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node) in order, to (key, node, star, n) for keys of several rows: the first node of the
+    key, and how many rows it has, where ``BLOCK + 1`` stands for any number above ``BLOCK``.
+
+    A key's rows may go over many batches; no more than ``BLOCK`` are held back.
+    """
+
+    def out(key: int, nodes: np.ndarray, star: int, n: int) -> tuple[np.ndarray, ...]:
+        size = len(nodes)
+        return np.full(size, key), nodes, np.full(size, star), np.full(size, n, np.int32)
+
+    held_key, held, star, long = None, np.zeros(0, np.int64), 0, False
+    for batch in batches:
+        keys, nodes = (batch.column(c).to_numpy() for c in ("key", "node"))
+        if not len(keys):
+            continue
+        starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+        sizes = np.diff(np.append(starts, len(keys)))
+        parts = []
+        # The key that goes on from the batch before, and the last one, which may go on.
+        if keys[0] == held_key:
+            if long:
+                parts.append(out(held_key, nodes[: sizes[0]], star, BLOCK + 1))
+            else:
+                held = np.concatenate((held, nodes[: sizes[0]]))
+            starts, sizes = starts[1:], sizes[1:]
+        if len(held) > BLOCK:
+            parts.append(out(held_key, held, star, BLOCK + 1))
+            held, long = held[:0], True
+        if len(starts):
+            if len(held) > 1:
+                parts.append(out(held_key, held, star, len(held)))
+            inner = np.repeat(np.where(sizes[:-1] > 1, np.arange(len(sizes) - 1), -1), sizes[:-1])
+            rows = np.flatnonzero(inner >= 0)
+            place = inner[rows]
+            rows = rows + starts[0]
+            n = np.minimum(sizes[place], BLOCK + 1).astype(np.int32) if len(rows) else np.zeros(0, np.int32)
+            parts.append((keys[rows], nodes[rows], nodes[starts[place]] if len(rows) else nodes[:0], n))
+            held_key, held, star, long = keys[starts[-1]], nodes[starts[-1] :].copy(), nodes[starts[-1]], False
+            if len(held) > BLOCK:
+                parts.append(out(held_key, held, star, BLOCK + 1))
+                held, long = held[:0], True
+        if parts:
+            columns = [np.concatenate(c) for c in zip(*parts)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "star", "n"])
+    if len(held) > 1:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out(held_key, held, star, len(held))], names=["key", "node", "star", "n"])
+
+
+def _list_links(index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int) -> DataFrame:
+    """The links (a, b, near, bits) of ``_compared``."""
+    return _compared(index, prints, least_matches, max_bits)[0]
+
+
+def _compared(
+    index: DataFrame, prints: DataFrame, least_matches: int, max_bits: int, most_bits: int | None = None, star_bits: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, near, bits); the near ones tie together the groups of every posting list (key, node).
 
     The others, if ``most_bits`` is given, are pairs of different groups of a list that differ in
     over ``max_bits`` and up to ``most_bits``.
 
     Lists of up to ``BLOCK`` members are compared as they are, equal ones once. Members of longer
     ones first meet the least of them, their star. Those that are not linked to it then meet each
-    other and all that are, in blocks.
+    other and all that are, in blocks. With ``star_bits`` a member is linked to its star at so many bits
+    only. The second result holds the members (list, node) as they were compared.
     """
-    # Behind a checkpoint both sides of a join are plain exchanges, which Spark can split.
-    # Lists of one entry, nearly all of them, end here.
-    stars = checkpointed(
-        index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("star")).where("n > 1")
-    )
-    met = checkpointed(index.join(stars, "key"))
+    # One shuffle of the index; lists of one entry, nearly all of them, end in the task.
+    sorted_keys = index.select("key", "node").repartition("key").sortWithinPartitions("key", "node")
+    met = checkpointed(sorted_keys.mapInArrow(_repeated, "key bigint, node bigint, star bigint, n int"))
     short = met.where(F.col("n") <= BLOCK).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("members"))
     short = short.select("members").distinct()
     short = short.select(F.xxhash64("members").alias("list"), F.explode("members").alias("node"), F.lit(False).alias("linked"))
     long = met.where(F.col("n") > BLOCK)
     pairs = long.where("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b"))
-    tied = checkpointed(_verified(pairs, prints, least_matches, max_bits))
+    tied = checkpointed(_verified(pairs, prints, least_matches, max_bits if star_bits is None else star_bits))
     known = tied.select(F.col("a").alias("node"), F.col("b").alias("star"), F.lit(True).alias("tied"))
     flagged = long.join(known, ["star", "node"], "left").select(
         "key", "node", (F.col("tied").isNotNull() | (F.col("node") == F.col("star"))).alias("linked")
     )
-    members = short.union(_blocks(checkpointed(flagged)))
+    members = checkpointed(short.union(_blocks(checkpointed(flagged))))
     lists = members.join(prints, "node").groupBy("list").agg(
         F.collect_list(F.struct("node", "print", "linked")).alias("members")
     )
     links = lists.select(F.inline(_links_of_members(least_matches, max_bits, most_bits or max_bits)("members")))
-    return tied.withColumn("near", F.lit(True)).union(checkpointed(links.distinct()))
+    ties = tied.select("a", "b", F.lit(True).alias("near"), "bits")
+    return ties.union(checkpointed(links.distinct())), members.select("list", "node")
 
 
 def _shingle_set(text: Column | str, words: int) -> Column:
@@ -453,30 +531,84 @@ def _as_alike(similarity: float):
     return F.arrow_udf(run, "boolean").asNondeterministic()
 
 
-def _joined_by_shingles(
-    groups: DataFrame, doubtful: DataFrame, made: DataFrame, texts: DataFrame, words: int, similarity: float
-) -> DataFrame:
-    """``groups`` (node, component), joined where a doubtful pair (a, b) has alike shingle sets.
+def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b, alike) for pairs of nodes, by their shingle sets.
 
     ``texts`` is (text_hash, text); the least text hash stands for the texts of a node.
     """
-    a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")) for x in "ab")
-    apart = doubtful.join(a, "a", "left").join(b, "b", "left").select(
-        "a", "b", F.coalesce("a_group", "a").alias("a_group"), F.coalesce("b_group", "b").alias("b_group")
-    )
-    apart = checkpointed(apart.where("a_group <> b_group"))
-    if apart.isEmpty():
-        return groups
-    nodes = apart.select(F.col("a").alias("node")).union(apart.select("b")).distinct()
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     chosen = checkpointed(made.join(nodes, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")))
     rows = texts.join(small_side(chosen, chosen.count()), "text_hash").select("node", "text").dropDuplicates(["node"])
     sets = checkpointed(rows.select("node", _shingle_set("text", words).alias("set")))
     left, right = (sets.select(F.col("node").alias(x), F.col("set").alias(f"{x}_set")) for x in "ab")
-    met = apart.join(left, "a").join(right, "b").where(_as_alike(similarity)("a_set", "b_set"))
-    roots = connected_components(met.select(F.col("a_group").alias("a"), F.col("b_group").alias("b")))
-    moved = groups.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
-    moved = moved.select("node", F.coalesce("root", "component").alias("component"))
-    return moved.union(roots.join(groups.select("node"), "node", "left_anti").select("node", "component"))
+    met = pairs.join(left, "a").join(right, "b")
+    return checkpointed(met.select("a", "b", _as_alike(similarity)("a_set", "b_set").alias("alike")))
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are in different groups (node, component)."""
+    a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")) for x in "ab")
+    known = pairs.join(a, "a", "left").join(b, "b", "left")
+    return known.where(F.coalesce("a_group", "a") != F.coalesce("b_group", "b")).drop("a_group", "b_group")
+
+
+def _across_groups(least_matches: int, most_bits: int):
+    """Arrow function: members (node, print, component) of posting lists to all pairs (a, b) of different
+    components that may be alike."""
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(lists: pa.Array) -> pa.Array:
+        made = []
+        for members in lists.to_pylist():
+            nodes = np.array([m["node"] for m in members])
+            group = np.array([m["component"] for m in members])
+            table = np.frombuffer(b"".join(m["print"] for m in members), np.uint8).reshape(len(nodes), -1)
+            prints, pairs = table.view(np.uint64), []
+            for at in range(len(nodes) - 1):
+                rest = np.flatnonzero(group[at + 1 :] != group[at]) + at + 1
+                close = rest[np.bitwise_count(prints[rest] ^ prints[at]).sum(axis=1) <= most_bits]
+                close = close[(table[close] == table[at]).sum(axis=1) >= least_matches]
+                pairs += [{"a": max(int(nodes[at]), int(nodes[x])), "b": min(int(nodes[at]), int(nodes[x]))} for x in close]
+            made.append(pairs)
+        return pa.array(made, pa.list_(kind))
+
+    run.__annotations__ = {"lists": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint>>").asNondeterministic()
+
+
+def _groups_of_alike(
+    met: DataFrame, lists: DataFrame, prints: DataFrame, made: DataFrame, texts: DataFrame, words: int, similarity: float,
+    sure_bits: int, least_matches: int, most_bits: int,
+) -> DataFrame:
+    """Groups (node, component) by the met pairs (a, b, near, bits), all of them verified.
+
+    A list's near pairs tie it together by the number of bits. Those with ``sure_bits`` or fewer are
+    taken for that; the shingle sets decide on the others and on the doubtful pairs. Where a tie does
+    not hold, the members that it led past each other are met again: all pairs of the list that are
+    now in different groups are compared by their sets.
+    """
+    tied = lambda links: connected_components(links.select("a", "b"))
+    sure = met.where(F.col("near") & (F.col("bits") <= sure_bits))
+    groups = tied(sure)
+    unsure = checkpointed(_apart(met.where(~(F.col("near") & (F.col("bits") <= sure_bits))), groups).select("a", "b", "near").distinct())
+    if unsure.isEmpty():
+        return groups
+    judged = _alike(unsure.select("a", "b").distinct(), made, texts, words, similarity)
+    held = judged.where("alike").select("a", "b")
+    links = sure.select("a", "b").union(held)
+    groups = tied(links)
+    loose = _apart(unsure.where("near").join(judged.where("not alike"), ["a", "b"]).select("a", "b"), groups)
+    loose = checkpointed(loose.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    if loose.isEmpty():
+        return groups
+    again = lists.join(lists.join(loose, "node").select("list").distinct(), "list")
+    members = again.join(prints, "node").join(groups, "node", "left").groupBy("list").agg(
+        F.collect_list(F.struct("node", "print", F.coalesce("component", "node").alias("component"))).alias("members")
+    )
+    more = checkpointed(members.select(F.inline(_across_groups(least_matches, most_bits)("members"))).distinct())
+    more = more.join(judged, ["a", "b"], "left_anti")
+    held = _alike(more, made, texts, words, similarity).where("alike").select("a", "b")
+    return tied(links.union(held))
 
 
 def similar_groups(
@@ -492,35 +624,36 @@ def similar_groups(
 ) -> DataFrame:
     """Rows of ``docs`` as (id, text_hash, node, component): equal component, one group.
 
-    Two texts link if their sets of ``words``-word shingles have this Jaccard similarity or more,
-    or if their fingerprints differ in no more bits than those of such sets do on average. Sets
-    are compared where the fingerprints differ in up to three standard deviations more, so that a
-    met pair is not lost to the spread of its bits. The average alone still takes pairs somewhat
-    below the similarity: with 1,024 bits half of those at 0.79, few at 0.75. The ``width`` of an index key is three bytes up to a million (2^20)
-    different fingerprints, four up to 2^28 and five beyond, so that chance meetings stay in
-    proportion to their number. A linked pair is found if it shares one of ``keys`` keys. Their
-    number follows from the width: 97, 363 and 1,353 at similarity 0.8, so that a pair shares one
-    with probability of at least 0.85 at 0.8, 0.97 at 0.85 and 0.999 at 0.9 at any width, before other members
-    of its group help. NULL and empty texts have equal fingerprints.
+    Two texts link if their sets of ``words``-word shingles have this Jaccard similarity or more. Pairs
+    that share an index key are candidates if their fingerprints differ in no more bits than those
+    of such sets do on average and three standard deviations; the sets decide. Pairs with four
+    standard deviations less than the average are taken without: one in 30,000 at the similarity
+    has so few. The ``width`` of an index key is three bytes up to a million (2^20) different
+    fingerprints, four up to 2^28 and five beyond, so that chance meetings stay in proportion to
+    their number. The number of keys follows from the width and ``RECALL``: a pair at the similarity
+    shares one with probability 0.95, at 0.85 with 0.997, at any width, before other members of its
+    group help. Fingerprints are made of the different shingles, as the sets are. NULL and empty
+    texts have equal fingerprints.
     """
     made = stored(
         docs.select(
             F.col(id_col).alias("id"),
             F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
-            fingerprint(F.col(text_col), words, bits, even_ties=True).alias("print"),
+            fingerprint(F.col(text_col), words, bits, even_ties=True, once=True).alias("print"),
         ).withColumn("node", F.xxhash64("print")),
         "simhash-wide",
     )
     prints = checkpointed(made.select("node", "print").distinct())
     entries = prints.count()
     width = width or max(3, ceil((log2(max(entries, 2)) + SPARE_KEY_BITS) / 8))
-    positions = _index_positions(bits // 8, width, keys or keys_for(width, similarity))
+    positions = _index_positions(bits // 8, width, keys or keys_for(width, similarity, bits // 8))
     index = prints.select("node", F.explode(_index_keys(positions)("print")).alias("key"))
-    max_bits = bits_at(similarity, bits)
-    met = _list_links(index, prints, max(width, bits // 8 - max_bits), max_bits, most_bits_at(similarity, bits))
-    groups = connected_components(met.where("near"))
+    max_bits, most_bits = bits_at(similarity, bits), most_bits_at(similarity, bits)
+    sure_bits = max(0, max_bits - 4 * (most_bits - max_bits) // 3)
+    least_matches = max(width, bits // 8 - most_bits)
+    met, lists = _compared(index, prints, least_matches, max_bits, most_bits, sure_bits)
     texts = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"))
-    groups = _joined_by_shingles(groups, met.where("not near").select("a", "b"), made, texts, words, similarity)
+    groups = _groups_of_alike(met, lists, prints, made, texts, words, similarity, sure_bits, least_matches, most_bits)
     return made.drop("print").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 

@@ -1,11 +1,12 @@
 """The corpus pipeline: its stages in order, each over its predecessor's rows."""
 
 import corpus_pipeline
-from tallyhouse.llm import simhash
+from tallyhouse.llm import quality
 from tests.llm.test_decontaminate import brute as brute_hits
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_mixing import words
 from tests.llm.test_quality import brute_kept
+from tests.llm.test_simhash import brute_groups_of_alike
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,7 +27,8 @@ def test_stages_equal_brute_force(spark, small, tmp_path):
     assert list(frames) == ["quality_rules", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "mix_to_weights"]
 
     before, after = frames["quality_rules"]
-    assert sorted(after) == sorted(r for r in before if brute_kept(r.text))
+    known = quality.curves(spark.read.parquet(f"{small}/documents.parquet"))
+    assert sorted(after) == sorted(r for r in before if brute_kept(r.text, r.lang, known))
 
     before, after = frames["line_dedup"]
     want = brute_lines([(r.doc_id, r.text, 0) for r in before])
@@ -36,24 +38,10 @@ def test_stages_equal_brute_force(spark, small, tmp_path):
 
     before, after = frames["simhash_near_dedup"]
     kept = {r.doc_id for r in after}
-    prints = simhash.fingerprints([r.text.encode() for r in before], 5, simhash.WIDE_BITS, even_ties=True)
-    limit = simhash.bits_at(0.8, simhash.WIDE_BITS)
-    numbers = [int.from_bytes(p, "big") for p in prints]
-    group = list(range(len(before)))
-
-    def root(i):
-        while group[i] != i:
-            i = group[i]
-        return i
-
-    for i in range(len(numbers)):
-        for j in range(i):
-            if (numbers[i] ^ numbers[j]).bit_count() <= limit:
-                a, b = sorted((root(i), root(j)))
-                group[b] = a
+    root = brute_groups_of_alike([r.text for r in before])
     groups = {}
     for i, r in enumerate(before):
-        groups.setdefault(root(i), []).append(r.doc_id)
+        groups.setdefault(root[i], []).append(r.doc_id)
     assert kept == {min(g) for g in groups.values()}
 
     before, after = frames["benchmark_decontamination"]
