@@ -168,7 +168,9 @@ def scan(
 
     ``hits.spans`` holds character offsets of the hit passages. NULL and empty texts have no
     words and no hits. Items without id or words have no windows; an id given twice counts as
-    one item; an empty benchmark leaves every document clean. Repeated rows are judged alike.
+    one item; an empty benchmark leaves every document clean. Repeated rows are judged alike; an
+    empty table of documents gives an empty table. A very long text is scanned whole, and what is
+    held for it grows with its words.
     """
     blocks = _blocks(benchmark, item_col, item_text_col)
     return packed(docs, hits=text_udf(lambda texts: _scan(texts, blocks), SCHEMA, DDL)(F.col(text_col)))

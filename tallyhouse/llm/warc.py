@@ -201,7 +201,8 @@ def write(
     Of records with equal payloads of at least ``revisit_from`` bytes, the one with the least id is
     the response and the others are revisits of it. Rows that share this id are all responses. Rows
     without an id are revisits if anyone with their payload has one, else responses. A NULL payload
-    is empty. An empty table gives an empty index.
+    is empty, and a very long one is one record, held in memory while it is written. An empty table
+    gives an empty index.
     """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     key = F.sha1(payload)

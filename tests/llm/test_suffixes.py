@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 from tallyhouse.llm import suffixes
+from tallyhouse.llm.queries import queries
 
 LENGTH = suffixes.LENGTH
 
@@ -76,3 +77,13 @@ def test_long_texts_are_cut_into_stretches():
     assert ((at >= last) & (at < first + suffixes.REACH)).all()
     again = suffixes.suffixes(text[1000:])[1] + 1000
     assert len(set(at.tolist()) ^ set(again.tolist())) < 40
+
+
+def test_query_equals_brute_force(spark, small):
+    """The registered query, over all documents of the smallest tables."""
+    rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    want = brute([(r.text or "").encode() for r in rows])
+    expected = {r.doc_id: (n, gone, runs, hashlib.sha256(kept).hexdigest()) for r, (n, gone, runs, kept) in zip(rows, want)}
+    made = queries()["op6_suffix_dedup"](spark, small).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in made} == expected and len(made) == len(rows)
+    assert sum(r.n_removed > 0 for r in made) > 10
