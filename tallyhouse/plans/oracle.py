@@ -846,6 +846,9 @@ _BODIES = {
     "audit_unique": """
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS row_count FROM lineitem
         GROUP BY ALL HAVING count(*) > 1""",
+    "category_defaults": """
+        SELECT category_id, category_name, CASE WHEN category_id % 2 = 0 THEN category_description END AS category_description,
+               true AS is_active, CAST(0 AS BIGINT) AS sort_order FROM r_categories""",
     "audit_new_keys": """
         SELECT o_orderkey, count(*) AS row_count FROM orders, (SELECT max(o_orderkey) AS greatest FROM orders)
         WHERE o_orderkey * 100 > 85 * greatest AND o_orderkey * 10 <= 9 * greatest GROUP BY o_orderkey""",

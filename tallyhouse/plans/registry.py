@@ -114,7 +114,7 @@ def stored_star(spark: SparkSession, sf: str) -> Warehouse:
     house = stored_house(spark, sf)
     path = house.path
     if path not in _stars:
-        _stars[path] = star.store_star(house, f"star_{uuid.uuid4().hex}") or house
+        _stars[path] = star.store_star(house, f"star_{uuid.uuid4().hex}", fresh_path(spark, "star")) or house
     return _stars[path]
 
 
@@ -313,6 +313,15 @@ def audit_unique(spark, sf):
     return quality.audit_unique(lines, "l_orderkey", "l_linenumber")
 
 
+def category_defaults(spark, sf):
+    """Categories from a source that has neither their state nor their place: both get the defaults,
+    while a description that is there, or NULL, stays."""
+    given = Retail(spark, sf).categories.withColumn(
+        "category_description", F.when(F.col("category_id") % 2 == 0, F.col("category_description"))
+    )
+    return quality.with_defaults(given, {"is_active": True, "sort_order": 0, "category_description": "none"})
+
+
 def audit_orphans(spark, sf):
     source = Retail(spark, sf)
     return quality.audit_orphans(views.tier_changes(source), source.customers, "customer_id")
@@ -598,6 +607,7 @@ _REGISTERED: dict[str, Query] = {
     # Audits
     "audit_unique": audit_unique,
     "audit_orphans": audit_orphans,
+    "category_defaults": category_defaults,
     "audit_new_keys": audit_new_keys,
     "audit_new_references": audit_new_references,
     "audit_keys": audit_keys,

@@ -1,6 +1,6 @@
 """The star stored in buckets, so that facts meet customers without a shuffle.
 
-Facts and customers are saved as tables of the session's warehouse folder, both in buckets of the
+Facts and customers are saved as tables of a database in a shared folder, both in buckets of the
 customer key. Rows of one customer are in buckets of one number on both sides, so joins and groups
 by the customer read bucket by bucket. A customer with very many facts makes one bucket large; such a
 star is better joined by the shuffle, which AQE splits, so ``store_star`` refuses it.
@@ -24,14 +24,14 @@ def largest_bucket(facts: DataFrame, key: str, buckets: int) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def store_star(house: Warehouse, database: str, buckets: int = BUCKETS) -> Warehouse | None:
-    """The warehouse with bucketed facts and customers in ``database``; None if one bucket would hold
+def store_star(house: Warehouse, database: str, folder: str, buckets: int = BUCKETS) -> Warehouse | None:
+    """The warehouse with bucketed facts and customers in ``database``, kept in ``folder``; None if one bucket would hold
     more than ``MOST_SHARE`` times the average."""
     spark = house.fact_sales.sparkSession
     largest, rows = largest_bucket(house.fact_sales, "customer_key", buckets)
     if largest * buckets > MOST_SHARE * max(rows, buckets):
         return None
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
     made = Warehouse(None)
     for name in TABLES:
         made.__dict__[name] = getattr(house, name)

@@ -39,5 +39,5 @@ def test_a_customer_with_a_third_of_the_facts_is_refused(spark):
     for name in warehouse.TABLES:
         house.__dict__[name] = spark.range(100).withColumnRenamed("id", "customer_key")
     house.__dict__["fact_sales"] = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("customer_key"))
-    assert star.store_star(house, "refused") is None
+    assert star.store_star(house, "refused", "/nowhere") is None
     assert star.largest_bucket(house.fact_sales.where("customer_key < 0"), "customer_key", 8) == (0, 0)

@@ -93,6 +93,19 @@ def test_warehouse_build(spark, small, tmp_path):
     assert "month_key#" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_load_times_are_those_of_the_load(spark, small, tmp_path):
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    path = str(tmp_path / "house")
+    build_warehouse(Retail(spark, small), path)
+    after = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    house = Warehouse.saved(spark, path)
+    for name, column in (("dim_customer", "created_at"), ("dim_customer", "updated_at"), ("dim_product", "created_at"), ("fact_sales", "loaded_at")):
+        text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        low, high, n, every = getattr(house, name).agg(F.min(text), F.max(text), F.count(column), F.count("*")).first()
+        assert n == every > 0
+        assert before <= dt.datetime.fromisoformat(low) <= dt.datetime.fromisoformat(high) <= after
+
+
 def test_unknown_keys_stay_null(spark, small):
     source = Retail(spark, small)
     house = Warehouse(source)
