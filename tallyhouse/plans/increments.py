@@ -21,6 +21,7 @@ from tallyhouse.sources.versions import VersionedStore, bucket_of
 BUCKETS = 16
 ATTRIBUTES = ("first_name", "last_name", "email", "customer_tier")
 _CUSTOMER = ("customer_key", "customer_id", *ATTRIBUTES, "is_inferred")
+LINE = ("order_item_id", "arrival", "order_id", "customer_id", "order_date", "quantity", "line_total")  # what a load reads
 _FACT = (
     "sales_key", "date_key", "customer_key", "order_id", "order_item_id", "arrival", "quantity", "line_total", "net_revenue",
 )
@@ -52,7 +53,7 @@ class IncrementalWarehouse:
             return False
         change = store.change(batch)
         mark, last_key = store.marked("arrival", -1), store.marked("customer_key", 0)
-        fresh = lines.where(F.col("arrival") > mark)
+        fresh = lines.select(*LINE).where(F.col("arrival") > mark)
         held = self.dim_customer
 
         # New members: customers that arrive, and ids that only lines know.
@@ -75,8 +76,7 @@ class IncrementalWarehouse:
         change.append("dim_customer", added, bucket)
 
         keys = held.select("customer_key", "customer_id").unionByName(added.select("customer_key", "customer_id"))
-        facts = staged(_facts(fresh.join(keys, "customer_id", "left")), "facts")
-        change.append("fact_sales", facts)
+        facts = change.append("fact_sales", _facts(fresh.join(keys, "customer_id", "left")))
         marks = facts.agg(F.max("arrival")).first()[0], added.agg(F.max("customer_key")).first()[0]
         change.mark("arrival", mark if marks[0] is None else max(mark, marks[0]))
         change.mark("customer_key", marks[1] or last_key)
@@ -85,16 +85,17 @@ class IncrementalWarehouse:
 
 
 def _facts(lines: DataFrame) -> DataFrame:
-    """The fact columns of keyed lines. The sales key is a hash of line, arrival and content; lines alike
-    in all of these are told apart by a count, which Spark takes within the line's id."""
+    """The fact columns of keyed lines. The sales key is a hash of line, arrival, customer and content; lines
+    alike in all of these are told apart by a count, which Spark takes where the join by customer has
+    put them."""
     amount = cents("line_total")
     net = amount * 100 + amount * TAX_PERCENT
-    alike = F.row_number().over(Window.partitionBy("order_item_id", "arrival").orderBy("quantity", "line_total"))
+    alike = F.row_number().over(Window.partitionBy("customer_id", "order_item_id", "arrival").orderBy("quantity", "line_total"))
     return lines.withColumns(
         {
             "date_key": date_key("order_date"),
             "net_revenue": scaled(net, 4),
-            "sales_key": F.xxhash64("order_item_id", "arrival", alike),
+            "sales_key": F.xxhash64("order_item_id", "arrival", "customer_id", alike),
         }
     ).select(*_FACT)
 
