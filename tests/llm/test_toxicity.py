@@ -105,3 +105,20 @@ def test_labels_of_one_class(spark, edge_docs, rows, share):
     labels = spark.createDataFrame(rows, "doc_id bigint, toxic int")
     scores = {round(r.score, 6) for r in toxicity.score(edge_docs, toxicity.learn(edge_docs, labels)).collect()}
     assert scores == {share}
+
+
+def test_every_label_is_learned_from_in_parts(spark):
+    """Texts of several parts: words that only a few texts show are learned wherever those are."""
+    rows = texts(3000, 2)
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, x) for i, _, _, x in rows], "doc_id bigint, toxic int")
+    label = {i: x for i, _, _, x in rows}
+    net = toxicity.learn(docs, labels, one_part=800)
+    held = toxicity.score(docs, net).select("row.doc_id", "score", "flagged").where(toxicity.held_out("doc_id")).collect()
+    high, low = ([r.score for r in held if label[r.doc_id] == x] for x in (1, 0))
+    assert np.mean([a > b for a in high for b in low]) > 0.9 and set(net.thresholds) == {"en", "de"}
+    early = [t for i, t, _, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    held_words = {n for t in early for n in toxicity.word_numbers(t.encode())[0].tolist()}
+    assert np.mean([net.embedding[n].any() for n in held_words]) == 1.0
+    again = toxicity.learn(docs, labels, one_part=800)
+    assert np.array_equal(net.embedding, again.embedding) and net.thresholds == again.thresholds
