@@ -87,3 +87,20 @@ def test_query_equals_brute_force(spark, small):
     made = queries()["op6_suffix_dedup"](spark, small).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in made} == expected and len(made) == len(rows)
     assert sum(r.n_removed > 0 for r in made) > 10
+
+
+def test_registered_query_plans_no_bloom_filters(spark, small, capsys):
+    """Seven of them, each carried by the stages behind it, did not fit into a driver of 1.5 GB."""
+    names = ("enabled", "applicationSideScanSizeThreshold")
+    before = {n: spark.conf.get(f"spark.sql.optimizer.runtime.bloomFilter.{n}") for n in names}
+    try:
+        frame = queries()["op6_suffix_dedup"](spark, small)
+        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        frame.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "might_contain" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for n, value in before.items():
+            spark.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{n}", value)
