@@ -44,6 +44,7 @@ WIDE_BITS = 1024
 INDEX_KEYS = 96
 RECALL = 0.95
 BLOCK = 1024
+SET_BYTES = 4_000_000
 SPARE_KEY_BITS = 4
 
 
@@ -517,32 +518,47 @@ def _shingle_set(text: Column | str, words: int) -> Column:
 
 
 def _as_alike(similarity: float):
-    """Arrow function: are two shingle sets alike to ``similarity`` or more?"""
+    """Arrow function: pairs of nodes and the shingle sets of these nodes to (a, b, alike): are the sets alike
+    to ``similarity`` or more?"""
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("alike", pa.bool_())])
 
-    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+    def run(pairs: pa.Array, sets: pa.Array) -> pa.Array:
         made = []
-        for a, b in zip(left, right):
-            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (a, b))
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            made.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
-        return pa.array(made, pa.bool_())
+        for asked, given in zip(pairs.to_pylist(), sets):
+            held = {s["node"]: np.frombuffer(s["set"], np.uint64) for s in given.as_py()}
+            judged = []
+            for pair in asked:
+                x, y = held[pair["a"]], held[pair["b"]]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                judged.append(pair | {"alike": shared >= similarity * (len(x) + len(y) - shared) - 1e-9})
+            made.append(judged)
+        return pa.array(made, pa.list_(kind))
 
-    run.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "boolean").asNondeterministic()
+    run.__annotations__ = {"pairs": pa.Array, "sets": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<struct<a: bigint, b: bigint, alike: boolean>>").asNondeterministic()
 
 
 def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(a, b, alike) for pairs of nodes, by their shingle sets.
+    """(a, b, alike) for different pairs of nodes, by their shingle sets.
 
-    ``texts`` is (text_hash, text); the least text hash stands for the texts of a node.
+    ``texts`` is (text_hash, text); the least text hash stands for the texts of a node. Nodes are dealt
+    into blocks of about half of ``BLOCK``, or ``SET_BYTES`` of sets. The pairs of two blocks are
+    compared together, so a node sends its set once for each block that it meets, not for each pair.
     """
+    pairs = checkpointed(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     chosen = checkpointed(made.join(nodes, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")))
     rows = texts.join(small_side(chosen, chosen.count()), "text_hash").select("node", "text").dropDuplicates(["node"])
     sets = checkpointed(rows.select("node", _shingle_set("text", words).alias("set")))
-    left, right = (sets.select(F.col("node").alias(x), F.col("set").alias(f"{x}_set")) for x in "ab")
-    met = pairs.join(left, "a").join(right, "b")
-    return checkpointed(met.select("a", "b", _as_alike(similarity)("a_set", "b_set").alias("alike")))
+    size = sets.agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.octet_length("set").cast("bigint")).alias("bytes")).first()
+    blocks = F.lit(max(1, ceil(size.nodes / (BLOCK // 2)), ceil((size.bytes or 0) / SET_BYTES)))
+    met = pairs.withColumn("block", F.struct(*[F.pmod(F.xxhash64(x), blocks).alias(x) for x in "ab"]))
+    asked = met.groupBy("block").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    given = (
+        met.select("block", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+        .groupBy("block").agg(F.collect_list(F.struct("node", "set")).alias("sets"))
+    )
+    return checkpointed(asked.join(given, "block").select(F.inline(_as_alike(similarity)("pairs", "sets"))))
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -608,7 +624,7 @@ def _groups_of_alike(
     more = checkpointed(members.select(F.inline(_across_groups(least_matches, most_bits)("members"))).distinct())
     more = more.join(judged, ["a", "b"], "left_anti")
     held = _alike(more, made, texts, words, similarity).where("alike").select("a", "b")
-    return tied(links.union(held))
+    return groups if held.isEmpty() else tied(links.union(held))
 
 
 def similar_groups(
@@ -665,9 +681,10 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     groups = similar_groups(docs, id_col=id_col, text_col=text_col, **settings)
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
-    kept = groups.groupBy("component").agg(F.min(rank).alias("kept")).select("kept.id", "kept.text_hash")
-    rows = packed(docs, text_hash=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), id=F.col(id_col))
-    met = (rows["text_hash"] == kept["text_hash"]) & rows["id"].eqNullSafe(kept["id"])
-    return (
-        rows.join(kept, met, "left_semi").dropDuplicates(["text_hash", "id"]).select("row.*")
-    )
+    kept = groups.groupBy("component").agg(F.min(rank).alias("kept"))
+    # As a struct, which equals another where both ids are NULL, the id serves the join and what
+    # follows, so that the texts are shuffled once.
+    key = ["text_hash", "at"]
+    kept = kept.select("kept.text_hash", F.struct("kept.id").alias("at"))
+    rows = packed(docs, text_hash=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), at=F.struct(F.col(id_col).alias("id")))
+    return rows.join(kept, key, "left_semi").dropDuplicates(key).select("row.*")

@@ -327,3 +327,25 @@ def test_repeated_keys_are_found_in_a_stream(batch, monkeypatch):
         star[k], size[k] = min(star.get(k, n), n), size.get(k, 0) + 1
     assert sorted(found) == sorted((k, n, star[k], min(size[k], 7)) for k, n in rows if size[k] > 1)
     assert list(simhash._repeated(iter([]))) == []
+
+
+def test_texts_are_shuffled_once_to_keep_one_of_each(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b c"), (None, "x y"), (None, "x y"), (2, None), (3, "q")], "doc_id bigint, text string")
+    kept = simhash.one_of_each(docs)
+    kept.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(text_hash") <= 2  # of the texts and of what is kept
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "None"]
+
+
+def test_pairs_are_judged_across_blocks(spark, monkeypatch):
+    """A hub with many pairs, over more blocks than one; sets decide as they do for each pair alone."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    texts = [" ".join(f"w{j}" for j in range(40) if j % (i + 2)) for i in range(30)]
+    rows = [(i, hash_of, t) for i, (hash_of, t) in enumerate(zip(range(100, 130), texts))]
+    made = spark.createDataFrame([(i, h) for i, h, _ in rows], "node bigint, text_hash bigint")
+    known = spark.createDataFrame([(h, t) for _, h, t in rows], "text_hash bigint, text string")
+    pairs = [(i, 0) for i in range(1, 30)] + [(i, 29) for i in range(10, 29)]
+    found = simhash._alike(spark.createDataFrame(pairs, "a bigint, b bigint"), made, known, 2, 0.6).collect()
+    sets = [set(simhash.shingle_hashes(t.encode(), 2)) for t in texts]
+    want = {(a, b): len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]) for a, b in pairs}
+    assert {(r.a, r.b): r.alike for r in found} == want and len(found) == len(pairs) and len(set(want.values())) == 2
