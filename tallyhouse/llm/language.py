@@ -7,9 +7,11 @@ the context before its last symbol. Grams are kept as sorted arrays of these num
 by binary search, all distinct grams of many texts at once.
 
 Learning: Spark counts the five-symbol grams of every document that may be learned from, by
-language; that table grows with the corpus and stays distributed. A model keeps the most frequent
-grams, ``MODEL_GRAMS`` for all languages together, which bounds what the driver and the tasks hold.
-From them come interpolated Kneser-Ney probabilities: absolute discounts by order (from the counts
+language; that table grows with the corpus and stays distributed. Up to ``MODEL_GRAMS`` of them, for
+all languages together, are held in the driver and the tasks as models. If there are more, none is
+left out: the probabilities are joins with the whole table, order by order. Those of the most
+frequent grams are sent to the tasks; the other grams of the texts meet theirs by a shuffle.
+From the counts come interpolated Kneser-Ney probabilities: absolute discounts by order (from the counts
 of grams seen once and twice), and below the highest order the number of different symbols before
 a gram in place of its count; the lowest order is mixed with an even distribution.
 
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import packed, text_udf
+from tallyhouse.llm.common import packed, stored, text_udf
 
 ORDER = 5
 SYMBOL_BITS = 12
@@ -193,6 +195,7 @@ class Identifier:
     sharpness: float = 10.0
     least_score: float = 0.0
     limits: dict[str, float] = field(default_factory=dict)
+    counts: DataFrame | None = None  # (lang, gram, n) of all grams, if the models do not hold them all
 
     def entropies(self, texts: list[str], reader: Reader) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy by symbol of every text under every model, and which texts have a letter."""
@@ -220,7 +223,9 @@ class Identifier:
             nothing = [None] * len(texts)
             return {"lang": [UNKNOWN] * len(texts), "score": [0.0] * len(texts), "cross_entropy": nothing,
                     "rejected": [True] * len(texts)}
-        entropies, lettered = self.entropies(texts, reader)
+        return self.chosen(*self.entropies(texts, reader))
+
+    def chosen(self, entropies: np.ndarray, lettered: np.ndarray) -> dict[str, list]:
         names, best = list(self.models), entropies.argmin(axis=1)
         least, score = entropies.min(axis=1), self.scores(entropies).max(axis=1)
         limits = np.array([self.limits.get(name, np.inf) for name in names])
@@ -327,7 +332,7 @@ def learn(
     calibration_docs: int = CALIBRATION_DOCS,
 ) -> Identifier:
     """Models of the languages of the documents that are not held out, with their calibration."""
-    counts = gram_counts(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    counts = stored(gram_counts(docs, id_col=id_col, text_col=text_col, lang_col=lang_col), "gram-counts")
     best = Window.partitionBy("lang").orderBy(F.desc("counted"), "gram")
     # An even share of the bound for each language: ranked within a language, dealt by rank.
     ranked = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= model_grams)
@@ -344,6 +349,10 @@ def learn(
         rest = own[counted[own] > late[own]]
         if len(rest):
             early.models[name] = LanguageModel.of(grams[rest], (counted - late)[rest])
+    if counts.count() > model_grams:
+        rest = counts.where("counted > late")
+        final.counts = counts.select("lang", "gram", F.col("counted").alias("n"))
+        early.counts = rest.select("lang", "gram", (F.col("counted") - F.col("late")).alias("n"))
     if early.models:
         entropies, truth = _calibration(docs, early, id_col, text_col, lang_col, calibration_docs)
         calibrate(early, entropies, truth)
@@ -364,11 +373,8 @@ def _calibration(docs, early, id_col, text_col, lang_col, calibration_docs) -> t
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, F.lit(-(-calibration_docs * (1 << 20) // n))).otherwise(share)
     sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share)
-    schema = pa.schema([("entropies", pa.list_(pa.float64())), ("lettered", pa.bool_())])
-    scored = _applied(early, schema, "struct<entropies: array<double>, lettered: boolean>", lambda made, texts, reader: dict(
-        zip(("entropies", "lettered"), (x.tolist() for x in made.entropies(texts, reader)))))
     rows = (
-        sample.select("id", "lang", scored(sample.sparkSession, "text").alias("made")).select("id", "lang", "made.*")
+        _entropies(sample, early, "text").select("row.id", "row.lang", "made.*")
         .where("lettered").orderBy(F.xxhash64("id"), "id", "lang").limit(2 * calibration_docs * len(names)).collect()
     )
     entropies = np.array([r["entropies"] for r in rows]).reshape(len(rows), len(names))
@@ -379,7 +385,7 @@ def _applied(made: Identifier, schema: pa.Schema, ddl: str, run):
     """An Arrow function that applies a broadcast identifier to texts."""
 
     def over(spark, text_col):
-        sent = spark.sparkContext.broadcast(cloudpickle.dumps(made))  # bounded by MODEL_GRAMS
+        sent = spark.sparkContext.broadcast(cloudpickle.dumps(replace(made, counts=None)))  # bounded by MODEL_GRAMS
         loaded: list = []
 
         def texts_of(texts: list[bytes]) -> dict[str, list]:
@@ -392,12 +398,122 @@ def _applied(made: Identifier, schema: pa.Schema, ddl: str, run):
     return over
 
 
+def _log_probabilities(counts: DataFrame, asked: DataFrame, names: list[str]) -> DataFrame:
+    """(gram, logs): of every gram asked for, by language in the order of ``names``, from counts (lang, gram, n) of
+    any number of grams. The recursion of ``LanguageModel``, each order a join."""
+    ends = lambda order: F.col("gram").bitwiseAND(F.lit((1 << SYMBOL_BITS * order) - 1))
+    level, tables = counts, []
+    for order in range(ORDER, 0, -1):
+        times = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
+        share = F.when((F.col("once") > 0) & (F.col("twice") > 0), F.col("once") / (F.col("once") + 2 * F.col("twice")))
+        discounts = times.select("lang", F.coalesce(share, F.lit(0.75)).alias("discount"))
+        contexts = level.groupBy("lang", F.shiftright("gram", SYMBOL_BITS).alias("context")).agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+        )
+        contexts = contexts.join(F.broadcast(discounts), "lang").withColumn("weight", F.expr("cast(discount * kinds / total as float)"))
+        tables.insert(0, (level.withColumnRenamed("gram", "end"), contexts.drop("kinds")))
+        level = level.groupBy("lang", ends(order - 1).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    found = asked.select("gram", F.explode(F.array(*map(F.lit, names))).alias("lang"), F.lit(1.0 / _SYMBOLS).alias("p"))
+    for order, (level, contexts) in enumerate(tables, 1):
+        placed = found.select("gram", "lang", "p", ends(order).alias("end"), F.shiftright(ends(order), SYMBOL_BITS).alias("context"))
+        met = placed.join(contexts, ["lang", "context"], "left").join(level, ["lang", "end"], "left")
+        found = met.select("gram", "lang", F.expr(
+            "coalesce(cast((n - discount) / total as float), 0D) + coalesce(cast(weight as double), 1D) * p").alias("p"))
+    by_lang = found.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", F.log("p")))).alias("logs"))
+    return by_lang.select("gram", F.array(*[F.col("logs")[F.lit(name)] for name in names]).alias("logs"))
+
+
+def _parted(grams: np.ndarray, logs: np.ndarray):
+    """What a text has of the grams held (sums of ``logs``), its other grams, its size, whether it has a letter."""
+    rest = pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())]))
+    schema = pa.schema([("sums", pa.list_(pa.float64())), ("rest", rest), ("size", pa.int64()), ("lettered", pa.bool_())])
+
+    def run(reader: Reader, texts: list[str]) -> dict[str, list]:
+        made: dict[str, list] = {name: [] for name in schema.names}
+        for text in texts:
+            sums, other, size, lettered = np.zeros(logs.shape[1]), {}, 0, False
+            for _, parts in _blocks([text]):
+                all_grams, _, letters = reader.grams(parts)
+                unique, times = np.unique(all_grams.astype(np.int64), return_counts=True)
+                place = np.minimum(np.searchsorted(grams, unique), len(grams) - 1)
+                held = grams[place] == unique
+                sums += times[held] @ logs[place[held]]
+                for gram, n in zip(unique[~held].tolist(), times[~held].tolist()):
+                    other[gram] = other.get(gram, 0) + n
+                size, lettered = size + len(all_grams), lettered or bool(letters.any())
+            for name, value in zip(made, (sums.tolist(), [{"gram": g, "n": n} for g, n in other.items()], size, lettered)):
+                made[name].append(value)
+        return made
+
+    return schema, run
+
+
+def _entropies_of_all(docs: DataFrame, made: Identifier, text_col: str) -> DataFrame:
+    """``_entropies`` under models of more grams than a task holds. The most frequent grams, a number
+    bounded by MODEL_GRAMS values, are sent to the tasks with their log probabilities; all others of the
+    texts meet theirs in a join."""
+    names, spark = list(made.models), docs.sparkSession
+    many = max(1, sum(len(m.levels[-1].grams) for m in made.models.values()) // len(names))
+    frequent = made.counts.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(many)
+    held = _log_probabilities(made.counts, frequent.select("gram"), names).orderBy("gram").toArrow()
+    logs = held["logs"].combine_chunks().flatten().to_numpy().reshape(-1, len(names))
+    schema, run = _parted(held["gram"].to_numpy(), logs)
+    sent, loaded = spark.sparkContext.broadcast(cloudpickle.dumps(run)), []
+
+    def parted(texts: list[bytes]) -> dict[str, list]:
+        if not loaded:
+            loaded.extend((cloudpickle.loads(sent.value), Reader()))
+        return loaded[0](loaded[1], [t.decode() for t in texts])
+
+    ddl = "struct<sums: array<double>, rest: array<struct<gram: bigint, n: bigint>>, size: bigint, lettered: boolean>"
+    # Texts are known by two hashes. Copies add to sums and sizes alike, so that the quotient is that of one.
+    keys = [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.xxhash64(F.lit(1), F.coalesce(F.col(text_col), F.lit("")))]
+    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    parts = stored(docs.select(key.alias("key"), text_udf(parted, schema, ddl)(F.col(text_col)).alias("made")).select("key", "made.*"), "gram-parts")
+    rest = parts.select("key", F.inline("rest"))
+    known = _log_probabilities(made.counts, rest.select("gram").distinct(), names)
+    each = [F.col("logs")[i] * F.col("n") for i in range(len(names))]
+    added = rest.join(known, "gram").select("key", F.lit(0).cast("bigint").alias("size"), F.lit(False).alias("lettered"), F.array(*each).alias("sums"))
+    total = parts.select("key", "size", "lettered", "sums").union(added).groupBy("key").agg(
+        F.array(*[-F.sum(F.col("sums")[i]) / F.greatest(F.sum("size"), F.lit(1)) for i in range(len(names))]).alias("entropies"),
+        F.max("lettered").alias("lettered"),
+    )
+    return packed(docs, key=key).join(total, "key").select("row", F.struct("entropies", "lettered").alias("made"))
+
+
+def _entropies(docs: DataFrame, made: Identifier, text_col: str) -> DataFrame:
+    """Every row of ``docs`` as struct ``row`` beside struct ``made``: ``entropies`` by language and ``lettered``."""
+    if made.counts is not None:
+        return _entropies_of_all(docs, made, text_col)
+    schema = pa.schema([("entropies", pa.list_(pa.float64())), ("lettered", pa.bool_())])
+    scored = _applied(made, schema, "struct<entropies: array<double>, lettered: boolean>", lambda made, texts, reader: dict(
+        zip(("entropies", "lettered"), (x.tolist() for x in made.entropies(texts, reader)))))
+    return packed(docs, made=scored(docs.sparkSession, text_col))
+
+
+def _chosen(made: Identifier, schema: pa.Schema, ddl: str):
+    """An Arrow function of entropies and ``lettered`` to the choice."""
+    light = replace(made, counts=None, models=dict.fromkeys(made.models))
+
+    def run(entropies: pa.Array, lettered: pa.Array) -> pa.Array:
+        rows = np.array(entropies.to_pylist(), float).reshape(len(entropies), len(light.models))
+        got = light.chosen(rows, np.array(lettered.to_pylist(), bool))
+        return pa.StructArray.from_arrays([pa.array(got[f.name], f.type) for f in schema], fields=list(schema))
+
+    run.__annotations__ = {"entropies": pa.Array, "lettered": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, ddl).asNondeterministic()
+
+
 def identify(docs: DataFrame, made: Identifier, *, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as struct ``row`` beside ``lang``, ``score``, ``cross_entropy`` and ``rejected``.
 
-    The answer depends on the text alone; documents are neither shuffled nor collected.
+    The answer depends on the text alone; documents are neither collected nor, where the models hold all
+    grams, shuffled.
     """
     schema = pa.schema([("lang", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
     ddl = "struct<lang: string, score: double, cross_entropy: double, rejected: boolean>"
+    if made.counts is not None:
+        known = _entropies(docs, made, text_col)
+        return known.select("row", _chosen(made, schema, ddl)("made.entropies", "made.lettered").alias("made")).select("row", "made.*")
     chosen = _applied(made, schema, ddl, Identifier.choose)(docs.sparkSession, text_col)
     return packed(docs, made=chosen).select("row", "made.*")

@@ -150,3 +150,23 @@ def test_bound_of_the_models(spark, small):
     made = language.learn(table(spark, small, "documents"), model_grams=1000)
     sizes = [len(m.levels[-1].grams) for m in made.models.values()]
     assert sum(sizes) == 1000 and max(sizes) - min(sizes) <= 1
+
+
+def test_grams_beyond_the_models_are_not_lost(spark, small):
+    """With models that hold 400 grams the answers are those of models that hold all of them."""
+    docs = table(spark, small, "documents").limit(60).select("doc_id", "text", "lang")
+    docs = docs.union(docs.limit(2)).union(spark.createDataFrame([(-1, None, "en"), (-2, "!!", "en"), (-3, "xq " * 30, None)], docs.schema))
+    docs = docs.localCheckpoint()
+    whole, bounded = language.learn(docs), language.learn(docs, model_grams=400)
+    assert list(whole.models) == list(bounded.models) and whole.counts is None and bounded.counts is not None
+    assert sum(len(m.levels[-1].grams) for m in bounded.models.values()) == 400
+    assert bounded.sharpness == whole.sharpness and bounded.least_score == pytest.approx(whole.least_score, rel=1e-4)
+    one, other = (
+        sorted(language.identify(docs, made).select("row.doc_id", "lang", "rejected", "score", "cross_entropy").collect(), key=str)
+        for made in (whole, bounded)
+    )
+    assert [r[:3] for r in one] == [r[:3] for r in other] and len(one) == len(other) == docs.count()
+    for a, b in zip(one, other):
+        assert (a.cross_entropy is None) == (b.cross_entropy is None)
+        assert a.cross_entropy is None or a.cross_entropy == pytest.approx(b.cross_entropy, rel=1e-4)
+        assert a.score == pytest.approx(b.score, abs=1e-3)
