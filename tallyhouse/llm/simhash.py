@@ -120,7 +120,7 @@ def fingerprint(text: Column | str, size: int, bits: int = 64, even_ties: bool =
 
 
 def _in_parts(
-    texts: list[bytes], size: int, bits: int, even_ties: bool, once: bool, part_bytes: int = 16_000_000
+    texts: list[bytes], size: int, bits: int, even_ties: bool, once: bool, part_bytes: int = 4_000_000
 ) -> list[bytes]:
     """Fingerprints of some megabytes of text at a time, to bound the memory of the hashes."""
     made, part, held = [], [], 0

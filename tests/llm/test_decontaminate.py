@@ -1,5 +1,7 @@
 import hashlib
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 from tallyhouse.llm import decontaminate
 
@@ -83,3 +85,17 @@ def test_a_benchmark_of_several_blocks_gives_the_same(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 30)
     check(docs, ITEMS, spark)
+
+
+def test_words_are_held_for_one_text_at_a_time():
+    passage = b"an item of the benchmark with so many words that it makes more than one window of it"
+    block = [(next(decontaminate._numbers), SimpleNamespace(value=[("7", passage)]))]
+    texts = [b" ".join(b"w%d" % (i * n % 5003) for i in range(2000)) + b" " + passage for n in range(1, 201)]
+    tracemalloc.start()
+    try:
+        made = decontaminate._scan(texts, block)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made["n_words"] == [2018] * 200 and made["n_hit"] == [18] * 200
+    assert peak < sum(map(len, texts)) / 2
