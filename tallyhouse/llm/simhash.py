@@ -568,6 +568,14 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return known.where(F.coalesce("a_group", "a") != F.coalesce("b_group", "b")).drop("a_group", "b_group")
 
 
+def _parted(lists: DataFrame, loose: DataFrame, groups: DataFrame) -> DataFrame:
+    """The lists (list) that may hold a tie which fell apart: both its ends are ``loose`` nodes, of different
+    groups. In other lists all ties hold, so members that they led past each other are in one group."""
+    placed = loose.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    held = lists.join(placed, "node").groupBy("list").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return held.where("least < most").select("list")
+
+
 def _across_groups(least_matches: int, most_bits: int):
     """Arrow function: members (node, print, component) of posting lists to all pairs (a, b) of different
     components that may be alike."""
@@ -600,7 +608,7 @@ def _groups_of_alike(
 
     A list's near pairs tie it together by the number of bits. Those with ``sure_bits`` or fewer are
     taken for that; the shingle sets decide on the others and on the doubtful pairs. Where a tie does
-    not hold, the members that it led past each other are met again: all pairs of the list that are
+    not hold, the members that it led past each other are met again: all pairs of its list that are
     now in different groups are compared by their sets.
     """
     tied = lambda links: connected_components(links.select("a", "b"))
@@ -617,7 +625,7 @@ def _groups_of_alike(
     loose = checkpointed(loose.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     if loose.isEmpty():
         return groups
-    again = lists.join(lists.join(loose, "node").select("list").distinct(), "list")
+    again = lists.join(_parted(lists, loose, groups), "list")
     members = again.join(prints, "node").join(groups, "node", "left").groupBy("list").agg(
         F.collect_list(F.struct("node", "print", F.coalesce("component", "node").alias("component"))).alias("members")
     )

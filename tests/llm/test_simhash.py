@@ -1,10 +1,14 @@
+import time
+
 import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import simhash
+from tallyhouse.llm.common import checkpointed
 from tallyhouse.llm.components import connected_components
 from tallyhouse.llm.queries import queries
 from tests.llm.edges import LONG
@@ -349,3 +353,25 @@ def test_pairs_are_judged_across_blocks(spark, monkeypatch):
     sets = [set(simhash.shingle_hashes(t.encode(), 2)) for t in texts]
     want = {(a, b): len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]) for a, b in pairs}
     assert {(r.a, r.b): r.alike for r in found} == want and len(found) == len(pairs) and len(set(want.values())) == 2
+
+
+def test_lists_are_met_again_only_if_a_tie_of_their_own_may_have_fallen_apart(spark):
+    """List 1 holds both ends of the tie, list 2 one end, list 3 two loose nodes of one group, list 4 none."""
+    lists = spark.createDataFrame(
+        [(1, 10), (1, 20), (1, 30), (2, 10), (2, 30), (3, 20), (3, 21), (4, 30), (4, 31)], "list bigint, node bigint"
+    )
+    loose = spark.createDataFrame([(10,), (20,), (21,)], "node bigint")
+    groups = spark.createDataFrame([(20, 5), (21, 5)], "node bigint, component bigint")
+    assert [r["list"] for r in simhash._parted(lists, loose, groups).collect()] == [1]
+
+
+def test_checkpoints_leave_no_shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = held.size(), spark.conf.get(name)
+    made = checkpointed(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count())
+    assert sorted((r["k"], r["count"]) for r in made.collect()) == [(k, 143 - (k == 6)) for k in range(7)]
+    until = time.time() + 10
+    while held.size() > before[0] and time.time() < until:
+        time.sleep(0.1)
+    assert held.size() <= before[0] and spark.conf.get(name) == before[1]
