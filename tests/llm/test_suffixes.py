@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tallyhouse.llm import suffixes
 from tallyhouse.llm.queries import queries
 
@@ -104,3 +106,34 @@ def test_registered_query_plans_no_bloom_filters(spark, small, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for n, value in before.items():
             spark.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{n}", value)
+
+
+def test_large_sub_bucket_stays_spread(spark):
+    """The suffixes of one string in nine tenths of all places do not meet in one task."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n) for n in names}
+    # Of 40,000 suffixes every tenth is elsewhere: half of these in pairs, half alone.
+    mixed = spark.range(0, 40_000, 1, 8).selectExpr(
+        "1L bucket", "if(id % 10 > 0, -1, if(id % 20 = 0, id div 40, 40000 + id)) context", "id doc", "id place"
+    )
+    contexts = mixed.groupBy("bucket", "context").agg(F.count(F.lit(1)).alias("n"))
+    try:
+        for n, value in zip(names, ("false", "-1")):
+            spark.conf.set(n, value)
+        found = suffixes._in_company(mixed, contexts).select("doc", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert sorted(r.doc for r in found) == [i for i in range(40_000) if i % 10 or i % 20 == 0]
+    assert max(Counter(r.task for r in found).values()) < 10_000
+
+
+def test_large_sub_buckets_equal_brute_force(spark, monkeypatch):
+    """Lines that repeat within and across texts, so that sub-buckets of one bucket are large and small."""
+    monkeypatch.setattr(suffixes, "LARGE", 20)
+    dice = random.Random(4)
+    line = noise(dice, 450)
+    texts = [noise(dice, dice.randrange(200)) + line * dice.randrange(1, 6) + noise(dice, 300) for _ in range(40)]
+    texts += [noise(dice, 600)] * 30 + [noise(dice, 50) + line[:420] + noise(dice, 50) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sum(r[3] > 0 for r in check(docs)) == len(texts)
